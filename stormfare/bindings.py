@@ -7,132 +7,107 @@ every query can run on whatever amount of such data there is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from .schemas import RAW_WEATHER
+from pyspark.sql import DataFrame
 
 WEATHER_EVENT = "view"
 
+_EVENT_KEY = "CAST(get_json_object(props, '$.k') AS INT)"
 
-def _cents(value: Column) -> Column:
-    """An integer number of hundredths as a double."""
-    return value / F.lit(100.0)
-
-
-def _with_key(events: DataFrame) -> DataFrame:
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+_CONDITION_TYPE = "ARRAY<STRUCT<id: INT, main: STRING, description: STRING, icon: STRING>>"
 
 
-def _fare_cents(value: Column) -> Column:
-    fare = F.round((F.lit(2.0) + value * 0.5).cast("decimal(18,6)"), 2)
-    return (fare * 100).cast("long")
-
-
-def _trip_columns(key: Column, pickup: Column, value: Column, k: Column,
-                  payment: Column, pickup_zone: Column) -> list[Column]:
-    fare = _fare_cents(value)
-    tip = F.floor((fare * k * 4 + 500) / F.lit(1000.0))
-    passengers = key % 8
-    return [
-        pickup.alias("tpep_pickup_datetime"),
-        F.timestamp_add("SECOND", F.floor(value * 60), pickup).alias("tpep_dropoff_datetime"),
-        (value / 10).alias("trip_distance"),
-        _cents(fare).alias("fare_amount"),
-        F.lit(0.0).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        _cents(tip).alias("tip_amount"),
-        F.lit(0.0).alias("tolls_amount"),
-        _cents(fare + tip + 50).alias("total_amount"),
-        F.when(passengers != 7, passengers).cast("long").alias("passenger_count"),
-        payment.cast("long").alias("payment_type"),
-        (pickup_zone % 263 + 1).cast("int").alias("PULocationID"),
-        (k + 1).cast("int").alias("DOLocationID"),
-    ]
+def _trips(rides: DataFrame) -> DataFrame:
+    """Trip columns from (key, pickup, value, k, payment, zone); money in whole cents."""
+    return (
+        rides.selectExpr(
+            "*", "CAST(round(CAST(2.0D + value * 0.5D AS DECIMAL(18,6)), 2) * 100 AS BIGINT) AS fare"
+        )
+        .selectExpr("*", "(fare * k * 4 + 500) DIV 1000 AS tip")
+        .selectExpr(
+            "pickup AS tpep_pickup_datetime",
+            "timestampadd(SECOND, floor(value * 60), pickup) AS tpep_dropoff_datetime",
+            "value / 10 AS trip_distance",
+            "fare / 100.0D AS fare_amount",
+            "0.0D AS extra",
+            "0.5D AS mta_tax",
+            "tip / 100.0D AS tip_amount",
+            "0.0D AS tolls_amount",
+            "(fare + tip + 50) / 100.0D AS total_amount",
+            "CASE WHEN key % 8 <> 7 THEN key % 8 END AS passenger_count",
+            "CAST(payment AS BIGINT) AS payment_type",
+            "CAST(zone % 263 + 1 AS INT) AS PULocationID",
+            "CAST(k + 1 AS INT) AS DOLocationID",
+        )
+    )
 
 
 def event_trips(events: DataFrame) -> DataFrame:
     """Raw trips: every event that is not a weather event."""
-    kind = F.col("event_type")
-    payment = F.when(kind.isin("click", "signup"), 1).when(kind == "purchase", 2).otherwise(3)
-    return _with_key(events.filter(kind != WEATHER_EVENT)).select(
-        *_trip_columns(
-            F.col("event_id"), F.col("ts"), F.col("value"), F.col("k"), payment, F.col("user_id")
-        )
+    rides = events.filter(f"event_type <> '{WEATHER_EVENT}'").selectExpr(
+        "event_id AS key",
+        "ts AS pickup",
+        "value",
+        f"{_EVENT_KEY} AS k",
+        """CASE WHEN event_type IN ('click', 'signup') THEN 1
+                WHEN event_type = 'purchase' THEN 2 ELSE 3 END AS payment""",
+        "user_id AS zone",
     )
+    return _trips(rides)
 
 
 def order_line_trips(lineitem: DataFrame) -> DataFrame:
     """Raw trips from shipped order lines: a far larger table, over seven years."""
-    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    pickup = F.timestamp_add("SECOND", F.col("l_orderkey") * 37 % 86400, F.col("l_shipdate"))
-    payment = (
-        F.when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "R", 2).otherwise(3)
-    )
-    k = (F.col("l_partkey") % 100).cast("int")
-    return lineitem.select(
-        *_trip_columns(key, pickup, F.col("l_quantity"), k, payment, F.col("l_suppkey"))
+    rides = lineitem.selectExpr(
+        "l_orderkey * 8 + l_linenumber AS key",
+        "timestampadd(SECOND, l_orderkey * 37 % 86400, l_shipdate) AS pickup",
+        "l_quantity AS value",
+        "CAST(l_partkey % 100 AS INT) AS k",
+        "CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS payment",
+        "l_suppkey AS zone",
     )
+    return _trips(rides)
 
 
 def event_weather(events: DataFrame) -> DataFrame:
     """Raw nested weather: the weather events, several in some hours, none in others."""
-    seen = _with_key(events.filter(F.col("event_type") == WEATHER_EVENT))
-    k = F.col("k")
-    temp = F.round((F.col("value") / 10 - 5).cast("decimal(18,6)"), 1)
-    wet = F.when(k % 3 == 0, "Rain").when(k % 3 == 1, "Drizzle").otherwise("Snow")
-    condition = (
-        F.when(k % 20 == 0, "Thunderstorm")
-        .when(k % 10 < 4, wet)
-        .when(k % 10 < 7, "Clouds")
-        .otherwise("Clear")
-    )
-    given = (
-        F.when(k % 11 == 5, F.lit(None).cast("string"))
-        .when(k % 20 == 0, "Orageux")
-        .when(k % 10 < 4, "Pluvieux")
-        .when(k % 10 < 7, "Nuageux")
-        .otherwise("Clair")
+    seen = events.filter(f"event_type = '{WEATHER_EVENT}'").selectExpr(
+        "event_id",
+        "ts",
+        f"{_EVENT_KEY} AS k",
+        "round(CAST(value / 10 - 5 AS DECIMAL(18,6)), 1) AS temp",
     )
-    entry = F.struct(
-        (F.lit(800) + k).cast("int").alias("id"),
-        condition.alias("main"),
-        F.concat(F.lit("light "), F.lower(condition)).alias("description"),
-        F.lit("01d").alias("icon"),
+    described = seen.selectExpr(
+        "*",
+        """CASE WHEN k % 20 = 0 THEN 'Thunderstorm'
+                WHEN k % 10 < 4 THEN element_at(array('Rain', 'Drizzle', 'Snow'), k % 3 + 1)
+                WHEN k % 10 < 7 THEN 'Clouds' ELSE 'Clear' END AS condition""",
+        """CASE WHEN k % 11 = 5 THEN NULL WHEN k % 20 = 0 THEN 'Orageux'
+                WHEN k % 10 < 4 THEN 'Pluvieux' WHEN k % 10 < 7 THEN 'Nuageux'
+                ELSE 'Clair' END AS category""",
     )
-    entries = F.when(k != 38, F.array(entry)).otherwise(F.array().cast(RAW_WEATHER["weather"].dataType))
-    iso = F.translate(F.col("ts").cast("string"), " ", "T")
-    return seen.select(
-        F.struct(F.lit(-74.006).alias("lon"), F.lit(40.7128).alias("lat")).alias("coord"),
-        F.lit("stations").alias("base"),
-        F.unix_timestamp("ts").alias("dt"),
-        F.lit(-18000).alias("timezone"),
-        F.col("event_id").alias("id"),
-        F.lit("New York").alias("name"),
-        F.lit(200).alias("cod"),
-        entries.alias("weather"),
-        F.struct(
-            temp.cast("double").alias("temp"),
-            (temp - 1 - k % 4).cast("double").alias("feels_like"),
-            (temp - F.lit("1.5").cast("decimal(2,1)")).cast("double").alias("temp_min"),
-            (temp + F.lit("1.5").cast("decimal(2,1)")).cast("double").alias("temp_max"),
-            (F.lit(1005) + k % 26).alias("pressure"),
-            (F.lit(40) + k % 51).alias("humidity"),
-        ).alias("main"),
-        (F.lit(3000) + k * 70).alias("visibility"),
-        F.struct(_cents(F.lit(100) + k * 14).alias("speed"), (k * 7 % 360).alias("deg")).alias("wind"),
-        F.struct((k % 101).alias("all")).alias("clouds"),
-        F.struct(
-            F.lit("US").alias("country"),
-            F.lit(0).cast("long").alias("sunrise"),
-            F.lit(0).cast("long").alias("sunset"),
-        ).alias("sys"),
-        F.struct(
-            iso.alias("collected_at_iso"),
-            F.unix_timestamp("ts").alias("collected_at_ts"),
-            F.lit(5128581).alias("city_id"),
-            F.lit("New York").alias("city_name"),
-            F.lit("2.0").alias("pipeline_version"),
-            F.lit(True).alias("simulated"),
-            given.alias("weather_category"),
-        ).alias("_metadata"),
+    return described.selectExpr(
+        "named_struct('lon', -74.006D, 'lat', 40.7128D) AS coord",
+        "'stations' AS base",
+        "unix_timestamp(ts) AS dt",
+        "-18000 AS timezone",
+        "event_id AS id",
+        "'New York' AS name",
+        "200 AS cod",
+        f"""CASE WHEN k = 38 THEN CAST(array() AS {_CONDITION_TYPE})
+                 ELSE array(named_struct('id', 800 + k, 'main', condition,
+                      'description', concat('light ', lower(condition)), 'icon', '01d'))
+            END AS weather""",
+        """named_struct('temp', CAST(temp AS DOUBLE),
+                        'feels_like', CAST(temp - 1 - k % 4 AS DOUBLE),
+                        'temp_min', CAST(temp - 1.5 AS DOUBLE),
+                        'temp_max', CAST(temp + 1.5 AS DOUBLE),
+                        'pressure', 1005 + k % 26, 'humidity', 40 + k % 51) AS main""",
+        "3000 + k * 70 AS visibility",
+        "named_struct('speed', (100 + k * 14) / 100.0D, 'deg', k * 7 % 360) AS wind",
+        "named_struct('all', k) AS clouds",
+        "named_struct('country', 'US', 'sunrise', 0L, 'sunset', 0L) AS sys",
+        """named_struct('collected_at_iso', translate(CAST(ts AS STRING), ' ', 'T'),
+                        'collected_at_ts', unix_timestamp(ts), 'city_id', 5128581,
+                        'city_name', 'New York', 'pipeline_version', '2.0', 'simulated', true,
+                        'weather_category', category) AS _metadata""",
     )

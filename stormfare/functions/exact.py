@@ -2,49 +2,64 @@
 
 Adding doubles gives slightly different totals for every partitioning, so a
 retried task could change a published figure. Values are therefore added as
-decimals. Rounding is half-up on decimals too, as a warehouse's ``numeric`` is:
-a double such as 1.005 has no exact half to round.
+whole numbers of ten-thousandths. Stored amounts have at most four decimals, so
+nothing is lost, and a 64-bit total holds 9e14 before it fails with an error.
+Decimals would do the same about ten times slower.
+
+Rounding is half-up, as a warehouse's ``numeric`` rounds: first to millionths,
+which removes the noise of the double, then to the wanted places.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_EXACT = "decimal(18,6)"
+UNIT = 10_000
+_NOISE_DECIMALS = 6
+
+
+def _col(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
 
 
-def exact(value: Column | str) -> Column:
-    """The value as a decimal with six places."""
-    col = F.col(value) if isinstance(value, str) else value
-    return col.cast(_EXACT)
+def units(value: Column | str) -> Column:
+    """The value as a whole number of ten-thousandths."""
+    return F.rint(_col(value) * float(UNIT)).cast("long")
 
 
 def half_up(value: Column | str, places: int) -> Column:
-    """Round half-up to ``places`` and return a double."""
-    return F.round(exact(value), places).cast("double")
+    """Round half away from zero to ``places`` and return a double."""
+    col = _col(value)
+    millionths = F.rint(F.abs(col) * float(10**_NOISE_DECIMALS))
+    size = F.floor(millionths / float(10 ** (_NOISE_DECIMALS - places)) + 0.5)
+    return F.when(col < 0, -size).otherwise(size) / float(10**places)
 
 
-def exact_sum(value: Column | str) -> Column:
-    """Unrounded decimal total, for comparisons with thresholds."""
-    return F.sum(exact(value))
+def unit_sum(value: Column | str) -> Column:
+    """Exact total in ten-thousandths, for comparisons with thresholds."""
+    return F.sum(units(value))
 
 
-def total(value: Column | str, places: int) -> Column:
-    return F.round(exact_sum(value), places).cast("double")
+def _total(unit_total: Column, places: int) -> Column:
+    return half_up(unit_total / float(UNIT), places)
+
 
+def _mean(unit_total: Column, count: Column, places: int) -> Column:
+    return half_up(F.try_divide(unit_total.cast("double"), count * float(UNIT)), places)
 
-def _ratio(numerator: Column, denominator: Column) -> Column:
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+
+def total(value: Column | str, places: int) -> Column:
+    return _total(unit_sum(value), places)
 
 
 def mean(value: Column | str, places: int) -> Column:
     """Average of the non-null values, rounded half-up."""
-    return half_up(_ratio(exact_sum(value), F.count(value)), places)
+    return _mean(unit_sum(value), F.count(_col(value)), places)
 
 
 def percent(part: Column, whole: Column, places: int) -> Column:
     """``part`` as a percentage of ``whole``; NULL for an empty whole."""
-    return half_up(_ratio(part * 100, whole), places)
+    return half_up(F.try_divide(part * 100.0, whole.cast("double")), places)
 
 
 # --- Two-step aggregation ----------------------------------------------------
@@ -62,11 +77,11 @@ def weight() -> Column:
 
 
 def partial(*names: str) -> list[Column]:
-    """First step: decimal total and non-null count of each column."""
+    """First step: exact total and non-null count of each column."""
     return [
         agg
         for name in names
-        for agg in (exact_sum(name).alias(f"_sum_{name}"), F.count(name).alias(f"_n_{name}"))
+        for agg in (unit_sum(name).alias(f"_sum_{name}"), F.count(name).alias(f"_n_{name}"))
     ]
 
 
@@ -76,25 +91,20 @@ def merged_count() -> Column:
 
 def merged_mean(name: str, places: int) -> Column:
     """Second step: average of a column carried by :func:`partial`."""
-    return half_up(_ratio(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}")), places)
+    return _mean(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}"), places)
 
 
 def merged_total(name: str, places: int) -> Column:
-    return F.round(F.sum(f"_sum_{name}"), places).cast("double")
-
-
-def weighted_sum(name: str) -> Column:
-    """Second step: decimal total of the value grouped by in the first step."""
-    return F.sum(exact(name) * F.col(WEIGHT))
+    return _total(F.sum(f"_sum_{name}"), places)
 
 
-def weighted_count(name: str) -> Column:
-    """Second step: rows whose grouped value is not null."""
+def _weighted_count(name: str) -> Column:
     return F.sum(F.when(F.col(name).isNotNull(), F.col(WEIGHT)).otherwise(0))
 
 
 def weighted_mean(name: str, places: int) -> Column:
-    return half_up(_ratio(weighted_sum(name), weighted_count(name)), places)
+    """Second step: average of the value grouped by in the first step."""
+    return _mean(F.sum(units(name) * F.col(WEIGHT)), _weighted_count(name), places)
 
 
 def weighted_quantile(name: str, q: float, places: int) -> Column:
@@ -103,13 +113,17 @@ def weighted_quantile(name: str, q: float, places: int) -> Column:
 
 
 def weighted_stddev(name: str, places: int) -> Column:
-    """Second step: sample standard deviation; NULL for fewer than two rows."""
-    n = weighted_count(name).cast("double")
-    sum_x = weighted_sum(name).cast("double")
-    squares = (exact(name) * exact(name)).cast("decimal(24,8)")
-    sum_xx = F.sum(squares * F.col(WEIGHT)).cast("double")
+    """Second step: sample standard deviation; NULL for fewer than two rows.
+
+    Squares outgrow 64 bits, so they are added as decimals: there are few rows
+    left to add.
+    """
+    n = _weighted_count(name).cast("double")
+    value = units(name).cast("decimal(18,0)")
+    sum_x = F.sum(value * F.col(WEIGHT)).cast("double")
+    sum_xx = F.sum((value * value).cast("decimal(28,0)") * F.col(WEIGHT)).cast("double")
     spread = F.greatest(sum_xx - F.try_divide(sum_x * sum_x, n), F.lit(0.0))
-    return half_up(F.sqrt(F.try_divide(spread, F.when(n > 1, n - 1))), places)
+    return half_up(F.sqrt(F.try_divide(spread, F.when(n > 1, n - 1))) / float(UNIT), places)
 
 
 # --- Correlation ---------------------------------------------------------------

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 from ..config import Settings
 from ..functions.exact import (
-    exact_sum,
+    UNIT,
     mean,
     merged_count,
     merged_mean,
     merged_total,
     partial,
     total,
+    unit_sum,
     weight,
     weighted_mean,
     weighted_quantile,
@@ -76,7 +77,6 @@ def high_value_zones(enriched: DataFrame) -> DataFrame:
 
     The criteria look at unrounded figures; the order at the rounded total.
     """
-    tip_sum = exact_sum("tip_percentage")
     zones = (
         enriched.filter(F.col("payment_type") == fv.CARD_PAYMENT)
         .groupBy("pickup_location_id")
@@ -90,14 +90,15 @@ def high_value_zones(enriched: DataFrame) -> DataFrame:
             mean("trip_distance", 2).alias("avg_distance_miles"),
             mean("trip_duration_minutes", 1).alias("avg_duration_min"),
             F.mode("weather_category", True).alias("dominant_weather"),
-            exact_sum("total_amount").alias("_spent"),
-            # Compared as sum > limit * count: no division, so no rounding.
-            (tip_sum > F.count("tip_percentage") * fv.ZONE_MIN_TIP_PCT).alias("_well_tipped"),
+            unit_sum("total_amount").alias("_spent"),
+            # The average as sum > limit * count: no division, so no rounding.
+            unit_sum("tip_percentage").alias("_tips"),
+            (F.count("tip_percentage") * (fv.ZONE_MIN_TIP_PCT * UNIT)).alias("_tips_floor"),
         )
         .filter(
             (F.col("trip_count") >= fv.ZONE_MIN_TRIPS)
-            & (F.col("_spent") > fv.ZONE_MIN_SPENT)
-            & F.col("_well_tipped")
+            & (F.col("_spent") > fv.ZONE_MIN_SPENT * UNIT)
+            & (F.col("_tips") > F.col("_tips_floor"))
         )
     )
     return HIGH_VALUE_ZONES.conform(zones).orderBy(

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as fv
 from ..config import Settings
 from ..functions.exact import (
-    exact,
     half_up,
     mean,
     merged_count,
@@ -268,7 +267,7 @@ def premium_top_hours(enriched: DataFrame, zones: DataFrame, k: int = 5) -> Data
 def tips_by_weather(enriched: DataFrame) -> DataFrame:
     tip = "tip_percentage"
     by_value = known_weather(_card(enriched)).groupBy("weather_category", tip).agg(weight())
-    untipped = F.sum(F.when(exact(tip) == 0, F.col("_rows")).otherwise(0))
+    untipped = F.sum(F.when(F.col(tip) == 0, F.col("_rows")).otherwise(0))
     return (
         by_value.groupBy("weather_category")
         .agg(
