@@ -38,17 +38,21 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._given: dict[str, DataFrame] = {}
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    def given(self, name: str) -> DataFrame:
+        """A table of the folder; its footer is read once."""
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._given[name]
 
     @property
     def raw_trips(self) -> DataFrame:
-        return event_trips(self._read("events"))
+        return event_trips(self.given("events"))
 
     @property
     def raw_weather(self) -> DataFrame:
-        return event_weather(self._read("events"))
+        return event_weather(self.given("events"))
 
     @property
     def clean(self) -> DataFrame:
@@ -85,7 +89,7 @@ class Tables:
 
     @property
     def line_fact(self) -> DataFrame:
-        raw = order_line_trips(self._read("lineitem"))
+        raw = order_line_trips(self.given("lineitem"))
         return trip_ops.fact_trips(trip_ops.clean(raw, LINE_SETTINGS), LINE_SETTINGS)
 
     @property
@@ -292,7 +296,7 @@ def manifest_comparison(t: Tables) -> DataFrame:
 
 
 def feed_fingerprint(t: Tables) -> DataFrame:
-    events = t._read("events")
+    events = t.given("events")
     return events.agg(*manifest.row_fingerprint(events, "event_id", "user_id", "event_type", "props"))
 
 

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-UNIT = 10_000
-_NOISE_DECIMALS = 6
+UNIT_DECIMALS = 4
+UNIT = 10**UNIT_DECIMALS
+_FINEST = 6  # decimals
 
 
 def _col(value: Column | str) -> Column:
@@ -29,10 +30,8 @@ def units(value: Column | str) -> Column:
 
 def half_up(value: Column | str, places: int) -> Column:
     """Round half away from zero to ``places`` and return a double."""
-    col = _col(value)
-    millionths = F.rint(F.abs(col) * float(10**_NOISE_DECIMALS))
-    size = F.floor(millionths / float(10 ** (_NOISE_DECIMALS - places)) + 0.5)
-    return F.when(col < 0, -size).otherwise(size) / float(10**places)
+    millionths = F.rint(_col(value) * float(10**_FINEST)).cast("long")
+    return F.round(millionths, places - _FINEST) / float(10**_FINEST)
 
 
 def unit_sum(value: Column | str) -> Column:
@@ -41,7 +40,7 @@ def unit_sum(value: Column | str) -> Column:
 
 
 def _total(unit_total: Column, places: int) -> Column:
-    return half_up(unit_total / float(UNIT), places)
+    return F.round(unit_total, places - UNIT_DECIMALS) / float(UNIT)
 
 
 def _mean(unit_total: Column, count: Column, places: int) -> Column:
