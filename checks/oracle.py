@@ -363,6 +363,8 @@ _STEPS: dict[str, str] = {
                      max(trip_duration_minutes) OVER () AS hi
               FROM fact WHERE trip_duration_minutes BETWEEN 1 AND 60) GROUP BY 1""",
     "q1_buckets": "SELECT distance_bucket, count(*) AS trips FROM fact GROUP BY distance_bucket",
+    "q1_sample": """SELECT trip_duration_minutes FROM fact
+        WHERE trip_duration_minutes BETWEEN 1 AND 60 LIMIT 200000""",
     "q2_tips_by_bucket": f"""SELECT distance_bucket, {_avg("tip_percentage", 2)} AS avg_tip_pct,
         {_median("tip_percentage", 2)} AS median_tip_pct, count(*) AS trips
         FROM fact WHERE payment_type = 1 GROUP BY distance_bucket""",

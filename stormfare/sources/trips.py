@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
@@ -37,29 +37,46 @@ def missing_columns(df: DataFrame) -> list[str]:
     return sorted(set(fv.REQUIRED_TRIP_COLUMNS) - set(df.columns))
 
 
+def _month_counts(spark: SparkSession, folder: str) -> tuple[DataFrame, str | None]:
+    """Rows, files with rows and listed files of a month, and what is wrong with its schema."""
+    try:
+        files = (
+            spark.read.option("recursiveFileLookup", "true")
+            .option("ignoreCorruptFiles", "true")
+            .parquet(folder)
+        )
+    except AnalysisException as problem:
+        none = F.lit(0).cast("long")
+        nothing = spark.range(1).select(none.alias("rows"), none.alias("files"), none.alias("listed"))
+        return nothing, problem.getCondition() or "UNREADABLE"
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(folder)
+        .agg(F.count("path"))
+    )
+    path = files.metadataColumn("_metadata").getField("file_path")
+    per_file = files.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    counted = per_file.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("path").alias("files")
+    ).withColumn("listed", listed.scalar())
+    absent = missing_columns(files)
+    return counted, f"missing columns: {', '.join(absent)}" if absent else None
+
+
 def validate_months(spark: SparkSession, settings: Settings, plain: bool = False) -> DataFrame:
-    """One row per month: rows, files, missing columns and SUCCESS or FAILED.
+    """One row per month: rows, files, what is wrong, and SUCCESS or FAILED.
 
-    A month fails when it cannot be opened, is empty or lacks a required column.
-    Opening reads one footer; the counts of all months run as one job.
+    A month fails when it cannot be opened, lacks a required column, or has a
+    file that is empty or cannot be read. Such files are skipped, and show as
+    the difference between the files listed and the files that gave rows. The
+    counts of all months are one job, which reads no column.
     """
     reports = []
     for label, folder in month_folders(settings.trip_path, settings, plain):
-        try:
-            files = spark.read.option("recursiveFileLookup", "true").parquet(folder)
-        except PySparkException as problem:
-            counted = spark.range(1).select(
-                F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("files")
-            )
-            error = problem.getCondition() or "UNREADABLE"
-        else:
-            path = files.metadataColumn("_metadata").getField("file_path")
-            per_file = files.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
-            counted = per_file.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("path").alias("files")
-            )
-            absent = missing_columns(files)
-            error = f"missing columns: {', '.join(absent)}" if absent else None
+        counted, error = _month_counts(spark, folder)
+        lost = F.col("listed") - F.col("files")
         reports.append(
             counted.select(
                 F.lit(label).alias("month"),
@@ -67,7 +84,8 @@ def validate_months(spark: SparkSession, settings: Settings, plain: bool = False
                 "files",
                 F.coalesce(
                     F.lit(error).cast("string"),
-                    F.when(F.col("rows") == 0, F.lit("empty")),
+                    F.when(F.col("rows") == 0, "empty"),
+                    F.when(lost > 0, F.format_string("%d files empty or unreadable", lost)),
                 ).alias("error"),
             )
         )

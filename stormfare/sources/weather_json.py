@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import Settings
@@ -64,7 +64,7 @@ def read_weather(
     for label, folder in month_folders(settings.weather_path, settings, plain):
         try:
             frames.append(_month(spark, folder, style, infer))
-        except PySparkException as problem:
+        except AnalysisException as problem:
             failed[label] = problem.getCondition() or str(problem)
     if not frames:
         raise FileNotFoundError(f"no weather could be read: {failed}")
