@@ -27,8 +27,9 @@ STAGED_TRIP_COLUMNS = (
 
 
 def stage_trips(fact: DataFrame) -> DataFrame:
-    """The fact table with a trip number."""
-    return with_row_number(fact, TRIP_ORDER, "trip_id").select(*STAGED_TRIP_COLUMNS)
+    """The fact table, or some of its columns, with a trip number."""
+    numbered = with_row_number(fact, TRIP_ORDER, "trip_id")
+    return numbered.select(*(c for c in STAGED_TRIP_COLUMNS if c in numbered.columns))
 
 
 def stage_weather(weather: DataFrame) -> DataFrame:

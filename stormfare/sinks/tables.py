@@ -29,21 +29,26 @@ def write_table(
     path: str,
     contract: Contract | None = None,
     partition_by: tuple[str, ...] = (),
+    gather: bool = False,
     sort_by: tuple[str, ...] = (),
     only_these_partitions: bool = False,
 ) -> WriteReport:
     """Overwrite a table, so that running again gives the same table.
 
     With ``only_these_partitions`` the other partitions stay: the reload of a
-    period. ``sort_by`` orders the rows inside each file, which gives readers
-    narrow min/max ranges to skip by. Rows breaking the contract are counted by
-    the write and returned.
+    period. Rows breaking the contract are counted by the write and returned.
+
+    ``gather`` shuffles the rows of each partition folder together, which is
+    needed when every task has rows of many folders and would leave a small file
+    in each; a folder much larger than the others is split again. Without it the
+    write moves no data. ``sort_by`` orders the rows inside each file, which
+    gives readers narrow min/max ranges to skip by.
     """
     table = contract.conform(df) if contract else df
     checks = contract.violations() if contract else []
     metrics = Observation()
     table = table.observe(metrics, F.count(F.lit(1)).alias("rows"), *checks)
-    if partition_by:
+    if gather:
         table = table.hint("rebalance", *partition_by)
     if sort_by:
         table = table.sortWithinPartitions(*partition_by, *sort_by)

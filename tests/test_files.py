@@ -151,7 +151,8 @@ def test_fingerprint_ignores_order(spark):
 def test_write_is_idempotent_and_counts(spark, folder):
     fact = trip_ops.fact_trips(dated(spark), S)
     for _ in range(2):
-        report = write_table(fact, f"{folder}/f", FACT_TRIPS, ("pickup_date",), ("pickup_datetime",))
+        report = write_table(fact, f"{folder}/f", FACT_TRIPS, ("pickup_date",), gather=True,
+                             sort_by=("pickup_datetime",))
     assert (report.rows, report.broken) == (3, {})
     assert report.rows_per_second > 0
     assert spark.read.parquet(f"{folder}/f").count() == 3
