@@ -96,7 +96,7 @@ def main() -> None:
         "value": round(sum(queries.values()), 3),
         "unit": "sec",
         "queries": queries,
-        "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(FOLDER.rstrip("/")).removeprefix("sf")),
         "batch_run": batch_run(spark) if COPIES else None,
     }
     print(json.dumps(result))
