@@ -32,11 +32,15 @@ def write_table(
     gather: bool = False,
     sort_by: tuple[str, ...] = (),
     only_these_partitions: bool = False,
+    strict: bool = False,
 ) -> WriteReport:
     """Overwrite a table, so that running again gives the same table.
 
     With ``only_these_partitions`` the other partitions stay: the reload of a
-    period. Rows breaking the contract are counted by the write and returned.
+    period. Rows breaking the contract are counted by the write and returned;
+    with ``strict`` the first one fails the write. A full overwrite empties the
+    table before it writes, so after a failure the run has to be repeated; a
+    reload of some partitions replaces them only once all rows are written.
 
     ``gather`` shuffles the rows of each partition folder together, which is
     needed when every task has rows of many folders and would leave a small file
@@ -44,7 +48,9 @@ def write_table(
     write moves no data. ``sort_by`` orders the rows inside each file, which
     gives readers narrow min/max ranges to skip by.
     """
-    table = contract.conform(df) if contract else df
+    table = df
+    if contract:
+        table = contract.enforce(df) if strict else contract.conform(df)
     checks = contract.violations() if contract else []
     metrics = Observation()
     table = table.observe(metrics, F.count(F.lit(1)).alias("rows"), *checks)

@@ -49,13 +49,22 @@ def _stored(path: str, like: DataFrame) -> DataFrame:
 def merge_hours(batch: DataFrame, path: str) -> None:
     """Merge a batch into the hourly table; merging it again changes nothing.
 
-    Only the dates of the batch are read and replaced. Batch and stored rows are
-    one table of at most one row per hour and source, so the result is small; it
-    is written aside before the folders it was read from are replaced.
+    Only the dates of the batch are replaced, and only the folders between its
+    first and last date are read. Both sides have one row per hour, so the
+    result is small; it is written aside before the folders it was read from are
+    replaced.
     """
     fresh = written(batch.transform(first_per_hour), "weather-batch")
+    first, last = fresh.agg(F.min(PARTITION), F.max(PARTITION)).first()
+    if first is None:
+        return
     touched = fresh.select(PARTITION).distinct()
-    kept = _stored(path, fresh).join(touched, PARTITION, "left_semi").select(*fresh.columns)
+    kept = (
+        _stored(path, fresh)
+        .filter(F.col(PARTITION).between(F.lit(first), F.lit(last)))
+        .join(touched, PARTITION, "left_semi")
+        .select(*fresh.columns)
+    )
     merged = written(fresh.unionByName(kept).transform(first_per_hour), "weather-merge")
     (
         merged.repartition(PARTITION)

@@ -179,6 +179,8 @@ def test_contract(spark, folder):
         contract.enforce(df.filter("a = 1")).collect()
     with pytest.raises(Exception, match="t: a is null"):
         contract.enforce(df.filter("a IS NULL")).collect()
+    with pytest.raises(Exception, match="t: (a is null|b is longer than 3)"):
+        write_table(df, f"{folder}/strict", contract, strict=True)
     assert contract.enforce(df.withColumns({"a": F.lit(1), "b": F.lit("x")})).count() == 2
 
 
