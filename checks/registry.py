@@ -8,7 +8,6 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stormfare import fixed_values as fv
 from stormfare.bindings import event_trips, event_weather, order_line_trips
 from stormfare.config import Settings, settings_for_years
 from stormfare.functions.exact import total
