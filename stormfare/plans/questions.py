@@ -21,6 +21,7 @@ from ..functions.exact import (
 )
 from ..functions.trip import is_peak_hour
 from ..operators.joins import from_zones, join_hourly
+from ..operators.quantiles import ranked_quantile, with_ranks
 from .marts import known_weather
 
 
@@ -103,10 +104,11 @@ def tips_by_bucket(fact: DataFrame) -> DataFrame:
     tip = "tip_percentage"
     by_value = _card(fact).groupBy("distance_bucket", tip).agg(weight())
     return (
-        by_value.groupBy("distance_bucket")
+        with_ranks(by_value, ["distance_bucket"], tip)
+        .groupBy("distance_bucket")
         .agg(
             weighted_mean(tip, 2).alias("avg_tip_pct"),
-            weighted_quantile(tip, 0.5, 2).alias("median_tip_pct"),
+            ranked_quantile(tip, 0.5, 2).alias("median_tip_pct"),
             merged_count().alias("trips"),
         )
         .orderBy("distance_bucket")
@@ -269,10 +271,11 @@ def tips_by_weather(enriched: DataFrame) -> DataFrame:
     by_value = known_weather(_card(enriched)).groupBy("weather_category", tip).agg(weight())
     untipped = F.sum(F.when(F.col(tip) == 0, F.col("_rows")).otherwise(0))
     return (
-        by_value.groupBy("weather_category")
+        with_ranks(by_value, ["weather_category"], tip)
+        .groupBy("weather_category")
         .agg(
             weighted_mean(tip, 2).alias("avg_tip"),
-            weighted_quantile(tip, 0.5, 2).alias("median_tip"),
+            ranked_quantile(tip, 0.5, 2).alias("median_tip"),
             weighted_stddev(tip, 2).alias("std_tip"),
             percent(untipped, merged_count(), 2).alias("pct_untipped"),
         )

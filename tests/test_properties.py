@@ -14,6 +14,7 @@ from stormfare.functions.exact import (
 )
 from stormfare.operators import trips as trip_ops, weather as weather_ops
 from stormfare.bindings import event_trips
+from stormfare.operators.quantiles import ranked_quantile, with_ranks
 from stormfare.plans import marts, questions
 
 SMALL = "/root/testdata/sf0.001"
@@ -44,10 +45,13 @@ def test_two_step_aggregates_equal_their_definitions(spark):
     ] + [("one", 3.5), ("none", None)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(7)
     found = {
-        r.k: r for r in df.groupBy("k", "v").agg(weight()).groupBy("k").agg(
+        r.k: r
+        for r in with_ranks(df.groupBy("k", "v").agg(weight()), ["k"], "v").groupBy("k").agg(
             weighted_mean("v", 4).alias("mean"),
             weighted_quantile("v", 0.5, 4).alias("median"),
             weighted_quantile("v", 0.75, 4).alias("p75"),
+            ranked_quantile("v", 0.5, 4).alias("ranked_median"),
+            ranked_quantile("v", 0.9, 4).alias("ranked_p90"),
             weighted_stddev("v", 4).alias("std"),
         ).collect()
     }
@@ -58,10 +62,13 @@ def test_two_step_aggregates_equal_their_definitions(spark):
         r = found[k]
         if not values:
             assert (r["mean"], r.median, r.p75, r.std) == (None,) * 4
+            assert (r.ranked_median, r.ranked_p90) == (None, None)
             continue
         assert r["mean"] == pytest.approx(np.mean(values), abs=6e-5)
         assert r.median == pytest.approx(np.median(values), abs=6e-5)
         assert r.p75 == pytest.approx(np.quantile(values, 0.75), abs=6e-5)
+        assert r.ranked_median == r.median
+        assert r.ranked_p90 == pytest.approx(np.quantile(values, 0.9), abs=6e-5)
         if len(values) == 1:
             assert r.std is None
         else:
