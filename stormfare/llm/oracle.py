@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stormfare.llm import mixing, quality
+from stormfare.llm import mixing, quality, warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
@@ -129,6 +129,21 @@ FROM placed
 """
 
 
+def warc_round_trip() -> str:
+    return f"""
+WITH pages AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {warc.MIN_REVISIT_BYTES} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {warc.MIN_REVISIT_BYTES} AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
 def url_rules(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in rules)
     split = r"(?s)^.*?://([^/?#]*)([^?#]*)"

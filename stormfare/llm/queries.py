@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import mixing, oracle, quality, urls
+from stormfare.llm import bpe, mixing, oracle, quality, secrets, token_files, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ URL_RULES = [
 ]
 
 
+#: Where the vocabulary files of public tokenizers lie.
+VOCABULARIES = "/opt/tokenizers"
+
+
 def _given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -32,6 +36,24 @@ def systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_report(_given(spark, folder, "documents"))
 
 
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(_given(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_texts(_given(spark, folder, "documents"), f"{VOCABULARIES}/byte_bpe_50k.tiktoken")
+
+
+def token_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_file_report(
+        _given(spark, folder, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+
+
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_report(_given(spark, folder, "documents"))
+
+
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return urls.judge_urls(_given(spark, folder, "pages"), rules)
@@ -40,11 +62,16 @@ def url_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rules,
     "op2_systematic_mix": systematic_mix,
+    "op4_warc_round_trip": warc_round_trip,
+    "op5_byte_bpe": byte_bpe,
+    "op7_token_files": token_id_files,
+    "op8_secret_scan": secret_scan,
     "op10_url_rules": url_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracle.quality_rules(),
     "op2_systematic_mix": oracle.systematic_mix(),
+    "op4_warc_round_trip": oracle.warc_round_trip(),
     "op10_url_rules": oracle.url_rules(URL_RULES),
 }
