@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import bpe, mixing, oracle, quality, secrets, token_files, urls, warc
+from stormfare.llm import bpe, embeddings, mixing, oracle, quality, secrets, token_files, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,10 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(_given(spark, folder, "documents"))
 
 
+def embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_given(spark, folder, "embeddings"))
+
+
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return urls.judge_urls(_given(spark, folder, "pages"), rules)
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op5_byte_bpe": byte_bpe,
     "op7_token_files": token_id_files,
     "op8_secret_scan": secret_scan,
+    "op9_embedding_duplicates": embedding_duplicates,
     "op10_url_rules": url_rules,
 }
 
