@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import bpe, embeddings, mixing, oracle, quality, secrets, token_files, urls, warc
+from stormfare.llm import bpe, embeddings, mixing, ngram, oracle, quality, secrets, token_files, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(_given(spark, folder, "embeddings"))
 
 
+def ngram_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram.duplicate_groups(_given(spark, folder, "documents"))
+
+
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return urls.judge_urls(_given(spark, folder, "pages"), rules)
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_systematic_mix": systematic_mix,
     "op4_warc_round_trip": warc_round_trip,
     "op5_byte_bpe": byte_bpe,
+    "op6_ngram_groups": ngram_groups,
     "op7_token_files": token_id_files,
     "op8_secret_scan": secret_scan,
     "op9_embedding_duplicates": embedding_duplicates,
