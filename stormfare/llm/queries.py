@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import bpe, embeddings, mixing, ngram, oracle, quality, secrets, token_files, urls, warc
+from stormfare.llm import bpe, embeddings, mixing, ngram, oracle, quality, secrets, token_files, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def ngram_groups(spark: SparkSession, folder: str) -> DataFrame:
     return ngram.duplicate_groups(_given(spark, folder, "documents"))
 
 
+def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_given(spark, folder, "documents"), _given(spark, folder, "labels"))
+
+
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return urls.judge_urls(_given(spark, folder, "pages"), rules)
@@ -70,6 +74,7 @@ def url_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rules,
     "op2_systematic_mix": systematic_mix,
+    "op3_toxicity": toxic_scores,
     "op4_warc_round_trip": warc_round_trip,
     "op5_byte_bpe": byte_bpe,
     "op6_ngram_groups": ngram_groups,
