@@ -7,6 +7,9 @@ documents: words and word beginnings of ``STEM`` letters that occur in many
 toxic and hardly any other documents. It has at most ``LEXICON`` entries, so it
 is part of the plan, as are the trees.
 
+Training features come from cross-fitted lexicons, each half's from the other half, so the trees learn how
+far the lexicon can be trusted on new documents.
+
 Trees and calibration are fitted on at most about ``TRAIN_ROWS`` labelled
 documents, chosen by a hash. Of these, one quarter calibrates: isotonic
 regression maps the trees' probability to the share of toxic documents. Labels
@@ -67,7 +70,8 @@ def learned_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
         F.filter("tokens", lambda w: F.length(w) >= STEM), lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM))))
     each = tokens.select("toxic", F.explode(F.concat("tokens", stems)).alias("entry"))
     totals = train.agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
+        F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"),
+        F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0)).alias("c")).first()
     counted = each.groupBy("entry").agg(
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter(
             F.col("t") >= max(MIN_TOXIC_DOCS, MIN_TOXIC_SHARE * totals["t"]))
@@ -144,9 +148,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     labels_seen = {r["toxic"] for r in train.select("toxic").distinct().collect()}
     if not {0, 1} <= labels_seen:
         return None
-    words, stems = learned_lexicon(train)
-    features = written(with_features(train, words, stems).drop("text").withColumn(
+    # Each half gets its features by the other half's lexicon: a document's own words must not vouch for it.
+    half = F.pmod(F.xxhash64("key", F.lit(SEED + 2)), F.lit(2))
+    halves = [train.filter(half == i) for i in (0, 1)]
+    parts = [with_features(halves[1 - i], *learned_lexicon(halves[i])).drop("text") for i in (0, 1)]
+    features = written(parts[0].unionByName(parts[1]).withColumn(
         "calibrates", F.pmod(F.xxhash64("key", F.lit(SEED + 1)), F.lit(4)) == 0), "toxic-features")
+    words, stems = learned_lexicon(train)
     ready = _assemble.transform(features).withColumn("label", F.col("toxic").cast("double"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(ready.filter(~F.col("calibrates")))
     raw = _probability(trees, features.filter("calibrates")).select("raw_score", "toxic")
