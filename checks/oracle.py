@@ -292,6 +292,28 @@ def _top(rows: str, count: str, k: int, columns: str = "*") -> str:
     return f"SELECT {columns} FROM ({rows}) ORDER BY {count} DESC, pickup_hour LIMIT {k}"
 
 
+# Files of the first ten days as the validation query writes them.
+_CHECKED_FILES = """
+    SELECT '2024-01' AS month, 'all' AS folder, count(*) AS rows, NULL AS error
+    FROM raw_trips WHERE day(tpep_pickup_datetime) <= 10
+    UNION ALL SELECT '2024-02', 'a', count(*), 'missing columns: fare_amount'
+    FROM raw_trips WHERE day(tpep_pickup_datetime) <= 5
+    UNION ALL SELECT '2024-02', 'b', count(*), NULL
+    FROM raw_trips WHERE day(tpep_pickup_datetime) BETWEEN 6 AND 10
+    UNION ALL SELECT '2024-03', 'none', 0, 'empty'
+    UNION ALL SELECT '2024-04', NULL, 0, 'PATH_NOT_FOUND'"""
+
+_INGEST = f"""
+    SELECT count(*) AS months, count(*) FILTER (WHERE bad = 0) AS succeeded,
+           count(*) FILTER (WHERE bad > 0) AS failed,
+           CAST(sum(CASE WHEN bad = 0 THEN rows ELSE 0 END) AS BIGINT) AS rows
+    FROM (SELECT month, count(error) AS bad, sum(rows) AS rows FROM ({_CHECKED_FILES}) GROUP BY month)"""
+
+
+def _digest_half(at: int) -> str:
+    return f"CAST(sum(('0x' || substr(d, {at}, 16))::UBIGINT) AS VARCHAR)"
+
+
 _STEPS: dict[str, str] = {
     "raw_trips": "SELECT * FROM raw_trips",
     "clean_trips": "SELECT * FROM clean",
@@ -431,15 +453,23 @@ _STEPS: dict[str, str] = {
         CAST(day(tpep_pickup_datetime) AS INTEGER) AS day, count(*) AS trips,
         {_total("fare_amount", 2)} AS fares FROM raw_trips GROUP BY ALL""",
     "trip_file_scan": "SELECT distance_bucket, count(*) AS trips FROM fact GROUP BY distance_bucket",
-    "schema_validation": "SELECT month, rows, status FROM months",
-    "ingest_report": """SELECT count(*) AS months,
-        count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded,
-        count(*) FILTER (WHERE status <> 'SUCCESS') AS failed,
-        CAST(sum(rows) AS BIGINT) AS rows FROM months""",
-    "manifest_comparison": "SELECT 'same' AS state, TRUE AS found",
-    "feed_fingerprint": """SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(
-          concat_ws('|', event_id, user_id, event_type, props)), 1, 8) AS BIGINT)) AS BIGINT)
-          AS digest_sum FROM events""",
+    "schema_validation": f"""SELECT month, folder, rows, error,
+        CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM ({_CHECKED_FILES})""",
+    "ingest_report": _INGEST,
+    "ingest_sizes": f"SELECT *, TRUE AS has_size FROM ({_INGEST})",
+    "file_manifest": """SELECT 'year=' || year(tpep_pickup_datetime) || '/month=' ||
+          month(tpep_pickup_datetime) || '/day=' || day(tpep_pickup_datetime) AS file,
+        count(*) AS rows, TRUE AS digested FROM raw_trips GROUP BY 1""",
+    "manifest_comparison": """SELECT state, count(*) AS folders FROM (
+        SELECT DISTINCT CAST(tpep_pickup_datetime AS DATE),
+          CASE day(tpep_pickup_datetime) WHEN 5 THEN 'changed' WHEN 7 THEN 'missing' WHEN 16 THEN 'new'
+               ELSE 'same' END AS state
+        FROM raw_trips WHERE day(tpep_pickup_datetime) <= 16) GROUP BY state""",
+    "feed_fingerprint": f"""SELECT count(*) AS rows, {_digest_half(1)} || '-' || {_digest_half(17)} AS digest
+      FROM (SELECT md5({" || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+                                    for c in ("event_id", "event_type", "props", "ts", "user_id", "value"))}) AS d
+            FROM (SELECT event_id, event_type, props, epoch_us(ts) AS ts, user_id,
+                         CAST(round_even(value * 1e6, 0) AS BIGINT) AS value FROM events))""",
     "write_report": "SELECT 'fact_trips' AS table_name, count(*) AS rows FROM fact",
     "period_reload": f"""SELECT pickup_date, count(*) AS trips,
         {_total("total_amount", 2)} AS revenue FROM fact GROUP BY pickup_date""",

@@ -17,10 +17,10 @@ from stormfare.operators import quality, trips as trip_ops, weather as weather_o
 from stormfare.operators.joins import from_zones, join_hourly
 from stormfare.plans import marts, questions, staging
 from stormfare.schemas import FACT_TRIPS
-from stormfare.session import scratch_path
+from stormfare.session import delete, scratch_path, written
 from stormfare.sinks.tables import write_table
 from stormfare.sources import catalog, layout, manifest, spine
-from stormfare.sources.trips import read_trips, validate_months
+from stormfare.sources.trips import read_trips, validate_files, validate_months
 from stormfare.sources.weather_json import LINES, read_weather, union_by_name
 from stormfare.streaming import weather_stream
 
@@ -266,49 +266,89 @@ def trip_files_by_day(t: Tables) -> DataFrame:
 
 
 def trip_file_scan(t: Tables) -> DataFrame:
-    """The reader of the period's folders, through to the bucket counts."""
-    settings = replace(_trip_files(t), months=(1,))
+    """The reader over folders that disagree on types, through to the bucket counts."""
+    path = scratch_path(t.spark, "trips-mixed")
+    third = F.dayofmonth("tpep_pickup_datetime") % 3
+    for part, kind in enumerate(("bigint", "double", "smallint")):
+        rows = t.raw_trips.filter(third == part).withColumn(
+            "passenger_count", F.col("passenger_count").cast(kind))
+        rows.write.parquet(f"{path}/2024/01/part{part}")
+    settings = replace(SETTINGS, months=(1,), trip_path=path)
     fact = trip_ops.fact_trips(
-        trip_ops.clean(read_trips(t.spark, settings), settings), settings
+        trip_ops.clean(read_trips(t.spark, settings, plain=True), settings), settings
     )
     return questions.bucket_counts(fact)
 
 
+def _checked_files(t: Tables) -> Settings:
+    """Months with good files, one file without fares, one empty file, and one month that is not there."""
+    path = scratch_path(t.spark, "trips-checked")
+    day = F.dayofmonth("tpep_pickup_datetime")
+    good = t.raw_trips.filter(day <= 10).coalesce(1)
+    good.write.parquet(f"{path}/2024/01/all")
+    good.filter(day <= 5).drop("fare_amount").write.parquet(f"{path}/2024/02/a")
+    good.filter(day > 5).write.parquet(f"{path}/2024/02/b")
+    good.filter(day > 31).write.parquet(f"{path}/2024/03/none")
+    return replace(SETTINGS, months=(1, 2, 3, 4), trip_path=path)
+
+
 def schema_validation(t: Tables) -> DataFrame:
-    return validate_months(t.spark, _trip_files(t)).select("month", "rows", "status")
+    """What is wrong with each file, which is named by its folder here."""
+    checked = validate_files(t.spark, _checked_files(t), plain=True)
+    return checked.select(
+        "month", F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("folder"), "rows", "error", "status")
 
 
 def ingest_report(t: Tables) -> DataFrame:
-    return manifest.ingest_summary(validate_months(t.spark, _trip_files(t)).drop("files"))
+    months = validate_months(t.spark, _checked_files(t), plain=True)
+    return manifest.ingest_summary(months.drop("files"))
 
 
 def ingest_sizes(t: Tables) -> DataFrame:
-    """The ingestion report with megabytes per month from the file manifest."""
-    settings = _trip_files(t)
+    """The ingestion report with sizes per month from the file manifest."""
+    settings = _checked_files(t)
     sizes = manifest.month_sizes(manifest.file_manifest(t.spark, settings.trip_path))
-    months = validate_months(t.spark, settings).join(sizes, "month", "left")
-    return manifest.ingest_summary(months)
+    months = validate_months(t.spark, settings, plain=True).join(sizes, "month", "left")
+    summary = manifest.ingest_summary(months)
+    return summary.withColumn("size_mb", F.col("size_mb") >= 0).withColumnRenamed("size_mb", "has_size")
 
 
 def file_manifest(t: Tables) -> DataFrame:
-    return manifest.file_manifest(t.spark, t.folder, "events.parquet").drop("modificationTime")
+    """Rows of every folder as the digests counted them, and whether all its files have a digest."""
+    folders = manifest.folder_manifest(manifest.file_manifest(t.spark, _trip_files(t).trip_path))
+    return folders.select("file", "rows", F.col("digest").isNotNull().alias("digested"))
 
 
 def manifest_comparison(t: Tables) -> DataFrame:
-    """A copy of the table against itself, before and after a month was reloaded."""
-    settings = _trip_files(t)
-    before = manifest.file_manifest(t.spark, settings.trip_path)
-    after = manifest.file_manifest(t.spark, settings.trip_path)
-    return (
-        manifest.compare_manifests(before, after)
-        .groupBy("state")
-        .agg((F.count(F.lit(1)) > 0).alias("found"))
-    )
+    """A table before and after reloads: one day as it was, one changed, one added, one taken away."""
+    path = scratch_path(t.spark, "trips-reloaded")
+    day = F.dayofmonth("tpep_pickup_datetime")
+
+    def load(rows: DataFrame) -> None:
+        (layout.with_partitions(rows, "tpep_pickup_datetime").repartition("year", "month", "day")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year", "month", "day").parquet(path))
+
+    load(t.raw_trips.filter(day <= 15))
+    before = written(manifest.folder_manifest(manifest.file_manifest(t.spark, path)), "manifest-before")
+    load(t.raw_trips.filter(day == 2))
+    load(t.raw_trips.filter(day == 5).withColumn("fare_amount", F.col("fare_amount") + 1))
+    load(t.raw_trips.filter(day == 16))
+    for month in SETTINGS.months:
+        delete(t.spark, f"{path}/year={SETTINGS.year}/month={month}/day=7")
+    after = manifest.folder_manifest(manifest.file_manifest(t.spark, path))
+    states = manifest.compare_manifests(before, after)
+    return states.groupBy("state").agg(F.count(F.lit(1)).alias("folders"))
 
 
 def feed_fingerprint(t: Tables) -> DataFrame:
+    """One digest of the whole feed; times and amounts as whole numbers, which every engine writes alike."""
     events = t.given("events")
-    return events.agg(*manifest.row_fingerprint(events, "event_id", "user_id", "event_type", "props"))
+    plain = events.withColumns({
+        "ts": F.unix_micros(F.col("ts").cast("timestamp")),
+        "value": F.rint(F.col("value") * 1e6).cast("long"),
+    })
+    return plain.agg(*manifest.row_fingerprint(*sorted(plain.columns)))
 
 
 # --- Sinks -------------------------------------------------------------------------

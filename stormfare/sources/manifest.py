@@ -1,63 +1,95 @@
-"""Integrity manifest of files, its comparison, and the ingestion report."""
+"""Integrity manifest of Parquet files, its comparison, and the ingestion report."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
 
-# Spark loads a binary file as one value, which cannot pass 2 GiB.
-MAX_DIGEST_BYTES = 1 << 30
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .files import by_schema, list_parquet, parquet_reader
 
-def file_manifest(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """Name below ``path``, size, change time and MD5 of every file.
 
-    The size limit is applied while listing, so a larger file is never loaded;
-    its MD5 is NULL and :func:`row_fingerprint` checks its rows instead.
+def row_fingerprint(*columns: str) -> list[Column]:
+    """Aggregates that identify a set of rows in any order and any file layout.
+
+    Every value is written with its length and a NULL with a mark of its own, so
+    no two different rows have one text. The 128 bits of each row's MD5 are
+    added up in two halves.
+    """
+    def marked(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        known = F.concat(F.octet_length(value).cast("string"), F.lit(":"), value)
+        return F.coalesce(known, F.lit("-"))
+
+    digest = F.md5(F.concat_ws("", *map(marked, columns)))
+    halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    added = [F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").cast("string") for h in halves]
+    return [F.count(F.lit(1)).alias("rows"), F.concat_ws("-", *added).alias("digest")]
+
+
+def file_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Name below ``path``, size, rows and digest of all columns of every file, whatever its size.
+
+    A file that cannot be read has no digest.
     """
     root = path.rstrip("/")
-    name = F.substr(F.col("path"), F.locate(root, F.col("path")) + len(root) + 1)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-    )
-    small = files.filter(F.col("length") <= MAX_DIGEST_BYTES)
-    large = files.filter(F.col("length") > MAX_DIGEST_BYTES)
-    columns = [name.alias("file"), "length", "modificationTime"]
-    return small.select(*columns, F.md5("content").alias("md5")).unionByName(
-        large.select(*columns, F.lit(None).cast("string").alias("md5"))
+    files = list_parquet(spark, root)
+    name = F.substring_index("path", root.split(":")[-1].lstrip("/") + "/", -1)
+    listed = spark.createDataFrame(
+        [(f.path, f.length, f.schema is not None) for f in files], "path string, length long, readable boolean")
+    digests = [spark.createDataFrame([], "path string, rows long, digest string")]
+    for paths in by_schema(files).values():
+        read = parquet_reader(spark).parquet(*paths)
+        at = read.metadataColumn("_metadata").getField("file_path")
+        # Columns in order of name: the order within a file does not matter.
+        digests.append(read.withColumn("_path", at).groupBy(F.col("_path").alias("path")).agg(
+            *row_fingerprint(*sorted(read.columns))))
+    found = listed.join(reduce(DataFrame.unionByName, digests), "path", "left")
+    return found.select(
+        name.alias("file"), "length",
+        F.when(F.col("readable"), F.coalesce("rows", F.lit(0))).alias("rows"),
+        F.when(F.col("readable"), F.coalesce("digest", F.lit("0-0"))).alias("digest"),
     )
 
 
-def row_fingerprint(df: DataFrame, *columns: str) -> list:
-    """Aggregates that identify a set of rows in any order and any file layout."""
-    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
-    digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return [F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("digest_sum")]
+def folder_manifest(manifest: DataFrame) -> DataFrame:
+    """The manifest by folder: digests add up, so a reload into other files compares as equal."""
+    folder = F.regexp_replace("file", "/?[^/]*$", "")
+    half = [F.sum(F.split_part("digest", F.lit("-"), F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
+    unread = F.count_if(F.col("digest").isNull())
+    return manifest.groupBy(folder.alias("file")).agg(
+        F.sum("length").alias("length"), F.sum("rows").alias("rows"),
+        F.when(unread == 0, F.concat_ws("-", *[h.cast("string") for h in half])).alias("digest"),
+    )
 
 
 def compare_manifests(before: DataFrame, after: DataFrame) -> DataFrame:
-    """State of each file across two manifests: same, changed, missing or new."""
+    """State of each file or folder: same, changed, missing, new, or unverified without a digest."""
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(
-            "file",
-            F.col("length").alias(f"{prefix}_length"),
-            F.col("md5").alias(f"{prefix}_md5"),
-        )
+        kept = ("length", "rows", "digest")
+        return df.select("file", F.lit(True).alias(f"{prefix}_there"),
+                         *(F.col(c).alias(f"{prefix}_{c}") for c in kept))
 
     both = side(before, "before").join(side(after, "after"), "file", "full_outer")
-    equal = (F.col("before_length") == F.col("after_length")) & F.col("before_md5").eqNullSafe(
-        F.col("after_md5")
-    )
+    equal = (F.col("before_rows") == F.col("after_rows")) & (F.col("before_digest") == F.col("after_digest"))
     state = (
-        F.when(F.col("after_length").isNull(), "missing")
-        .when(F.col("before_length").isNull(), "new")
+        F.when(F.col("after_there").isNull(), "missing")
+        .when(F.col("before_there").isNull(), "new")
+        .when(F.col("before_digest").isNull() | F.col("after_digest").isNull(), "unverified")
         .when(equal, "same")
         .otherwise("changed")
     )
-    return both.withColumn("state", state)
+    return both.withColumn("state", state).drop("before_there", "after_there")
+
+
+def size_differences(manifest: DataFrame, listed: DataFrame, path: str) -> DataFrame:
+    """Files whose size is not that of the manifest, or which only one of both has."""
+    root = path.rstrip("/").split(":")[-1].lstrip("/")
+    name = F.substring_index("path", root + "/", -1)
+    now = listed.select(name.alias("file"), F.col("length").alias("length_now"))
+    both = manifest.select("file", "length").join(now, "file", "full_outer")
+    return both.filter(~F.col("length").eqNullSafe(F.col("length_now")))
 
 
 def month_sizes(manifest: DataFrame) -> DataFrame:

@@ -1,4 +1,3 @@
-import hashlib
 import os
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -13,6 +12,7 @@ from stormfare.schemas import FACT_TRIPS, Contract
 from stormfare.sinks.jdbc import JdbcTarget, write_jdbc
 from stormfare.sinks.tables import write_table
 from stormfare.sources import catalog, layout, manifest
+from stormfare.sources.files import listing
 from stormfare.sources.trips import file_row_counts, missing_columns, read_trips, validate_months
 
 S = Settings()
@@ -68,6 +68,17 @@ def test_types_of_other_feeds_are_accepted(spark, folder):
     assert [f.dataType for f in fact.schema] == [t for _, t in FACT_TRIPS.columns]
 
 
+def test_months_of_different_types_are_one_table(spark, folder):
+    for month, kind in ((1, "bigint"), (2, "double"), (3, "int")):
+        rows = dated(spark, [datetime(2024, month, 3, 10)]).coalesce(1)
+        rows.withColumn("passenger_count", F.col("passenger_count").cast(kind)).write.parquet(
+            f"{folder}/2024/{month:02d}")
+    settings = replace(S, months=(1, 2, 3), trip_path=folder)
+    found = trip_ops.clean(read_trips(spark, settings, plain=True), settings)
+    assert [r.passenger_count for r in found.collect()] == [1, 1, 1]
+    assert {r.status for r in validate_months(spark, settings, plain=True).collect()} == {"SUCCESS"}
+
+
 def test_validation_reports_every_month(spark, folder):
     written_by_date(spark, f"{folder}/t")
     spark.read.parquet(f"{folder}/t/year=2024/month=2").drop("fare_amount").write.parquet(
@@ -76,17 +87,37 @@ def test_validation_reports_every_month(spark, folder):
     rows = {r.month: r for r in validate_months(spark, settings).collect()}
     assert (rows["2024-01"].status, rows["2024-01"].rows) == ("SUCCESS", 2)
     assert rows["2024-02"].status == "SUCCESS"
-    assert (rows["2024-03"].status, rows["2024-03"].error) == ("FAILED", "missing columns: fare_amount")
+    assert rows["2024-03"].status == "FAILED"
+    assert rows["2024-03"].error.startswith("year=2024/month=3/part")
+    assert rows["2024-03"].error.endswith(".parquet: missing columns: fare_amount")
     assert (rows["2024-04"].status, rows["2024-04"].error) == ("FAILED", "PATH_NOT_FOUND")
     summary = manifest.ingest_summary(validate_months(spark, settings)).first()
     assert (summary.months, summary.succeeded, summary.failed, summary.rows) == (4, 2, 2, 3)
 
 
+@pytest.mark.parametrize("bad_first", [True, False])
+@pytest.mark.parametrize("change, error", [
+    (lambda df: df.drop("fare_amount"), "missing columns: fare_amount"),
+    (lambda df: df.withColumn("fare_amount", F.lit("ten")), "wrong types: fare_amount string"),
+])
+def test_one_bad_file_fails_its_month_by_any_name(spark, folder, bad_first, change, error):
+    names = ("a", "b") if bad_first else ("b", "a")
+    rows = dated(spark, [DAYS[0]]).coalesce(1)
+    change(rows).write.parquet(f"{folder}/2024/01/{names[0]}")
+    rows.write.parquet(f"{folder}/2024/01/{names[1]}")
+    settings = replace(S, months=(1,), trip_path=folder)
+    row = validate_months(spark, settings, plain=True).first()
+    assert (row.status, row.rows, row.files) == ("FAILED", 1, 2)
+    assert row.error.startswith(f"2024/01/{names[0]}/part") and row.error.endswith(error)
+    with pytest.raises(ValueError, match=f"2024/01/{names[0]}/part.*{error}"):
+        read_trips(spark, settings, plain=True)
+
+
 def test_empty_month_fails(spark, folder):
     dated(spark).limit(0).write.parquet(f"{folder}/2024/01")
     settings = replace(S, months=(1,), trip_path=folder)
     row = validate_months(spark, settings, plain=True).first()
-    assert (row.status, row.error) == ("FAILED", "empty")
+    assert row.status == "FAILED" and row.error.endswith(".parquet: empty")
 
 
 def test_unreadable_file_fails_its_month_only(spark, folder):
@@ -99,7 +130,7 @@ def test_unreadable_file_fails_its_month_only(spark, folder):
     rows = {r.month: r for r in validate_months(spark, settings, plain=True).collect()}
     assert rows["2024-01"].status == "SUCCESS"
     assert (rows["2024-02"].status, rows["2024-02"].rows) == ("FAILED", 1)
-    assert rows["2024-02"].error == "1 files empty or unreadable"
+    assert rows["2024-02"].error == "2024/02/x.parquet: unreadable"
 
 
 def test_missing_columns(spark):
@@ -108,29 +139,50 @@ def test_missing_columns(spark):
         "fare_amount", "tip_amount"]
 
 
+def states(before, after):
+    return {r.file: r.state for r in manifest.compare_manifests(before, after).collect()}
+
+
 def test_manifest_and_comparison(spark, folder):
-    for name, text in (("a.parquet", "one"), ("b.parquet", "two")):
-        with open(f"{folder}/{name}", "w") as out:
-            out.write(text)
-    before = spark.createDataFrame(manifest.file_manifest(spark, folder).collect())
-    assert {r.file: (r.length, r.md5) for r in before.collect()} == {
-        "a.parquet": (3, hashlib.md5(b"one").hexdigest()),
-        "b.parquet": (3, hashlib.md5(b"two").hexdigest()),
-    }
-    os.rename(f"{folder}/a.parquet", f"{folder}/c.parquet")
-    with open(f"{folder}/b.parquet", "w") as out:
-        out.write("tow")
-    after = manifest.file_manifest(spark, folder)
-    states = {r.file: r.state for r in manifest.compare_manifests(before, after).collect()}
-    assert states == {"a.parquet": "missing", "b.parquet": "changed", "c.parquet": "new"}
-
-
-def test_large_files_have_no_digest(spark, folder, monkeypatch):
+    def put(name, *rows):
+        df = spark.createDataFrame(list(rows), "a string, b string").coalesce(1)
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    def kept():
+        return spark.createDataFrame(manifest.folder_manifest(manifest.file_manifest(spark, folder)).collect())
+
+    put("same", ("1", "2"), ("3", "4"))
+    put("lost", ("1", "2"))
+    put("text", ("x|y", "z"))
+    put("null", (None, "z"))
+    put("cut", ("xy", "z"))
+    before = kept()
+    assert {r.file: r.rows for r in before.collect()}["same"] == 2
+    put("same", ("3", "4"), ("1", "2"))
+    put("text", ("x", "y|z"))
+    put("null", ("", "z"))
+    put("cut", ("x", "yz"))
+    put("more", ("1", "2"))
+    os.rename(f"{folder}/lost", f"{folder}/_lost")  # names with an underscore are not listed
+    assert states(before, kept()) == {
+        "same": "same", "lost": "missing", "text": "changed", "null": "changed", "cut": "changed", "more": "new"}
+
+
+def test_a_file_without_digest_is_never_the_same(spark, folder):
     with open(f"{folder}/a.parquet", "w") as out:
         out.write("one")
-    monkeypatch.setattr(manifest, "MAX_DIGEST_BYTES", 2)
-    row = manifest.file_manifest(spark, folder).first()
-    assert (row.length, row.md5) == (3, None)
+    found = manifest.file_manifest(spark, folder)
+    row = found.first()
+    assert (row.file, row.length, row.rows, row.digest) == ("a.parquet", 3, None, None)
+    assert states(found, found) == {"a.parquet": "unverified"}
+
+
+def test_sizes_are_checked_against_the_manifest(spark, folder):
+    dated(spark).coalesce(1).write.parquet(f"{folder}/t")
+    kept = spark.createDataFrame(manifest.file_manifest(spark, f"{folder}/t").collect())
+    assert manifest.size_differences(kept, listing(spark, f"{folder}/t"), f"{folder}/t").count() == 0
+    dated(spark).coalesce(1).write.mode("append").parquet(f"{folder}/t")
+    assert manifest.size_differences(kept, listing(spark, f"{folder}/t"), f"{folder}/t").count() == 1
 
 
 def test_month_sizes(spark):
@@ -143,7 +195,7 @@ def test_month_sizes(spark):
 def test_fingerprint_ignores_order(spark):
     df = spark.range(100).selectExpr("id", "cast(id % 7 as string) AS s")
     def mark(x):
-        return tuple(x.agg(*manifest.row_fingerprint(x, "id", "s")).first())
+        return tuple(x.agg(*manifest.row_fingerprint("id", "s")).first())
     assert mark(df) == mark(df.orderBy(F.desc("id")).repartition(5))
     assert mark(df) != mark(df.withColumn("s", F.lit("x")))
 
