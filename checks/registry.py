@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stormfare.bindings import event_trips, event_weather, order_line_trips
 from stormfare.config import Settings, settings_for_years
@@ -15,13 +15,13 @@ from stormfare.functions.time import iso_weekday
 from stormfare.functions.trip import payment_label
 from stormfare.operators import quality, trips as trip_ops, weather as weather_ops
 from stormfare.operators.joins import from_zones, join_hourly
-from stormfare.plans import marts, questions, staging
+from stormfare.plans import jobs, marts, questions, staging
 from stormfare.schemas import FACT_TRIPS
 from stormfare.session import delete, scratch_path, written
 from stormfare.sinks.tables import write_table
 from stormfare.sources import catalog, layout, manifest, spine
 from stormfare.sources.trips import read_trips, validate_files, validate_months
-from stormfare.sources.weather_json import LINES, read_weather, union_by_name
+from stormfare.sources.weather_json import LINES, input_report, read_weather, union_by_name
 from stormfare.streaming import weather_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,12 +168,42 @@ def _weather_files(t: Tables, levels: int = 3) -> Settings:
     return replace(SETTINGS, weather_path=path)
 
 
+def _pretty_weather(t: Tables) -> Settings:
+    """January's weather as pretty files of a day each, with a broken file and one with a broken field."""
+    path = scratch_path(t.spark, "weather-pretty")
+    dated = layout.with_partitions(t.raw_weather.withColumn("_ts", _observed_at()), "_ts").drop("_ts")
+    fields = [F.col(f"`{c}`") for c in t.raw_weather.columns]
+    text = F.to_json(F.struct(*fields), {"pretty": "true"})
+    whole = F.concat(F.lit("[\n"), F.array_join(F.collect_list(text), ",\n"), F.lit("\n]"))
+    days = dated.groupBy("year", "month", "day").agg(whole.alias("value"))
+    days.repartition(*layout.PARTITIONS).write.partitionBy(*layout.PARTITIONS).text(path)
+    first = t.raw_weather.orderBy("id").limit(1).select(text.alias("value"))
+    broken = {
+        "file": F.substring("value", 1, 40),
+        "field": F.regexp_replace("value", r'"temp" : [-0-9.E]+', '"temp" : "warm"'),
+    }
+    for name, value in broken.items():
+        first.select(value.alias("value")).coalesce(1).write.text(f"{path}/year={SETTINGS.year}/month=1/{name}")
+    return replace(SETTINGS, months=(1,), weather_path=path)
+
+
 def weather_json_scan(t: Tables) -> DataFrame:
-    settings = _weather_files(t)
-    read = read_weather(t.spark, settings, style=LINES, allow_partial=True)
+    read = read_weather(t.spark, _pretty_weather(t))
     return weather_ops.dim_weather(read.observations).drop(*LINEAGE)
 
 
+def weather_json_report(t: Tables) -> DataFrame:
+    """Rows kept, quarantined and dropped, by the batch reader and by the stream."""
+    settings = _pretty_weather(t)
+    path = scratch_path(t.spark, "stream-table")
+    raw = weather_stream.read_weather_stream(t.spark, settings.weather_path, pattern="*.txt")
+    weather_stream.run_available(raw, path, scratch_path(t.spark, "stream-state"))
+    both = {"batch": input_report(read_weather(t.spark, settings)),
+            "stream": weather_stream.stream_report(t.spark, path)}
+    reports = [df.select(F.lit(name).alias("reader"), "kept", "quarantined", "dropped") for name, df in both.items()]
+    return reports[0].unionByName(reports[1])
+
+
 def hour_spine(t: Tables) -> DataFrame:
     return spine.observed_hours(t.weather, "observation_hour")
 
@@ -204,29 +234,43 @@ def premium_trips(t: Tables) -> DataFrame:
 
 
 def sql_over_views(t: Tables) -> DataFrame:
-    catalog.register(t.spark, {"stg_weather": t.staged_weather, "fact_trips": t.fact})
+    """Tables by name, which leaves the session's views alone."""
     return catalog.query(
         t.spark,
         """SELECT weather_category, count(*) AS hours
-           FROM stg_weather
-           WHERE obs_date IN (SELECT pickup_date FROM fact_trips)
+           FROM {stg_weather}
+           WHERE obs_date IN (SELECT pickup_date FROM {fact_trips})
            GROUP BY weather_category""",
+        stg_weather=t.staged_weather, fact_trips=t.fact,
     )
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """The place of each row as the result's own order gives it; few rows."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
 # --- Quality and files ------------------------------------------------------------
 
 
 def quality_suite(t: Tables) -> DataFrame:
-    enriched = numbered_enriched(t)
-    tables = {
-        "trip_enriched": enriched,
-        "trip_summary_per_hour": marts.trip_summary(enriched),
-        "high_value_customers": marts.high_value_zones(enriched),
-        "fact_trips": t.fact,
-        "dim_weather": t.weather,
-    }
-    return quality.run_suite(tables, quality.CURATED_CHECKS)
+    """The 25 tests over stored tables, as the batch run has them."""
+    settings = replace(SETTINGS, warehouse=scratch_path(t.spark, "warehouse"))
+    jobs.load_trips(t.raw_trips, settings)
+    jobs.load_weather(t.raw_weather, settings)
+    jobs.build_marts(t.spark, settings)
+    return jobs.verify(t.spark, settings)[0]
+
+
+def period_loads(t: Tables) -> DataFrame:
+    """Order lines of one year, then of the next, then of the first again: both years stay."""
+    warehouse = scratch_path(t.spark, "warehouse")
+    raw = order_line_trips(t.given("lineitem"))
+    for year in (1995, 1996, 1995):
+        jobs.load_trips(raw, settings_for_years(year, [year], warehouse=warehouse))
+    fact = jobs.stored(t.spark, replace(SETTINGS, warehouse=warehouse), "fact_trips")
+    return fact.groupBy(F.year("pickup_date").alias("year"), F.col("pickup_month").alias("month")).agg(
+        F.count(F.lit(1)).alias("trips"))
 
 
 def relationship_check(t: Tables) -> DataFrame:
@@ -396,30 +440,36 @@ def stream_weather_dedup(t: Tables) -> DataFrame:
 
 
 def _stream_hours(t: Tables, build: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
-    folder = _weather_files(t, levels=2).weather_path
-    out = scratch_path(t.spark, "stream-hours")
-    raw = weather_stream.read_weather_stream(t.spark, folder, LINES)
+    """Three triggers. The third brings an hour of the third day, long after the watermark passed it."""
+    folder, out = scratch_path(t.spark, "weather-late"), scratch_path(t.spark, "stream-hours")
+    state = scratch_path(t.spark, "stream-state")
+    seen = _observed_at()
+    late = (F.dayofmonth(seen) == 3) & (F.hour(seen) == 5)
+    early = F.dayofmonth(seen) <= 10
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = (
-        build(raw).writeStream.outputMode(mode)
-        .option("checkpointLocation", scratch_path(t.spark, "stream-state"))
-        .foreachBatch(keep).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    for part in (early & ~late, ~early & ~late, late):
+        t.raw_weather.filter(part).coalesce(1).write.mode("append").json(folder)
+        raw = weather_stream.read_weather_stream(t.spark, folder, LINES)
+        query = (
+            build(raw).writeStream.outputMode(mode)
+            .option("checkpointLocation", state)
+            .foreachBatch(keep).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
     return t.spark.read.option("basePath", out).parquet(out)
 
 
 def stream_first_arrivals(t: Tables) -> DataFrame:
-    """Hours that had an arrival; which observation arrived first is left open."""
+    """Hours that had an arrival in time, and how often each came out; the late hour is dropped."""
     rows = _stream_hours(t, weather_stream.first_arrivals, "append")
-    return rows.select("observation_hour").distinct()
+    return rows.groupBy("observation_hour").agg(F.count(F.lit(1)).alias("times"))
 
 
 def stream_hourly_state(t: Tables) -> DataFrame:
-    """Latest state of each hour, from the updates of all micro-batches."""
+    """Latest state of each hour, from the updates of all micro-batches; the late hour is dropped."""
     updates = _stream_hours(t, weather_stream.hourly_state, "update")
     hours = weather_ops.first_per_hour(updates.drop("batch"))
     return hours.select("observation_hour", "observation_ts", "temp_celsius", "weather_category")
@@ -461,6 +511,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "weather_dedup_report": lambda t: weather_ops.dedup_report(t.raw_weather),
     "weather_union_by_name": weather_union_by_name,
     "weather_json_scan": weather_json_scan,
+    "weather_json_report": weather_json_report,
     "weather_stats": lambda t: weather_ops.global_stats(t.weather),
     "weather_category_counts": lambda t: weather_ops.category_counts(t.weather),
     "weather_category_share": lambda t: weather_ops.category_share(t.weather),
@@ -473,7 +524,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "inner_weather_join": inner_weather_join,
     "premium_trips": premium_trips,
     "trip_summary_per_hour": lambda t: t.summary,
-    "high_value_zones": lambda t: t.zones,
+    "high_value_zones": lambda t: placed(t.zones),
     "table_counts": lambda t: marts.table_counts(t.curated),
     "sql_over_views": sql_over_views,
     # questions
@@ -484,7 +535,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "q2_tips_by_bucket": lambda t: questions.tips_by_bucket(t.fact),
     "q2_tip_by_mile": lambda t: questions.tip_by_mile(t.fact),
     "q2_corr": lambda t: questions.tip_correlation(t.fact),
-    "q3_hours": lambda t: questions.trips_by_hour(t.fact),
+    "q3_hours": lambda t: placed(questions.trips_by_hour(t.fact)),
     "q3_top3": lambda t: questions.busiest_hours(t.fact),
     "q4_corr_by_bucket": lambda t: questions.correlation_by_bucket(t.fact),
     "q5_temp_by_hour": lambda t: questions.temperature_by_hour(t.fact, t.weather, SETTINGS),
@@ -497,6 +548,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "q9_weather_tips": lambda t: questions.tips_by_weather(t.enriched),
     # quality and files
     "quality_suite": quality_suite,
+    "period_loads": period_loads,
     "relationship_check": relationship_check,
     "row_count_gate": row_count_gate,
     "weather_gate": lambda t: quality.weather_gate(t.weather),

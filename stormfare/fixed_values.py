@@ -52,7 +52,7 @@ PEAK_HOURS = (7, 8, 9, 17, 18, 19)
 SHORT_TRIP_MINUTES = (1, 60)
 HISTOGRAM_BINS = 60
 SCATTER_MILES = (0, 30)
-SAMPLE_ROWS = 200_000
+SAMPLE_ONE_IN = 4
 
 # --- Fixed values: row-count floors ------------------------------------------
 MIN_FACT_ROWS = 1_000_000

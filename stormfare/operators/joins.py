@@ -7,25 +7,20 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import Settings
 from ..functions.time import in_period
 
-# An hourly row is about 200 bytes, so this keeps a broadcast near 40 MB.
-MAX_BROADCAST_HOURS = 200_000
-
 
 def join_hourly(trips: DataFrame, weather: DataFrame, settings: Settings, how: str) -> DataFrame:
     """Give each trip the weather of its pickup hour.
 
     The key is (date, hour), which both sides already carry, instead of a
-    truncated timestamp. ``weather`` has one row per hour and the period a fixed
-    number of hours, so the weather side has a known largest size: within
-    ``MAX_BROADCAST_HOURS`` it is broadcast and trips are not shuffled. A longer
-    period is left to a shuffle join, whose hot hours adaptive execution splits.
+    truncated timestamp. ``weather`` must have one row per hour, which the
+    uniqueness test of the dimension proves before the marts are built. No hint:
+    the size of the weather decides, by statistics or at run time, whether it
+    is broadcast, and adaptive execution splits hot hours of a shuffle join.
     """
     same_hour = (F.col("pickup_date") == F.col("obs_date")) & (
         F.col("pickup_hour") == F.col("obs_hour")
     )
     hours = weather.filter(in_period("observation_hour", settings.ranges))
-    if settings.hours <= MAX_BROADCAST_HOURS:
-        hours = F.broadcast(hours)
     return trips.join(hours, same_hour, how)
 
 

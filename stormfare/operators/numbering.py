@@ -2,43 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import written
+#: A cell with more rows is cut up further.
+HOT_ROWS = 1_000_000
+BUCKETS = 64
 
-_SLOT_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
+def minute_cell(ts: str) -> Column:
+    """Minutes since 1970 by the wall clock: grows with the time, whatever the session zone."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01"))
+    return days.cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
 
-def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Number rows 1..n by ``order``, NULLs last, equal rows in reading order.
 
-    Rows are spread over ordered ranges. The reading position closes the order,
-    so a range boundary can fall between rows that agree in every named column
-    and no group of equal rows has to fit one task. The ranges are written out
-    together with each row's place in its range; the size of every range, one
-    row per shuffle partition, then gives each range its starting number.
+def with_row_number(df: DataFrame, order: list[str], name: str, cell: Column | None = None) -> DataFrame:
+    """Number rows 1..n by ``order``, NULLs last; rows equal in ``order`` by a hash of the row.
 
-    Writing fixes the ranges: a lost executor cannot move a row to another
-    range after its number was given out.
+    ``cell`` must not fall where the first column of ``order`` grows; the column
+    itself is taken if none is given. Rows are numbered within their cell, and
+    the counts of the cells before give each cell its first number. A cell of
+    more than ``HOT_ROWS`` rows is cut up by the whole of ``order``, and rows that
+    agree in all of that by their hash, so a minute or a key with a third of the
+    table still fills many tasks. Nothing is written: the counts read the table
+    again, and only the columns of ``order``.
     """
-    sort = [*(F.asc_nulls_last(c) for c in order), F.asc("_read_at")]
-    ranged = (
-        df.withColumn("_read_at", F.monotonically_increasing_id())
-        .repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
-        .drop("_read_at")
-        .withColumn("_slot", F.monotonically_increasing_id())
+    marked = df.withColumns({"_cell": F.col(order[0]) if cell is None else cell, "_tie": F.xxhash64(*df.columns)})
+    counts = marked.groupBy(F.struct("_cell").alias("_in")).agg(F.count(F.lit(1)).alias("_n"))
+    # At most one in HOT_ROWS rows gives a row here.
+    hot = F.broadcast(counts.filter(F.col("_n") > HOT_ROWS).select("_in", F.lit(True).alias("_hot")))
+    within = F.when(F.col("_hot"), F.struct(*order))
+    cut = (
+        marked.withColumn("_in", F.struct("_cell")).join(hot, "_in", "left")
+        # Structs compare as equal where their fields are NULL alike, so no row is lost in the join.
+        .withColumn("_part", F.struct(
+            F.col("_cell"), within.alias("_order"),
+            F.when(F.col("_hot"), F.pmod("_tie", F.lit(BUCKETS))).otherwise(F.lit(0)).alias("_bucket")))
+        .drop("_in", "_hot")
     )
-    placed = written(ranged, f"{name}-ranges").withColumn(
-        "_range", F.shiftright("_slot", _SLOT_BITS)
-    )
-    place = F.col("_slot") - F.shiftleft("_range", _SLOT_BITS)
-    sizes = placed.groupBy("_range").agg((F.max(place) + 1).alias("_size"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
-    )
-    # One row per range, so the shuffle partition count bounds this broadcast.
-    return placed.join(F.broadcast(starts), "_range").select(
-        (F.col("_before") + place + 1).alias(name), *df.columns
+    parts = cut.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    cells = parts.groupBy(F.struct("_part._cell").alias("_in")).agg(F.sum("_n").alias("_cell_rows"))
+    earlier_cells = Window.orderBy(F.col("_in._cell").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    bases = cells.select("_in", F.coalesce(F.sum("_cell_rows").over(earlier_cells), F.lit(0)).alias("_base"))
+    inside = [F.col(f"_part._order.{c}").asc_nulls_last() for c in order]
+    earlier_parts = Window.partitionBy("_in").orderBy(*inside, "_part._bucket").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = (
+        parts.withColumn("_in", F.struct("_part._cell")).join(bases, "_in")
+        .select("_part", (F.col("_base") + F.coalesce(F.sum("_n").over(earlier_parts), F.lit(0))).alias("_before"))
     )
+    place = Window.partitionBy("_part").orderBy(*(F.asc_nulls_last(c) for c in order), "_tie")
+    numbered = cut.withColumn("_place", F.row_number().over(place)).join(starts, "_part")
+    return numbered.select((F.col("_before") + F.col("_place")).alias(name), *df.columns)

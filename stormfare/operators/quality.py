@@ -46,21 +46,37 @@ def _label(result: DataFrame, check: Check) -> DataFrame:
     )
 
 
-def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
-    """All single-row tests of a table in one aggregation, one result row each."""
-    counted = table.agg(
-        *(F.count_if(c.row_condition).alias(f"_{i}") for i, c in enumerate(checks))
+def _with_key_checks(table: DataFrame, unique: Check, checks: list[Check]) -> DataFrame:
+    """A table's uniqueness test and its single-row tests in one pass: sums per key, then over the keys."""
+    per_key = table.groupBy(F.col(unique.column).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *(F.count_if(c.row_condition).alias(f"_{i}") for i, c in enumerate(checks)),
+    )
+    counted = per_key.agg(
+        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_unique"),
+        *(F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(checks))),
     )
-    results = F.array(*(
+    return counted.select(F.inline(_results([(unique, "_unique"), *((c, f"_{i}") for i, c in enumerate(checks))])))
+
+
+def _results(counted: list[tuple[Check, str]]) -> Column:
+    return F.array(*(
         F.struct(
             F.lit(c.table).alias("table_name"),
             F.lit(c.column).alias("column_name"),
             F.lit(c.kind).alias("test"),
-            F.col(f"_{i}").alias("failures"),
+            F.col(name).alias("failures"),
         )
-        for i, c in enumerate(checks)
+        for c, name in counted
     ))
-    return counted.select(F.inline(results))
+
+
+def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
+    """All single-row tests of a table in one aggregation, one result row each."""
+    counted = table.agg(
+        *(F.count_if(c.row_condition).alias(f"_{i}") for i, c in enumerate(checks))
+    )
+    return counted.select(F.inline(_results([(c, f"_{i}") for i, c in enumerate(checks)])))
 
 
 def _unique(table: DataFrame, check: Check) -> DataFrame:
@@ -93,12 +109,14 @@ def run_suite(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame
     for name, table in tables.items():
         mine = [c for c in checks if c.table == name]
         by_row = [c for c in mine if c.row_condition is not None]
-        if by_row:
+        unique = [c for c in mine if c.kind == UNIQUE]
+        if unique:
+            results.append(_with_key_checks(table, unique[0], by_row))
+            results += [_unique(table, c) for c in unique[1:]]
+        elif by_row:
             results.append(_row_checks(table, by_row))
         for check in mine:
-            if check.kind == UNIQUE:
-                results.append(_unique(table, check))
-            elif check.kind == RELATION:
+            if check.kind == RELATION:
                 results.append(_relation(table, tables[check.parent[0]], check))
     found = reduce(DataFrame.union, results)
     return found.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
@@ -184,6 +202,21 @@ class GateFailure(RuntimeError):
     """A table did not reach its row floor."""
 
 
+def require_weather(gate: DataFrame) -> None:
+    """Raise when a weather gate did not pass."""
+    row = gate.first()
+    if row.status != "PASS":
+        raise GateFailure(
+            f"weather: {row.rows} rows, {row.categories_present} categories, {row.rows_with_null} rows with null")
+
+
+def require_unique(table: DataFrame, name: str, column: str) -> None:
+    """Raise when a value stands in more than one row: a join on it would repeat the other side."""
+    failures = _unique(table, Check(name, column, UNIQUE)).first().failures
+    if failures:
+        raise GateFailure(f"{name}: {failures} values of {column} stand more than once")
+
+
 def require(gate: DataFrame) -> None:
     """Raise when any table of a row-count gate is not OK."""
     bad = gate.filter(F.col("status") != "OK").collect()  # one row per gated table

@@ -8,13 +8,10 @@ from .. import fixed_values as fv
 from ..config import Settings
 from ..functions.exact import (
     UNIT,
-    mean,
     merged_count,
     merged_mean,
     merged_total,
     partial,
-    total,
-    unit_sum,
     weight,
     weighted_mean,
     weighted_quantile,
@@ -77,24 +74,35 @@ def high_value_zones(enriched: DataFrame) -> DataFrame:
 
     The criteria look at unrounded figures; the order at the rounded total.
     """
-    zones = (
+    zone = "pickup_location_id"
+    carried = ["total_amount", "fare_amount", "tip_percentage", "trip_distance", "trip_duration_minutes"]
+    # Trips are summed per zone, date and category: dates and categories are counted on that.
+    by_day = (
         enriched.filter(F.col("payment_type") == fv.CARD_PAYMENT)
-        .groupBy("pickup_location_id")
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.count_distinct("pickup_date").alias("active_days"),
-            total("total_amount", 2).alias("total_spent"),
-            mean("fare_amount", 2).alias("avg_fare"),
-            mean("tip_percentage", 2).alias("avg_tip_pct"),
-            mean("total_amount", 2).alias("avg_total_per_trip"),
-            mean("trip_distance", 2).alias("avg_distance_miles"),
-            mean("trip_duration_minutes", 1).alias("avg_duration_min"),
-            F.mode("weather_category", True).alias("dominant_weather"),
-            unit_sum("total_amount").alias("_spent"),
-            # The average as sum > limit * count: no division, so no rounding.
-            unit_sum("tip_percentage").alias("_tips"),
-            (F.count("tip_percentage") * (fv.ZONE_MIN_TIP_PCT * UNIT)).alias("_tips_floor"),
-        )
+        .groupBy(zone, "pickup_date", "weather_category").agg(weight(), *partial(*carried))
+    )
+    by_category = by_day.filter(F.col("weather_category").isNotNull()).groupBy(zone, "weather_category").agg(
+        merged_count().alias("_seen"))
+    dominant = by_category.groupBy(zone).agg(
+        # Of equally frequent categories the first by name.
+        F.min(F.struct(-F.col("_seen"), F.col("weather_category").alias("label"))).alias("_most"))
+    figures = by_day.groupBy(zone).agg(
+        merged_count().alias("trip_count"),
+        F.count_distinct("pickup_date").alias("active_days"),
+        merged_total("total_amount", 2).alias("total_spent"),
+        merged_mean("fare_amount", 2).alias("avg_fare"),
+        merged_mean("tip_percentage", 2).alias("avg_tip_pct"),
+        merged_mean("total_amount", 2).alias("avg_total_per_trip"),
+        merged_mean("trip_distance", 2).alias("avg_distance_miles"),
+        merged_mean("trip_duration_minutes", 1).alias("avg_duration_min"),
+        F.sum("_sum_total_amount").alias("_spent"),
+        # The average as sum > limit * count: no division, so no rounding.
+        F.sum("_sum_tip_percentage").alias("_tips"),
+        (F.sum("_n_tip_percentage") * (fv.ZONE_MIN_TIP_PCT * UNIT)).alias("_tips_floor"),
+    )
+    zones = (
+        figures.join(dominant, figures[zone].eqNullSafe(dominant[zone]), "left").drop(dominant[zone])
+        .withColumn("dominant_weather", F.col("_most.label"))
         .filter(
             (F.col("trip_count") >= fv.ZONE_MIN_TRIPS)
             & (F.col("_spent") > fv.ZONE_MIN_SPENT * UNIT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as fv
 from ..config import Settings
@@ -21,7 +21,7 @@ from ..functions.exact import (
 )
 from ..functions.trip import is_peak_hour
 from ..operators.joins import from_zones, join_hourly
-from ..operators.quantiles import ranked_quantile, with_ranks
+from ..operators.quantiles import group_quantile
 from .marts import known_weather
 
 
@@ -69,10 +69,10 @@ def duration_histogram(fact: DataFrame, bins: int = fv.HISTOGRAM_BINS) -> DataFr
     Only the last bin includes its upper edge. Empty bins are not listed.
     """
     duration = "trip_duration_minutes"
-    counts = _duration_counts(fact)
-    low = counts.agg(F.min(duration)).scalar()
-    high = counts.agg(F.max(duration)).scalar()
-    limits = counts.withColumns({"_low": low, "_high": high})
+    # The counted durations are few, so their limits come from a window over all of them.
+    everything = Window.partitionBy()
+    limits = _duration_counts(fact).withColumns({
+        "_low": F.min(duration).over(everything), "_high": F.max(duration).over(everything)})
     width = (F.col("_high") - F.col("_low")) / bins
     position = F.floor(F.try_divide(F.col(duration) - F.col("_low"), width)) + 1
     # Equal limits leave no width: everything is in the first bin.
@@ -89,12 +89,12 @@ def bucket_counts(fact: DataFrame) -> DataFrame:
     return fact.groupBy("distance_bucket").agg(_trips()).orderBy("distance_bucket")
 
 
-def duration_sample(fact: DataFrame, rows: int = fv.SAMPLE_ROWS) -> DataFrame:
-    """Some durations for a plot: any rows, as many as asked for.
-
-    A limit without order stops reading once it has enough.
-    """
-    return _short(fact).select("trip_duration_minutes").limit(rows)
+def duration_sample(fact: DataFrame, one_in: int = fv.SAMPLE_ONE_IN) -> DataFrame:
+    """Some durations for a plot: one trip in so many, chosen by a hash, the same in every run."""
+    written = [F.date_format(c, "yyyyMMddHHmmss") for c in ("pickup_datetime", "dropoff_datetime")]
+    zones = [F.col(c).cast("string") for c in ("pickup_location_id", "dropoff_location_id")]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *written, *zones)), 1, 8), 16, 10).cast("long")
+    return _short(fact).filter(digest % one_in == 0).select("trip_duration_minutes")
 
 
 # --- Question 2: do longer trips tip more? -------------------------------------
@@ -103,14 +103,12 @@ def duration_sample(fact: DataFrame, rows: int = fv.SAMPLE_ROWS) -> DataFrame:
 def tips_by_bucket(fact: DataFrame) -> DataFrame:
     tip = "tip_percentage"
     by_value = _card(fact).groupBy("distance_bucket", tip).agg(weight())
+    figures = by_value.groupBy("distance_bucket").agg(
+        weighted_mean(tip, 2).alias("avg_tip_pct"), merged_count().alias("trips"))
+    medians = group_quantile(by_value, ["distance_bucket"], tip, 0.5, 2, "median_tip_pct")
     return (
-        with_ranks(by_value, ["distance_bucket"], tip)
-        .groupBy("distance_bucket")
-        .agg(
-            weighted_mean(tip, 2).alias("avg_tip_pct"),
-            ranked_quantile(tip, 0.5, 2).alias("median_tip_pct"),
-            merged_count().alias("trips"),
-        )
+        figures.join(medians, "distance_bucket", "left")
+        .select("distance_bucket", "avg_tip_pct", "median_tip_pct", "trips")
         .orderBy("distance_bucket")
     )
 
@@ -270,14 +268,14 @@ def tips_by_weather(enriched: DataFrame) -> DataFrame:
     tip = "tip_percentage"
     by_value = known_weather(_card(enriched)).groupBy("weather_category", tip).agg(weight())
     untipped = F.sum(F.when(F.col(tip) == 0, F.col("_rows")).otherwise(0))
+    figures = by_value.groupBy("weather_category").agg(
+        weighted_mean(tip, 2).alias("avg_tip"),
+        weighted_stddev(tip, 2).alias("std_tip"),
+        percent(untipped, merged_count(), 2).alias("pct_untipped"),
+    )
+    medians = group_quantile(by_value, ["weather_category"], tip, 0.5, 2, "median_tip")
     return (
-        with_ranks(by_value, ["weather_category"], tip)
-        .groupBy("weather_category")
-        .agg(
-            weighted_mean(tip, 2).alias("avg_tip"),
-            ranked_quantile(tip, 0.5, 2).alias("median_tip"),
-            weighted_stddev(tip, 2).alias("std_tip"),
-            percent(untipped, merged_count(), 2).alias("pct_untipped"),
-        )
+        figures.join(medians, "weather_category", "left")
+        .select("weather_category", "avg_tip", "median_tip", "std_tip", "pct_untipped")
         .orderBy(F.desc_nulls_first("avg_tip"), "weather_category")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.weather import kmh
-from ..operators.numbering import with_row_number
+from ..operators.numbering import minute_cell, with_row_number
 
 # Pickup time and zone order the trips; the rest only separates equal pairs.
 TRIP_ORDER = [
@@ -17,18 +17,38 @@ TRIP_ORDER = [
     "payment_type",
 ]
 
+# The staged columns and their order.
 STAGED_TRIP_COLUMNS = (
-    "trip_id, pickup_datetime, dropoff_datetime, trip_duration_minutes, trip_distance, "
-    "distance_bucket, fare_amount, tip_amount, tip_percentage, total_amount, extra, mta_tax, "
-    "tolls_amount, passenger_count, payment_type, payment_type_desc, pickup_location_id, "
-    "dropoff_location_id, pickup_hour, pickup_day_of_week, pickup_date, pickup_month, "
-    "ingested_at, source_file"
-).split(", ")
+    "trip_id",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "trip_duration_minutes",
+    "trip_distance",
+    "distance_bucket",
+    "fare_amount",
+    "tip_amount",
+    "tip_percentage",
+    "total_amount",
+    "extra",
+    "mta_tax",
+    "tolls_amount",
+    "passenger_count",
+    "payment_type",
+    "payment_type_desc",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "pickup_hour",
+    "pickup_day_of_week",
+    "pickup_date",
+    "pickup_month",
+    "ingested_at",
+    "source_file",
+)
 
 
 def stage_trips(fact: DataFrame) -> DataFrame:
     """The fact table, or some of its columns, with a trip number."""
-    numbered = with_row_number(fact, TRIP_ORDER, "trip_id")
+    numbered = with_row_number(fact, TRIP_ORDER, "trip_id", minute_cell("pickup_datetime"))
     return numbered.select(*(c for c in STAGED_TRIP_COLUMNS if c in numbered.columns))
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..schemas import Contract
 
@@ -18,6 +18,8 @@ class WriteReport:
     rows: int
     seconds: float
     broken: dict[str, int]
+    #: Folders that got rows, where the write replaces only these.
+    partitions: frozenset[str] = field(default=frozenset())
 
     @property
     def rows_per_second(self) -> float:
@@ -33,6 +35,7 @@ def write_table(
     sort_by: tuple[str, ...] = (),
     only_these_partitions: bool = False,
     strict: bool = False,
+    derived: dict[str, Column] | None = None,
 ) -> WriteReport:
     """Overwrite a table, so that running again gives the same table.
 
@@ -42,6 +45,8 @@ def write_table(
     table before it writes, so after a failure the run has to be repeated; a
     reload of some partitions replaces them only once all rows are written.
 
+    ``derived`` columns, which the contract does not know, name folders.
+
     ``gather`` shuffles the rows of each partition folder together, which is
     needed when every task has rows of many folders and would leave a small file
     in each; a folder much larger than the others is split again. Without it the
@@ -51,7 +56,12 @@ def write_table(
     table = df
     if contract:
         table = contract.enforce(df) if strict else contract.conform(df)
+    if derived:
+        table = table.withColumns(derived)
     checks = contract.violations() if contract else []
+    if only_these_partitions:
+        folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by))
+        checks.append(F.collect_set(folder).alias("_folders"))  # as many as the write has folders
     metrics = Observation()
     table = table.observe(metrics, F.count(F.lit(1)).alias("rows"), *checks)
     if gather:
@@ -68,5 +78,5 @@ def write_table(
     )
     seconds = time.monotonic() - started
     found = dict(metrics.get)
-    rows = found.pop("rows")
-    return WriteReport(path, rows, seconds, {k: v for k, v in found.items() if v})
+    rows, folders = found.pop("rows"), frozenset(found.pop("_folders", ()))
+    return WriteReport(path, rows, seconds, {k: v for k, v in found.items() if v}, folders)

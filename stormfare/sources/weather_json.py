@@ -9,18 +9,22 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import Settings
+from ..operators.weather import flatten, valid
 from ..schemas import CORRUPT_COLUMN, RAW_WEATHER
 from .layout import month_folders
 
 # One object over many lines per file, or one object per line (splittable).
 PRETTY, LINES = "pretty", "lines"
 
-_WITH_CORRUPT = T.StructType([*RAW_WEATHER.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+WITH_CORRUPT = T.StructType([*RAW_WEATHER.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
 
 
 @dataclass
 class WeatherInput:
-    """What was read, which months could not be, and which rows were broken."""
+    """What was read, which months could not be, and which rows were broken.
+
+    A row of which one field is broken is in both tables: its other fields were read.
+    """
 
     observations: DataFrame
     quarantine: DataFrame
@@ -39,7 +43,7 @@ def _month(spark: SparkSession, folder: str, style: str, infer: bool) -> DataFra
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     )
-    files = (reader if infer else reader.schema(_WITH_CORRUPT)).json(folder)
+    files = (reader if infer else reader.schema(WITH_CORRUPT)).json(folder)
     # The feed has a `_metadata` field of its own, which hides the file's.
     lineage = files.metadataColumn("_metadata").getField("file_path")
     return files.withColumn("source_file", lineage)
@@ -57,8 +61,9 @@ def read_weather(
 
     A month that cannot be opened is reported in ``failed``; it is an error
     unless ``allow_partial`` is set, and always when no month opens. A row that
-    is not valid JSON goes to ``quarantine`` with its text. The explicit schema
-    saves the pass over all files that ``infer`` needs.
+    is not valid JSON, or has a field of another type, goes to ``quarantine``
+    with its text. The explicit schema saves the pass over all files that
+    ``infer`` needs; fields that inferred files lack are NULL.
     """
     frames, failed = [], {}
     for label, folder in month_folders(settings.weather_path, settings, plain):
@@ -70,12 +75,29 @@ def read_weather(
         raise FileNotFoundError(f"no weather could be read: {failed}")
     if failed and not allow_partial:
         raise FileNotFoundError(f"months that could not be read: {failed}")
-    everything = union_by_name(frames)
-    if CORRUPT_COLUMN not in everything.columns:
-        return WeatherInput(everything, everything.limit(0), failed)
-    broken = F.col(CORRUPT_COLUMN).isNotNull() & F.col("`_metadata`").isNull()
-    return WeatherInput(
-        everything.filter(~broken).drop(CORRUPT_COLUMN),
-        everything.filter(broken).select("source_file", CORRUPT_COLUMN),
-        failed,
+    everything = union_by_name([*frames, spark.createDataFrame([], WITH_CORRUPT)])
+    return WeatherInput(*split_corrupt(everything), failed)
+
+
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of which anything could be read, and all rows of which something could not."""
+    # A field that no one needs is not parsed, and then not found broken: the test names them all.
+    fields = F.hash(*(F.col(f"`{f.name}`") for f in RAW_WEATHER.fields))
+    corrupt = F.concat(F.col(CORRUPT_COLUMN), F.substring(fields.cast("string"), 1, 0)).isNotNull()
+    lineage = [c for c in ("source_file",) if c in rows.columns]
+    return (
+        rows.filter(~corrupt | F.col("`_metadata`").isNotNull()).drop(CORRUPT_COLUMN),
+        rows.filter(corrupt).select(*lineage, CORRUPT_COLUMN),
     )
+
+
+def input_report(read: WeatherInput) -> DataFrame:
+    """Rows kept, quarantined, and dropped because a needed field is missing."""
+    flat = flatten(read.observations)
+    seen = flat.agg(F.count(F.lit(1)).alias("_all"))
+    kept = valid(flat).agg(F.count(F.lit(1)).alias("kept"))
+    quarantined = read.quarantine.agg(F.count(F.lit(1)).alias("quarantined"))
+    # One row each.
+    one = [df.withColumn("_one", F.lit(1)) for df in (seen, kept, quarantined)]
+    joined = one[0].join(one[1], "_one").join(one[2], "_one")
+    return joined.select("kept", "quarantined", (F.col("_all") - F.col("kept")).alias("dropped"))

@@ -12,22 +12,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.weather import first_per_hour, flatten, valid
-from ..schemas import RAW_WEATHER
-from ..session import written
-from ..sources.weather_json import LINES, PRETTY
+from ..schemas import CORRUPT_COLUMN
+from ..session import delete, scratch_path
+from ..sources.weather_json import LINES, PRETTY, WITH_CORRUPT, split_corrupt
 
 PARTITION = "obs_date"
 
 
 def read_weather_stream(
-    spark: SparkSession, folder: str, style: str = PRETTY, max_files: int | None = None
+    spark: SparkSession, folder: str, style: str = PRETTY, max_files: int | None = None,
+    pattern: str = "*.json",
 ) -> DataFrame:
-    """New JSON files below a folder, as they arrive."""
+    """New JSON files below a folder, as they arrive, with the text of what could not be read."""
     reader = (
-        spark.readStream.schema(RAW_WEATHER)
+        spark.readStream.schema(WITH_CORRUPT)
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("multiLine", style != LINES)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -35,7 +37,9 @@ def read_weather_stream(
 
 
 def observations(raw: DataFrame) -> DataFrame:
-    return raw.transform(flatten).transform(valid)
+    """Valid observations; what is broken is left to :func:`split_corrupt`."""
+    readable = split_corrupt(raw)[0] if CORRUPT_COLUMN in raw.columns else raw
+    return readable.transform(flatten).transform(valid)
 
 
 def _stored(path: str, like: DataFrame) -> DataFrame:
@@ -52,9 +56,22 @@ def merge_hours(batch: DataFrame, path: str) -> None:
     Only the dates of the batch are replaced, and only the folders between its
     first and last date are read. Both sides have one row per hour, so the
     result is small; it is written aside before the folders it was read from are
-    replaced.
+    replaced, and the tables written aside are deleted with the batch.
     """
-    fresh = written(batch.transform(first_per_hour), "weather-batch")
+    spark, aside = batch.sparkSession, scratch_path(batch.sparkSession, "weather-batch")
+    try:
+        _merge(batch, path, aside)
+    finally:
+        delete(spark, aside)
+
+
+def _aside(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _merge(batch: DataFrame, path: str, aside: str) -> None:
+    fresh = _aside(batch.transform(first_per_hour), f"{aside}/fresh")
     first, last = fresh.agg(F.min(PARTITION), F.max(PARTITION)).first()
     if first is None:
         return
@@ -65,7 +82,7 @@ def merge_hours(batch: DataFrame, path: str) -> None:
         .join(touched, PARTITION, "left_semi")
         .select(*fresh.columns)
     )
-    merged = written(fresh.unionByName(kept).transform(first_per_hour), "weather-merge")
+    merged = _aside(fresh.unionByName(kept).transform(first_per_hour), f"{aside}/merged")
     (
         merged.repartition(PARTITION)
         .write.mode("overwrite")
@@ -75,13 +92,35 @@ def merge_hours(batch: DataFrame, path: str) -> None:
     )
 
 
+def quarantine_path(path: str) -> str:
+    """Where a hourly table's stream leaves what it could not read."""
+    return f"{path.rstrip('/')}_quarantine"
+
+
 def hourly_writer(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that merges every micro-batch into the hourly table."""
-    return (
-        observations(raw)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: merge_hours(batch, path))
-    )
+    """Writer that merges every micro-batch into the hourly table.
+
+    Broken rows go to the quarantine beside it, and each batch leaves its counts
+    of rows kept, quarantined and dropped there too; a batch that runs again
+    replaces its own.
+    """
+    def take(batch: DataFrame, number: int) -> None:
+        readable, broken = split_corrupt(batch)
+        merge_hours(observations(batch), path)
+        place = quarantine_path(path)
+        broken.write.mode("overwrite").parquet(f"{place}/rows/batch={number}")
+        kept = observations(batch).count()
+        counts = [(kept, broken.count(), readable.count() - kept)]
+        report = batch.sparkSession.createDataFrame(counts, "kept long, quarantined long, dropped long")
+        report.coalesce(1).write.mode("overwrite").parquet(f"{place}/counts/batch={number}")
+
+    return raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
+
+
+def stream_report(spark: SparkSession, path: str) -> DataFrame:
+    """Rows kept, quarantined and dropped by all batches so far."""
+    counts = spark.read.parquet(f"{quarantine_path(path)}/counts")
+    return counts.agg(*(F.sum(c).alias(c) for c in ("kept", "quarantined", "dropped")))
 
 
 def run_available(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

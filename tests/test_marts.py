@@ -1,3 +1,4 @@
+import os
 import statistics
 from datetime import datetime, timedelta
 from itertools import product
@@ -8,10 +9,11 @@ from pyspark.sql import Window, functions as F
 from checks.registry import SETTINGS, Tables
 from rows import observation, trips, weather
 from stormfare.config import Settings
-from stormfare.operators import joins, trips as trip_ops, weather as weather_ops
+from stormfare.operators import joins, numbering, trips as trip_ops, weather as weather_ops
 from stormfare.operators.numbering import with_row_number
 from stormfare.plans import marts, questions, staging
 from stormfare.schemas import TRIP_ENRICHED
+from stormfare.session import shared_dir
 
 SMALL = "/root/testdata/sf0.001"
 S = Settings()
@@ -41,15 +43,13 @@ def test_trip_without_weather_is_kept(spark):
     assert joins.join_hourly(f, w, S, "inner").count() == 1
 
 
-@pytest.mark.parametrize("limit, broadcast", [(joins.MAX_BROADCAST_HOURS, True), (0, False)])
-def test_broadcast_only_within_the_limit(spark, monkeypatch, capsys, tables, limit, broadcast):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_HOURS", limit)
+def test_join_kind_follows_the_size(spark, capsys, tables):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         result = marts.enrich_trips(tables.fact, tables.staged_weather, S)
         result.explain()
-        assert ("BroadcastHashJoin" in capsys.readouterr().out) == broadcast
+        assert "BroadcastHashJoin" not in capsys.readouterr().out
         assert result.count() == tables.fact.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -72,21 +72,27 @@ def test_row_number_equals_the_global_one(spark, tables):
     assert expected.filter("n <> trip_id").count() == 0
 
 
-def test_row_number_splits_equal_rows_over_ranges(spark):
-    """A third of the rows are copies of one row; no range holds all of them."""
+@pytest.mark.parametrize("limit", [numbering.HOT_ROWS, 100])
+def test_row_number_cuts_up_hot_cells(spark, monkeypatch, limit):
+    """A third of the rows are copies of one row, and one cell holds half of all keys."""
+    monkeypatch.setattr(numbering, "HOT_ROWS", limit)
     copies = spark.range(30_000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v")
     )
-    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        numbered = with_row_number(copies, ["k"], "n").cache()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    cell = F.floor(F.col("k") / 15_000)
+    numbered = with_row_number(copies, ["k"], "n", cell).cache()
     ends = numbered.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()
     assert tuple(ends) == (1, 30_000, 30_000)
     hot = numbered.filter("k = 7").agg(F.min("n"), F.max("n"), F.count("n")).first()
     assert hot[1] - hot[0] + 1 == hot[2]  # copies of a key are numbered without gaps
+    order = numbered.withColumn("r", F.rank().over(Window.orderBy("k")))
+    assert order.groupBy("k").agg((F.min("n") == F.min("r")).alias("ok")).filter("NOT ok").count() == 0
+
+
+def test_numbering_writes_nothing(spark, tables, tmp_path, monkeypatch):
+    before = set(os.listdir(shared_dir(spark)))
+    assert staging.stage_trips(tables.fact).count() == tables.fact.count()
+    assert set(os.listdir(shared_dir(spark))) == before
 
 
 def test_row_number_with_nulls_and_no_rows(spark):
@@ -191,8 +197,11 @@ def test_top_hours_prefer_the_earlier_of_equals(spark):
     assert [r.pickup_hour for r in questions.busiest_hours(f).collect()] == [9, 6, 13]
 
 
-def test_sample_size(tables):
-    assert questions.duration_sample(tables.fact, 25).count() == 25
+def test_sample_is_a_share_and_the_same_again(tables):
+    everything = questions.duration_sample(tables.fact, 1).count()
+    some = sorted(r[0] for r in questions.duration_sample(tables.fact, 4).collect())
+    assert 0 < len(some) < everything
+    assert some == sorted(r[0] for r in questions.duration_sample(tables.fact.repartition(5), 4).collect())
 
 
 def test_stddev_matches_the_definition(spark):

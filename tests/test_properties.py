@@ -14,7 +14,7 @@ from stormfare.functions.exact import (
 )
 from stormfare.operators import trips as trip_ops, weather as weather_ops
 from stormfare.bindings import event_trips
-from stormfare.operators.quantiles import ranked_quantile, with_ranks
+from stormfare.operators.quantiles import group_quantile
 from stormfare.plans import marts, questions
 
 SMALL = "/root/testdata/sf0.001"
@@ -44,17 +44,16 @@ def test_two_step_aggregates_equal_their_definitions(spark):
         for _ in range(6000)
     ] + [("one", 3.5), ("none", None)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(7)
-    found = {
-        r.k: r
-        for r in with_ranks(df.groupBy("k", "v").agg(weight()), ["k"], "v").groupBy("k").agg(
-            weighted_mean("v", 4).alias("mean"),
-            weighted_quantile("v", 0.5, 4).alias("median"),
-            weighted_quantile("v", 0.75, 4).alias("p75"),
-            ranked_quantile("v", 0.5, 4).alias("ranked_median"),
-            ranked_quantile("v", 0.9, 4).alias("ranked_p90"),
-            weighted_stddev("v", 4).alias("std"),
-        ).collect()
-    }
+    counts = df.groupBy("k", "v").agg(weight())
+    figures = counts.groupBy("k").agg(
+        weighted_mean("v", 4).alias("mean"),
+        weighted_quantile("v", 0.5, 4).alias("median"),
+        weighted_quantile("v", 0.75, 4).alias("p75"),
+        weighted_stddev("v", 4).alias("std"),
+    )
+    for q, name in ((0.5, "ranked_median"), (0.9, "ranked_p90")):
+        figures = figures.join(group_quantile(counts, ["k"], "v", q, 4, name), "k", "left")
+    found = {r.k: r for r in figures.collect()}
     groups = defaultdict(list)
     for k, v in rows:
         groups[k] += [] if v is None else [v]
@@ -107,6 +106,27 @@ def test_weather_is_reduced_before_the_shuffle(spark, capsys):
     assert text.index("functions=[min(") < text.index("Exchange") < text.index("partial_min(")
 
 
+def test_zones_keep_no_objects_per_trip(spark, capsys):
+    t = Tables(spark, SMALL)
+    assert "ObjectHashAggregate" not in plan(marts.high_value_zones(t.enriched), capsys)
+
+
+def test_histogram_reads_the_trips_once(spark, capsys):
+    t = Tables(spark, SMALL)
+    assert plan(questions.duration_histogram(t.fact), capsys).count("FileScan") == 1
+
+
+def test_no_window_over_all_tips_of_a_bucket(spark, capsys):
+    t = Tables(spark, SMALL)
+    text = plan(questions.tips_by_bucket(t.fact), capsys)
+    windows = [line for line in text.splitlines() if " Window " in line and "tip_percentage" in line]
+    assert windows and all("_bin" in line.split("[distance_bucket", 1)[1] for line in windows)
+
+
+def test_suite_reads_each_table_once(spark, capsys):
+    assert plan(QUERIES["quality_suite"](spark, SMALL), capsys).count("FileScan") == 5
+
+
 def test_premium_trips_are_summed_before_the_join(spark, capsys):
     t = Tables(spark, SMALL)
     text = plan(questions.premium_by_hour(t.enriched, marts.high_value_zones(t.enriched)), capsys)

@@ -1,10 +1,13 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import compare
 from checks.oracle import ORACLE
 from checks.registry import QUERIES, SETTINGS, Tables
+from stormfare.config import Settings
+from stormfare.operators.quality import GateFailure
 from stormfare.plans import jobs
 
 SMALL = "/root/testdata/sf0.001"
@@ -26,6 +29,57 @@ def test_batch_run_and_rerun(spark, folder):
         assert {r.status for r in report.gate.collect()} == {"OK"}
 
 
+def test_run_stops_below_the_floor(spark, folder):
+    t = Tables(spark, SMALL)
+    settings = replace(SETTINGS, warehouse=folder, min_fact_rows=1_000_000, min_weather_rows=10)
+    with pytest.raises(GateFailure, match="fact_trips: .* LOW"):
+        jobs.run(spark, settings, t.raw_trips, t.raw_weather)
+    settings = replace(settings, min_fact_rows=10)
+    with pytest.raises(GateFailure, match="weather: "):
+        jobs.run(spark, settings, t.raw_trips, t.raw_weather.filter("`_metadata`.weather_category <> 'Orageux'"))
+
+
+def test_a_changed_file_stops_the_marts(spark, folder):
+    t = Tables(spark, SMALL)
+    settings = replace(SETTINGS, warehouse=folder, min_fact_rows=10, min_weather_rows=10)
+    jobs.load_trips(t.raw_trips, settings)
+    jobs.load_weather(t.raw_weather, settings)
+    jobs.require_loads(spark, settings)
+    t.fact.limit(5).write.mode("append").parquet(jobs.table_path(settings, "fact_trips") + "/pickup_year=2024/pickup_month=1")
+    with pytest.raises(GateFailure, match="fact_trips: [0-9]+ files differ"):
+        jobs.require_loads(spark, settings)
+
+
+def test_a_month_is_replaced_and_others_stay(spark, folder):
+    from datetime import datetime, timedelta
+
+    from rows import trips
+
+    def load(year, month, count):
+        days = [datetime(year, month, 3, 10, i) for i in range(count)]
+        raw = trips(spark, *({"tpep_pickup_datetime": d, "tpep_dropoff_datetime": d + timedelta(minutes=9)} for d in days))
+        jobs.load_trips(raw, Settings(year=year, months=(month,), warehouse=folder))
+
+    load(2024, 1, 3)
+    load(2024, 2, 2)
+    load(2025, 1, 4)
+    load(2024, 1, 1)
+    load(2024, 2, 0)
+    fact = jobs.stored(spark, Settings(warehouse=folder), "fact_trips")
+    found = {(r.y, r.pickup_month): r.n for r in fact.groupBy(F.year("pickup_date").alias("y"), "pickup_month")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found == {(2024, 1): 1, (2025, 1): 4}
+
+
+def test_enriched_is_read_by_date(spark, folder, capsys):
+    t = Tables(spark, SMALL)
+    settings = replace(SETTINGS, warehouse=folder, min_fact_rows=10, min_weather_rows=10)
+    jobs.run(spark, settings, t.raw_trips, t.raw_weather)
+    enriched = jobs.stored(spark, settings, "trip_enriched").filter("pickup_date = DATE'2024-01-05'")
+    enriched.explain("formatted")
+    assert "PartitionFilters: [isnotnull(pickup_date" in capsys.readouterr().out
+
+
 def test_every_query_has_its_statement():
     assert set(ORACLE) == set(QUERIES)
 
