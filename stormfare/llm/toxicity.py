@@ -125,11 +125,12 @@ class Model:
         self.words, self.stems, self.trees, self.calibration = words, stems, trees, calibration
 
 
-_assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
+def _assembled(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(df)
 
 
 def _probability(trees, df: DataFrame) -> DataFrame:
-    scored = trees.transform(_assemble.transform(df))
+    scored = trees.transform(_assembled(df))
     return scored.withColumn("raw_score", vector_to_array("probability")[1])
 
 
@@ -155,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     features = written(parts[0].unionByName(parts[1]).withColumn(
         "calibrates", F.pmod(F.xxhash64("key", F.lit(SEED + 1)), F.lit(4)) == 0), "toxic-features")
     words, stems = learned_lexicon(train)
-    ready = _assemble.transform(features).withColumn("label", F.col("toxic").cast("double"))
+    ready = _assembled(features).withColumn("label", F.col("toxic").cast("double"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(ready.filter(~F.col("calibrates")))
     raw = _probability(trees, features.filter("calibrates")).select("raw_score", "toxic")
     if raw.isEmpty():
