@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stormfare.llm import mixing, quality, warc
+from stormfare.llm import embeddings, mixing, ngram, quality, warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
@@ -129,6 +129,59 @@ FROM placed
 """
 
 
+_COMPONENTS = """
+reach(a, b) AS (
+  SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b
+), component AS (SELECT a AS id, min(least(a, b)) AS c FROM reach GROUP BY a)"""
+
+
+def ngram_groups() -> str:
+    """Shared shingles counted for all pairs that share one; links followed to their ends."""
+    upper, lower = ngram.UPPER, ngram.LOWER
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{WORD}') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * k >= {ngram.PERCENT} * (p.n + q.n - k)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+{_COMPONENTS}
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id
+FROM docs d LEFT JOIN sizes z USING (doc_id) LEFT JOIN component c ON c.id = d.doc_id
+"""
+
+
+def embedding_duplicates() -> str:
+    """Every pair of a label by its cosine; links followed to their ends."""
+    return f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), unit AS (
+  SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS u
+  FROM vectors
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM unit x JOIN unit y
+    ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.u) = len(y.u)
+  WHERE list_dot_product(x.u, y.u) >= {embeddings.MIN_COSINE}
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+{_COMPONENTS},
+counts AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, coalesce(c.c, v.vec_id) AS component_id,
+       coalesce(c.c, v.vec_id) = v.vec_id AS kept
+FROM vectors v LEFT JOIN counts ON counts.a = v.vec_id LEFT JOIN component c ON c.id = v.vec_id
+"""
+
+
 def warc_round_trip() -> str:
     return f"""
 WITH pages AS (

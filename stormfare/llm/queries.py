@@ -88,5 +88,7 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": oracle.quality_rules(),
     "op2_systematic_mix": oracle.systematic_mix(),
     "op4_warc_round_trip": oracle.warc_round_trip(),
+    "op6_ngram_groups": oracle.ngram_groups(),
+    "op9_embedding_duplicates": oracle.embedding_duplicates(),
     "op10_url_rules": oracle.url_rules(URL_RULES),
 }
