@@ -13,12 +13,15 @@ import os
 import time
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks.registry import QUERIES, SETTINGS
-from stormfare.bindings import event_trips, event_weather
+from stormfare.bindings import WEATHER_EVENT, event_trips, event_weather
 from stormfare.plans import jobs
 from stormfare.session import local_session, scratch_path, written
+from stormfare.sources.layout import with_partitions
+from stormfare.sources.spine import period_hours
+from stormfare.sources.weather_json import read_weather
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -47,6 +50,25 @@ def timed_query(spark: SparkSession, name: str) -> float:
     return time.perf_counter() - started + seconds(df)
 
 
+def weather_files(spark: SparkSession, events: DataFrame) -> str:
+    """One pretty JSON file for each hour of the period, from as many weather events."""
+    hours = period_hours(spark, SETTINGS)
+    number = F.row_number().over(Window.orderBy("hour_start"))
+    given = events.filter(F.col("event_type") == WEATHER_EVENT).drop("ts")
+    count = given.count()
+    numbered = given.withColumn("n", F.row_number().over(Window.orderBy("event_id")) % count)
+    hourly = numbered.join(
+        hours.select(F.col("hour_start").alias("ts"), (number % count).alias("n")), "n").drop("n")
+    raw = event_weather(hourly)
+    seen = F.col("`_metadata`.collected_at_iso").cast("timestamp_ntz")
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), {"pretty": "true"})
+    files = with_partitions(raw.withColumn("_ts", seen).withColumn("value", text), "_ts", 2)
+    path = scratch_path(spark, "bench-weather")
+    (files.select("value", "year", "month").write.partitionBy("year", "month")
+     .option("maxRecordsPerFile", 1).text(path))
+    return path
+
+
 def batch_run(spark: SparkSession) -> dict[str, float]:
     """Both feeds to verified marts; every copy of an event is a row of its own."""
     events = spark.read.parquet(f"{FOLDER}/events.parquet")
@@ -57,15 +79,16 @@ def batch_run(spark: SparkSession) -> dict[str, float]:
         "ts": F.timestamp_add("SECOND", shift, F.col("ts")),
     }).drop("copy")
     raw_trips = written(event_trips(spread).repartition(4 * CPUS), "bench-trips")
-    raw_weather = event_weather(events)
+    weather_path = weather_files(spark, events)
     rows_in = raw_trips.count()
-    settings = replace(SETTINGS, warehouse=scratch_path(spark, "bench-warehouse"))
+    settings = replace(
+        SETTINGS, warehouse=scratch_path(spark, "bench-warehouse"), weather_path=weather_path)
 
     started = time.perf_counter()
     trips, _ = jobs.load_trips(raw_trips, settings)
     load = time.perf_counter() - started
     started = time.perf_counter()
-    jobs.load_weather(raw_weather, settings)
+    hours = jobs.load_weather(read_weather(spark, settings).observations, settings)
     weather = time.perf_counter() - started
     started = time.perf_counter()
     jobs.build_marts(spark, settings)
@@ -79,6 +102,7 @@ def batch_run(spark: SparkSession) -> dict[str, float]:
         "rows_written": trips.rows,
         "trip_job_sec": round(load, 2),
         "trip_job_rows_per_sec": round(trips.rows / load),
+        "weather_files": hours.rows,
         "weather_job_sec": round(weather, 2),
         "marts_sec": round(marts, 2),
         "tests_sec": round(verify, 2),
