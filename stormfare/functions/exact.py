@@ -3,7 +3,8 @@
 Adding doubles gives slightly different totals for every partitioning, so a
 retried task could change a published figure. Values are therefore added as
 whole numbers of ten-thousandths. Stored amounts have at most four decimals, so
-nothing is lost, and a 64-bit total holds 9e14 before it fails with an error.
+nothing is lost; the load counts the rows for which that is not so (``finer``).
+A 64-bit total holds 9e14 before it fails with an error.
 Decimals would do the same about ten times slower.
 
 Rounding is half-up, as a warehouse's ``numeric`` rounds: first to millionths,
@@ -28,6 +29,13 @@ def units(value: Column | str) -> Column:
     return F.rint(_col(value) * float(UNIT)).cast("long")
 
 
+def finer(value: Column | str) -> Column:
+    """Whether a value has digits past the last that totals keep."""
+    scaled = _col(value) * float(UNIT)
+    # A double that stands for four decimals is off by some billionths at most.
+    return F.abs(scaled - F.rint(scaled)) > F.lit(1e-6) * F.greatest(F.abs(scaled) * 1e-6, F.lit(1.0))
+
+
 def half_up(value: Column | str, places: int) -> Column:
     """Round half away from zero to ``places`` and return a double."""
     millionths = F.rint(_col(value) * float(10**_FINEST)).cast("long")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..config import Settings
+from ..functions.exact import finer
 from ..functions.time import in_period
 from ..operators import quality, trips as trip_ops, weather as weather_ops
 from ..schemas import DIM_WEATHER, FACT_TRIPS, HIGH_VALUE_ZONES, TRIP_ENRICHED, TRIP_SUMMARY
@@ -19,6 +20,8 @@ from . import marts, staging
 CONTRACTS = {
     c.name: c for c in (FACT_TRIPS, DIM_WEATHER, TRIP_ENRICHED, TRIP_SUMMARY, HIGH_VALUE_ZONES)
 }
+#: Trip columns that totals and averages are made of.
+SUMMED = ("trip_duration_minutes", "trip_distance", "fare_amount", "tip_amount", "total_amount", "tip_percentage")
 TABLES = ("fact_trips", "dim_weather", "trip_enriched", "trip_summary_per_hour",
           "high_value_customers")
 
@@ -64,7 +67,7 @@ def changed_files(spark: SparkSession, settings: Settings, name: str) -> DataFra
 
 
 def _replace_period(df: DataFrame, settings: Settings, contract, names: tuple[str, str], date: str,
-                    gather: bool) -> WriteReport:
+                    gather: bool, counted: tuple = ()) -> WriteReport:
     """Replace the months of the period, whatever others the table has.
 
     Months that have no rows any more lose their folder.
@@ -73,7 +76,7 @@ def _replace_period(df: DataFrame, settings: Settings, contract, names: tuple[st
     path = table_path(settings, contract.name)
     report = write_table(
         df, path, contract, partition_by=names, gather=gather, only_these_partitions=True,
-        derived={year: F.year(date), month: F.month(date)},
+        derived={year: F.year(date), month: F.month(date)}, counted=counted,
     )
     spark = df.sparkSession
     for y, m in settings.month_parts:
@@ -92,7 +95,8 @@ def load_trips(raw: DataFrame, settings: Settings) -> tuple[WriteReport, dict[st
     metrics = Observation()
     fact = trip_ops.fact_trips(trip_ops.clean_observed(raw, settings, metrics), settings)
     report = _replace_period(
-        fact, settings, FACT_TRIPS, ("pickup_year", "pickup_month"), "pickup_date", gather=False)
+        fact, settings, FACT_TRIPS, ("pickup_year", "pickup_month"), "pickup_date", gather=False,
+        counted=tuple(F.count_if(finer(c)).alias(f"{c}__finer") for c in SUMMED))
     return report, dict(metrics.get)
 
 

@@ -36,6 +36,7 @@ def write_table(
     only_these_partitions: bool = False,
     strict: bool = False,
     derived: dict[str, Column] | None = None,
+    counted: tuple[Column, ...] = (),
 ) -> WriteReport:
     """Overwrite a table, so that running again gives the same table.
 
@@ -46,6 +47,7 @@ def write_table(
     reload of some partitions replaces them only once all rows are written.
 
     ``derived`` columns, which the contract does not know, name folders.
+    ``counted`` aggregates are reported with the broken promises where they are not 0.
 
     ``gather`` shuffles the rows of each partition folder together, which is
     needed when every task has rows of many folders and would leave a small file
@@ -58,7 +60,7 @@ def write_table(
         table = contract.enforce(df) if strict else contract.conform(df)
     if derived:
         table = table.withColumns(derived)
-    checks = contract.violations() if contract else []
+    checks = [*(contract.violations() if contract else []), *counted]
     if only_these_partitions:
         folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by))
         checks.append(F.collect_set(folder).alias("_folders"))  # as many as the write has folders

@@ -50,6 +50,14 @@ def test_a_changed_file_stops_the_marts(spark, folder):
         jobs.require_loads(spark, settings)
 
 
+def test_digits_that_totals_lose_are_counted(spark, folder):
+    from rows import trips
+
+    raw = trips(spark, {"fare_amount": 10.123456}, {"fare_amount": 12.34}, {"fare_amount": 99.1234})
+    report, _ = jobs.load_trips(raw, Settings(months=(1,), warehouse=folder))
+    assert report.broken == {"fare_amount__finer": 1}
+
+
 def test_a_month_is_replaced_and_others_stay(spark, folder):
     from datetime import datetime, timedelta
 
