@@ -253,4 +253,7 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     columns = [F.col(f"`{c}`") for c in docs.columns]
     packed = docs.select(F.col(f"`{text}`").alias("_t"), F.col(f"`{lang}`").alias("_l"),
                          F.struct(*columns).alias("_row"))
-    return judged(with_figures(packed, "_t", "_l"), found).filter("kept").select("_row.*")
+    # A filter would be moved below the figures, which it would then compute once more in every
+    # place that names them. It cannot pass a column that is not deterministic.
+    df = judged(with_figures(packed, "_t", "_l"), found).withColumn("_at", F.monotonically_increasing_id())
+    return df.filter(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
