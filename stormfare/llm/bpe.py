@@ -40,11 +40,11 @@ from stormfare.llm.vocabulary import built, sent
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 UNSAFE = re.compile(r"\s\s(?:\s|\Z)")
 LONG_PIECE = 512
-PIECES_PER_QUERY = 30_000
-TOKENS_PER_QUERY = 2_000_000
-CHARS_PER_ROUND = 4_000_000
+PIECES_PER_QUERY = 15_000
+TOKENS_PER_QUERY = 500_000
+CHARS_PER_ROUND = 2_000_000
 #: Known pieces, and known chunks; a worker that has more forgets them all and goes on.
-KNOWN_PIECES, KNOWN_CHUNKS = 700_000, 300_000
+KNOWN_PIECES, KNOWN_CHUNKS = 250_000, 100_000
 
 _BITS = 20  # of a row key, for the position within a piece
 _MASK = (1 << _BITS) - 1
