@@ -41,8 +41,8 @@ from stormfare.session import scratch_path
 END_ID = 2
 CHARS_PER_ROUND = 4_000_000
 CHUNKS_PER_CALL = 2_000
-#: Known chunks; a worker that has more forgets them all and goes on.
-KNOWN = 900_000
+#: Chunks of a worker's generation; the one before is kept too, so frequent chunks are never forgotten.
+KNOWN = 600_000
 
 
 def local_folder(path: str) -> str:
@@ -66,13 +66,17 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.type = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, in the width of the files."""
         if len(self.known) > KNOWN:
-            self.known = {}
+            self.known, self.older = {}, self.known
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split) - self.known.keys())
+        missing = set().union(*split) - self.known.keys()
+        back = missing & self.older.keys()
+        self.known.update((c, self.older[c]) for c in back)
+        new = list(missing - back)
         for i in range(0, len(new), CHUNKS_PER_CALL):
             self._learn(new[i:i + CHUNKS_PER_CALL])
         return [b"".join(map(self.known.__getitem__, s)) for s in split]
