@@ -309,6 +309,22 @@ _INGEST = f"""
            CAST(sum(CASE WHEN bad = 0 THEN rows ELSE 0 END) AS BIGINT) AS rows
     FROM (SELECT month, count(error) AS bad, sum(rows) AS rows FROM ({_CHECKED_FILES}) GROUP BY month)"""
 
+# Folders of all trips as the validation of the whole feed writes them.
+_WHOLE_FILES = """
+    SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS month, 'day=' || day(tpep_pickup_datetime) AS folder,
+      count(*) AS rows, NULL AS error
+    FROM raw_trips GROUP BY 1, 2
+    UNION ALL SELECT '2024-02', 'unpriced', count(*), 'missing columns: fare_amount' FROM raw_trips
+    UNION ALL SELECT '2024-02', 'text', 1, 'wrong types: fare_amount string'
+    UNION ALL SELECT '2024-03', 'none', 0, 'empty'
+    UNION ALL SELECT '2024-04', NULL, 0, 'PATH_NOT_FOUND'"""
+
+_INGEST_ALL = f"""
+    SELECT count(*) AS months, count(*) FILTER (WHERE bad = 0) AS succeeded,
+           count(*) FILTER (WHERE bad > 0) AS failed,
+           CAST(sum(CASE WHEN bad = 0 THEN rows ELSE 0 END) AS BIGINT) AS rows
+    FROM (SELECT month, count(error) AS bad, sum(rows) AS rows FROM ({_WHOLE_FILES}) GROUP BY month)"""
+
 
 # The hour that reaches the watermarked queries too late.
 _IN_TIME = "NOT (day(observation_hour) = 3 AND hour(observation_hour) = 5)"
@@ -467,6 +483,10 @@ _STEPS: dict[str, str] = {
         CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM ({_CHECKED_FILES})""",
     "ingest_report": _INGEST,
     "ingest_sizes": f"SELECT *, TRUE AS has_size FROM ({_INGEST})",
+    "schema_validation_all": f"""SELECT month, folder, rows, error,
+        CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM ({_WHOLE_FILES})""",
+    "ingest_report_all": _INGEST_ALL,
+    "ingest_sizes_all": f"SELECT *, TRUE AS has_size FROM ({_INGEST_ALL})",
     "file_manifest": """SELECT 'year=' || year(tpep_pickup_datetime) || '/month=' ||
           month(tpep_pickup_datetime) || '/day=' || day(tpep_pickup_datetime) AS file,
         count(*) AS rows, TRUE AS digested FROM raw_trips GROUP BY 1""",
@@ -475,6 +495,11 @@ _STEPS: dict[str, str] = {
           CASE day(tpep_pickup_datetime) WHEN 5 THEN 'changed' WHEN 7 THEN 'missing' WHEN 16 THEN 'new'
                ELSE 'same' END AS state
         FROM raw_trips WHERE day(tpep_pickup_datetime) <= 16) GROUP BY state""",
+    "manifest_comparison_all": """SELECT state, count(*) AS folders FROM (
+        SELECT DISTINCT CAST(tpep_pickup_datetime AS DATE),
+          CASE day(tpep_pickup_datetime) WHEN 5 THEN 'changed' WHEN 7 THEN 'missing' WHEN 16 THEN 'new'
+               ELSE 'same' END AS state
+        FROM raw_trips) GROUP BY state""",
     "feed_fingerprint": f"""SELECT count(*) AS rows, {_digest_half(1)} || '-' || {_digest_half(17)} AS digest
       FROM (SELECT md5({" || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
                                     for c in ("event_id", "event_type", "props", "ts", "user_id", "value"))}) AS d

@@ -328,19 +328,24 @@ def _checked_files(t: Tables) -> Settings:
     """Months with good files, one file without fares, one empty file, and one month that is not there."""
     path = scratch_path(t.spark, "trips-checked")
     day = F.dayofmonth("tpep_pickup_datetime")
-    good = t.raw_trips.filter(day <= 10).coalesce(1)
-    good.write.parquet(f"{path}/2024/01/all")
-    good.filter(day <= 5).drop("fare_amount").write.parquet(f"{path}/2024/02/a")
-    good.filter(day > 5).write.parquet(f"{path}/2024/02/b")
-    good.filter(day > 31).write.parquet(f"{path}/2024/03/none")
+    good = t.raw_trips.filter(day <= 10)
+
+    def put(rows: DataFrame, month: str, folder: str) -> None:
+        # A partitioned write leaves no empty file.
+        rows.withColumn("part", F.lit(folder)).write.mode("append").partitionBy("part").parquet(f"{path}/2024/{month}")
+
+    put(good, "01", "all")
+    put(good.filter(day <= 5).drop("fare_amount"), "02", "a")
+    put(good.filter(day > 5), "02", "b")
+    good.limit(0).write.parquet(f"{path}/2024/03/none")
     return replace(SETTINGS, months=(1, 2, 3, 4), trip_path=path)
 
 
 def schema_validation(t: Tables) -> DataFrame:
-    """What is wrong with each file, which is named by its folder here."""
+    """What is wrong with the files of each folder."""
+    folder = F.regexp_extract("file", "([^/=]+)/[^/]+$", 1).alias("folder")
     checked = validate_files(t.spark, _checked_files(t), plain=True)
-    return checked.select(
-        "month", F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("folder"), "rows", "error", "status")
+    return checked.groupBy("month", folder, "error", "status").agg(F.sum("rows").alias("rows"))
 
 
 def ingest_report(t: Tables) -> DataFrame:
@@ -357,14 +362,45 @@ def ingest_sizes(t: Tables) -> DataFrame:
     return summary.withColumn("size_mb", F.col("size_mb") >= 0).withColumnRenamed("size_mb", "has_size")
 
 
+def _whole_files(t: Tables) -> Settings:
+    """All trips by day; beside them files without fares, a file of text, an empty file, and a month that is not there."""
+    path = scratch_path(t.spark, "trips-whole")
+    layout.write_by_date(t.raw_trips, path, "tpep_pickup_datetime")
+    month = f"{path}/year={SETTINGS.year}/month="
+    t.raw_trips.drop("fare_amount").write.parquet(f"{month}2/unpriced")
+    t.raw_trips.limit(1).withColumn("fare_amount", F.lit("free")).write.parquet(f"{month}2/text")
+    t.raw_trips.limit(0).write.parquet(f"{month}3/none")
+    return replace(SETTINGS, months=(1, 2, 3, 4), trip_path=path)
+
+
+def schema_validation_all(t: Tables) -> DataFrame:
+    """What is wrong with the files of each folder, over all trips."""
+    folder = F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("folder")
+    checked = validate_files(t.spark, _whole_files(t))
+    return checked.groupBy("month", folder, "error", "status").agg(F.sum("rows").alias("rows"))
+
+
+def ingest_report_all(t: Tables) -> DataFrame:
+    """The ingestion report over all trips."""
+    return manifest.ingest_summary(validate_months(t.spark, _whole_files(t)).drop("files"))
+
+
+def ingest_sizes_all(t: Tables) -> DataFrame:
+    """The ingestion report with sizes per month, over all trips."""
+    settings = _whole_files(t)
+    sizes = manifest.month_sizes(manifest.file_manifest(t.spark, settings.trip_path))
+    summary = manifest.ingest_summary(validate_months(t.spark, settings).join(sizes, "month", "left"))
+    return summary.withColumn("size_mb", F.col("size_mb") >= 0).withColumnRenamed("size_mb", "has_size")
+
+
 def file_manifest(t: Tables) -> DataFrame:
     """Rows of every folder as the digests counted them, and whether all its files have a digest."""
     folders = manifest.folder_manifest(manifest.file_manifest(t.spark, _trip_files(t).trip_path))
     return folders.select("file", "rows", F.col("digest").isNotNull().alias("digested"))
 
 
-def manifest_comparison(t: Tables) -> DataFrame:
-    """A table before and after reloads: one day as it was, one changed, one added, one taken away."""
+def _reloaded(t: Tables, loaded: Column) -> DataFrame:
+    """Folders by state after reloads of the loaded days: one as it was, one changed, one added, one taken away."""
     path = scratch_path(t.spark, "trips-reloaded")
     day = F.dayofmonth("tpep_pickup_datetime")
 
@@ -373,7 +409,7 @@ def manifest_comparison(t: Tables) -> DataFrame:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("year", "month", "day").parquet(path))
 
-    load(t.raw_trips.filter(day <= 15))
+    load(t.raw_trips.filter(loaded))
     before = written(manifest.folder_manifest(manifest.file_manifest(t.spark, path)), "manifest-before")
     load(t.raw_trips.filter(day == 2))
     load(t.raw_trips.filter(day == 5).withColumn("fare_amount", F.col("fare_amount") + 1))
@@ -385,6 +421,16 @@ def manifest_comparison(t: Tables) -> DataFrame:
     return states.groupBy("state").agg(F.count(F.lit(1)).alias("folders"))
 
 
+def manifest_comparison(t: Tables) -> DataFrame:
+    """Reloads of a table of the first half month."""
+    return _reloaded(t, F.dayofmonth("tpep_pickup_datetime") <= 15)
+
+
+def manifest_comparison_all(t: Tables) -> DataFrame:
+    """Reloads of a table of all days but the one that is added."""
+    return _reloaded(t, F.dayofmonth("tpep_pickup_datetime") != 16)
+
+
 def feed_fingerprint(t: Tables) -> DataFrame:
     """One digest of the whole feed; times and amounts as whole numbers, which every engine writes alike."""
     events = t.given("events")
@@ -556,10 +602,14 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "trip_files_by_day": trip_files_by_day,
     "trip_file_scan": trip_file_scan,
     "schema_validation": schema_validation,
+    "schema_validation_all": schema_validation_all,
     "ingest_report": ingest_report,
+    "ingest_report_all": ingest_report_all,
     "ingest_sizes": ingest_sizes,
+    "ingest_sizes_all": ingest_sizes_all,
     "file_manifest": file_manifest,
     "manifest_comparison": manifest_comparison,
+    "manifest_comparison_all": manifest_comparison_all,
     "feed_fingerprint": feed_fingerprint,
     # sinks
     "write_report": write_report,

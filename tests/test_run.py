@@ -100,3 +100,16 @@ def database():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_its_statement(spark, database, name):
     assert compare.differences(spark, database, name, SMALL) is None
+
+
+def test_whole_feed_is_validated_and_reloaded(spark):
+    """Every day of the feed is counted, not its first days alone."""
+    trips = Tables(spark, SMALL).raw_trips
+    days = {r.day: r.n for r in trips.groupBy(F.dayofmonth("tpep_pickup_datetime").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    checked = QUERIES["schema_validation_all"](spark, SMALL).collect()
+    assert {r.folder: r.rows for r in checked if r.month == "2024-01"} == {f"day={d}": n for d, n in days.items()}
+    assert max(days) > 16
+    states = {r.state: r.folders for r in QUERIES["manifest_comparison_all"](spark, SMALL).collect()}
+    assert sum(states.values()) == len(days) and set(states) == {"same", "changed", "new", "missing"}
+    assert QUERIES["ingest_report_all"](spark, SMALL).first().rows == sum(days.values())
