@@ -3,7 +3,8 @@
 Every text is a layer. A worklist takes a layer, scans it, and puts on the list
 what each decoder makes of it: URL escapes, Unicode escapes, base64 runs and
 compressed base64 runs are unwrapped in place, so an assignment whose value
-alone is encoded is still seen as one. It ends when no decoder gives a layer
+alone is encoded is still seen as one. Bytes that are not UTF-8 are replaced one
+by one, and base64 runs that hardly read are layers of their own. It ends when no decoder gives a layer
 that was not seen before, which also ends cycles. Each layer carries, for every
 code point, the code points of the original text it stems from, so spans always
 refer to the original.
@@ -49,6 +50,14 @@ ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 MAX_UNPACKED = 64 << 20
 MASK = "[secret]"
+#: Control characters other than white space, and bytes that are not UTF-8.
+UNREADABLE = re.compile("[\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f\udc80-\udcff]")
+#: The share of readable characters that lets a base64 run be replaced by what it says.
+READABLE = 0.85
+BAD_BYTE = re.compile("[\udc80-\udcff]")
+#: What decoded bytes need to hold for a secret, or a run that hides one, to be in them.
+WORTH = re.compile(
+    rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}|[A-Za-z0-9+/_-]{12}")
 
 _IS_HEX = bytes(49 if chr(b) in "0123456789abcdef" else 48 for b in range(256))
 
@@ -66,6 +75,12 @@ class Layer:
             return start, end
         return int(self.starts[start]), int(self.ends[end - 1])
 
+    def alone(self, text: str, first: np.ndarray, last: np.ndarray) -> Layer:
+        """A layer of a new text, whose code points have these source ranges here."""
+        if self.starts is not None:
+            first, last = self.starts[first], self.ends[last - 1]
+        return Layer(text, first, last)
+
     def replaced(self, parts: list[tuple[int, int, str, np.ndarray, np.ndarray]]) -> Layer:
         """The layer with ranges replaced; each new code point has its source range here."""
         texts, starts, ends, at = [], [], [], 0
@@ -83,10 +98,7 @@ class Layer:
             ends.append(new_ends)
             at = b
         keep(at, len(self.text))
-        first, last = np.concatenate(starts), np.concatenate(ends)
-        if self.starts is not None:
-            first, last = self.starts[first], self.ends[last - 1]
-        return Layer("".join(texts), first, last)
+        return self.alone("".join(texts), np.concatenate(starts), np.concatenate(ends))
 
 
 def scan_layer(text: str) -> list[tuple[int, int, int]]:
@@ -102,13 +114,14 @@ def scan_layer(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _as_text(data: bytes) -> str | None:
-    """Bytes that read as text: UTF-8 without control characters."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _as_text(data: bytes) -> str:
+    """Bytes as UTF-8; each byte that is not is a surrogate of its own, so positions can be told."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def _readable(text: str) -> float:
+    """The share of characters that read."""
+    return 1 - len(UNREADABLE.findall(text)) / len(text)
 
 
 class TooLarge(Exception):
@@ -141,19 +154,19 @@ def _whole(a: int, b: int, text: str) -> tuple:
 
 def _by_bytes(a: int, text: str, first, last) -> tuple[str, np.ndarray, np.ndarray]:
     """Source ranges of the code points of decoded bytes, from those of the bytes."""
-    lengths = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
+    lengths[(code >= 0xDC80) & (code <= 0xDCFF)] = 1
     begin = np.cumsum(lengths) - lengths
-    return text, a + first(begin), a + last(begin + lengths - 1)
+    return BAD_BYTE.sub("\ufffd", text), a + first(begin), a + last(begin + lengths - 1)
 
 
 def from_url(text: str) -> list[tuple]:
     parts = []
     for m in URL_RUN.finditer(text) if "%" in text else ():
-        data = bytes.fromhex(m[0].replace("%", ""))
-        plain = _as_text(data)
-        if plain is not None:
-            parts.append((m.start(), m.end(), *_by_bytes(
-                m.start(), plain, lambda k: 3 * k, lambda k: 3 * k + 3)))
+        plain = _as_text(bytes.fromhex(m[0].replace("%", "")))
+        parts.append((m.start(), m.end(), *_by_bytes(
+            m.start(), plain, lambda k: 3 * k, lambda k: 3 * k + 3)))
     return parts
 
 
@@ -184,15 +197,26 @@ def _base64_bytes(run: str) -> bytes | None:
         return None
 
 
-def from_base64(runs: list[re.Match]) -> list[tuple]:
-    parts = []
+def from_base64(runs: list[re.Match]) -> tuple[list, list, list]:
+    """Runs that read without a flaw, runs that mostly do, and the others that may hide something."""
+    clear, mostly, rest = [], [], []
     for m in runs:
         data = _base64_bytes(m[0])
-        plain = data and _as_text(data)
-        if plain:
-            parts.append((m.start(), m.end(), *_by_bytes(
-                m.start(), plain, lambda k: k * 8 // 6, lambda k: (k * 8 + 7) // 6 + 1)))
-    return parts
+        if not data:
+            continue
+        plain = _as_text(data)
+        share = _readable(plain)
+        if share < READABLE and not WORTH.search(data):
+            continue
+        part = (m.start(), m.end(), *_by_bytes(
+            m.start(), plain, lambda k: k * 8 // 6, lambda k: (k * 8 + 7) // 6 + 1))
+        if share < READABLE:
+            rest.append(part)
+            continue
+        mostly.append(part)
+        if share == 1:
+            clear.append(part)
+    return clear, mostly, rest
 
 
 def from_compressed(runs: list[re.Match], refused: list[int]) -> list[tuple]:
@@ -204,7 +228,7 @@ def from_compressed(runs: list[re.Match], refused: list[int]) -> list[tuple]:
         try:
             data = _base64_bytes(m[0])
             plain = data and _unpack(data)
-            plain = plain and _as_text(plain)
+            plain = plain and BAD_BYTE.sub("\ufffd", _as_text(plain))
         except TooLarge:
             refused.append(m.start())
             continue
@@ -213,21 +237,32 @@ def from_compressed(runs: list[re.Match], refused: list[int]) -> list[tuple]:
     return parts
 
 
+def _inner_layers(layer: Layer, refused: list[int]) -> Iterator[Layer]:
+    """What each decoder makes of a layer: runs replaced in place, runs that hardly read as layers of their own."""
+    runs = list(BASE64_RUN.finditer(layer.text))
+    clear, mostly, rest = from_base64(runs)
+    # A name that happens to decode stays a name in the layer of the clear runs.
+    in_place = [from_url(layer.text), from_escapes(layer.text), clear, from_compressed(runs, refused)]
+    if len(mostly) > len(clear):
+        in_place.append(mostly)
+    for parts in in_place:
+        if parts:
+            yield layer.replaced(parts)
+    for _, _, text, first, last in rest:
+        yield layer.alone(text, first, last)
+
+
 def find_secrets(text: str) -> tuple[list, list, int]:
     """Base spans, all spans, both (start, kind, end) in order, and the runs left packed."""
     base = sorted(scan_layer(text))
-    spans, seen, work, refused = set(base), {text}, [Layer(text)], []
+    spans, seen, work, refused = set(base), {(text, (0, len(text)))}, [Layer(text)], []
     while work:
-        layer = work.pop()
-        runs = list(BASE64_RUN.finditer(layer.text))
-        for parts in (from_url(layer.text), from_escapes(layer.text), from_base64(runs),
-                      from_compressed(runs, refused)):
-            if not parts:
+        for inner in _inner_layers(work.pop(), refused):
+            # One text may stand at several places, as a layer of its own at each.
+            known = inner.text, inner.original(0, len(inner.text)) if inner.text else None
+            if known in seen:
                 continue
-            inner = layer.replaced(parts)
-            if inner.text in seen:
-                continue
-            seen.add(inner.text)
+            seen.add(known)
             work.append(inner)
             for start, kind, end in scan_layer(inner.text):
                 first, last = inner.original(start, end)
@@ -235,7 +270,6 @@ def find_secrets(text: str) -> tuple[list, list, int]:
     return base, sorted(spans), len(set(refused))
 
 
-
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     """The text with every span, overlapping ones joined, replaced by a mask."""
     out, at = [], 0

@@ -104,3 +104,25 @@ def test_report_and_masking_over_tables(spark):
     assert (after[4].text, after[4].n_chars) == ("clean text", 10)
     assert after[5].text.endswith(s.MASK) and after[5].spans == "mine"
     assert s.secret_report(docs.limit(0)).count() == 0 and s.redact(docs.limit(0)).count() == 0
+
+
+FLAWS = {"no-break space": "\u00a0", "byte order mark": "\ufeff", "NUL": "\0", "form feed": "\f",
+         "private use": "\ue000", "bad byte": "\udcff"}
+
+
+@pytest.mark.parametrize("flaw", FLAWS)
+@pytest.mark.parametrize("layer", ["url", "base64", "gzip", "zlib", "bzip2", "xz"])
+def test_a_flaw_does_not_hide_a_layer(layer, flaw):
+    for text in (FLAWS[flaw] + SECRET, SECRET + FLAWS[flaw], FLAWS[flaw] * 90 + SECRET + FLAWS[flaw] * 90):
+        data = text.encode("utf-8", "surrogateescape")
+        pack = {"gzip": gzip.compress, "zlib": zlib.compress, "bzip2": bz2.compress, "xz": lzma.compress}
+        wrapped = "".join(f"%{b:02X}" for b in data) if layer == "url" else b64(pack.get(layer, bytes)(data))
+        found = s.find_secrets(f"a {wrapped} b {wrapped} c")[1]
+        for at in (2, 5 + len(wrapped)):
+            assert any(k == 0 and at <= a < b <= at + len(wrapped) for a, k, b in found), text
+
+
+def test_positions_behind_bad_bytes():
+    data = b"\xff\xc3" + "é".encode() + SECRET.encode()
+    text = "".join(f"%{b:02x}" for b in data)
+    assert (3 * 4, 0, 3 * (len(data) - 1)) in s.find_secrets(text)[1]
