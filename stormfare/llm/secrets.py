@@ -21,7 +21,6 @@ and returned unchanged by :func:`redact`.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
@@ -48,6 +47,13 @@ MIN_VALUE = 6
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
+#: Runs over single line breaks, as wrapped at some column.
+BREAK = r"[ \t]*+\r?\n[ \t]*+"
+BLOCK = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-](?:(?:{BREAK})?+[A-Za-z0-9+/_-]){{11,}}+={{0,2}}")
+URL_SAFE = str.maketrans("-_", "+/")
+#: First bytes of gzip, zlib, bzip2 and xz data.
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
+CHUNK = 64 << 10
 MAX_UNPACKED = 64 << 20
 MASK = "[secret]"
 #: Control characters other than white space, and bytes that are not UTF-8.
@@ -57,7 +63,8 @@ READABLE = 0.85
 BAD_BYTE = re.compile("[\udc80-\udcff]")
 #: What decoded bytes need to hold for a secret, or a run that hides one, to be in them.
 WORTH = re.compile(
-    rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}|[A-Za-z0-9+/_-]{12}")
+    rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}|"
+    rb"[A-Za-z0-9+/_-](?:(?:[ \t]*+\r?\n[ \t]*+)?+[A-Za-z0-9+/_-]){11}")
 
 _IS_HEX = bytes(49 if chr(b) in "0123456789abcdef" else 48 for b in range(256))
 
@@ -128,23 +135,31 @@ class TooLarge(Exception):
     """A compressed run unpacks to more than the limit."""
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """Decompressed bytes of gzip, zlib, bzip2 or xz data, else None."""
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-        machine = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        machine = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        machine = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = machine.decompress(data, MAX_UNPACKED + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    if len(out) > MAX_UNPACKED:
-        raise TooLarge
-    return out if machine.eof else None
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """What the gzip, zlib, bzip2 and xz members from a place on unpack to, where to go on, whether none is cut off."""
+    out, total = [], 0
+    while m := PACKED.match(data, at):
+        machine = (zlib.decompressobj(47) if m[0][:1] in b"\x1f\x78"
+                   else bz2.BZ2Decompressor() if m[0][:1] == b"B" else lzma.LZMADecompressor())
+        place = at
+        try:
+            while place < len(data) and not machine.eof:
+                out.append(machine.decompress(data[place:place + CHUNK], MAX_UNPACKED + 1 - total))
+                place = min(place + CHUNK, len(data)) - len(machine.unused_data)
+                total += len(out[-1])
+                if total > MAX_UNPACKED:
+                    raise TooLarge
+        except (zlib.error, OSError, lzma.LZMAError, EOFError):
+            pass
+        if not machine.eof:
+            return b"".join(out), m.end(), False
+        # Members may be padded with zeros.
+        at = place
+        while data[place:place + 1] == b"\0":
+            place += 1
+        if PACKED.match(data, place):
+            at = place
+    return b"".join(out), at, True
 
 
 def _whole(a: int, b: int, text: str) -> tuple:
@@ -187,68 +202,102 @@ def from_escapes(text: str) -> list[tuple]:
     return parts
 
 
-def _base64_bytes(run: str) -> bytes | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+def _base64_bytes(body: str) -> bytes:
+    """What a run without its closing signs decodes to; a last character of its own says nothing."""
+    body = body[:len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
-def from_base64(runs: list[re.Match]) -> tuple[list, list, list]:
-    """Runs that read without a flaw, runs that mostly do, and the others that may hide something."""
-    clear, mostly, rest = [], [], []
-    for m in runs:
-        data = _base64_bytes(m[0])
-        if not data:
-            continue
-        plain = _as_text(data)
-        share = _readable(plain)
-        if share < READABLE and not WORTH.search(data):
-            continue
-        part = (m.start(), m.end(), *_by_bytes(
-            m.start(), plain, lambda k: k * 8 // 6, lambda k: (k * 8 + 7) // 6 + 1))
-        if share < READABLE:
-            rest.append(part)
-            continue
-        mostly.append(part)
-        if share == 1:
-            clear.append(part)
-    return clear, mostly, rest
+def _plain_part(start: int, end: int, plain: str, places: np.ndarray) -> tuple:
+    """A replacement by decoded bytes, from the places of the run's characters."""
+    return start, end, *_by_bytes(
+        0, plain, lambda k: places[k * 8 // 6], lambda k: places[(k * 8 + 7) // 6] + 1)
 
 
-def from_compressed(runs: list[re.Match], refused: list[int]) -> list[tuple]:
-    parts = []
-    for m in runs:
-        # gzip, zlib, bzip2 and xz data begin with these characters.
-        if m[0][:2] not in ("H4", "eA", "eF", "eJ", "eN", "Qh", "Ql", "/T", "_T"):
-            continue
-        try:
-            data = _base64_bytes(m[0])
-            plain = data and _unpack(data)
-            plain = plain and BAD_BYTE.sub("\ufffd", _as_text(plain))
-        except TooLarge:
-            refused.append(m.start())
-            continue
-        if plain:
-            parts.append(_whole(m.start(), m.end(), plain))
-    return parts
+def from_base64(text: str) -> tuple[list, list, list]:
+    """Runs that read without a flaw, runs and blocks that mostly do, and what else may hide something.
+
+    A block is taken whole, and from each of its first four characters: whatever
+    stands before the encoded bytes, one of these is on their grid.
+    """
+    clear, mostly, rest = [], [], []
+    for block in BLOCK.finditer(text):
+        body, places, runs = _characters(block)
+        for m in runs:
+            run = m[0].rstrip("=")
+            data = _base64_bytes(run.translate(URL_SAFE))
+            plain = _as_text(data)
+            share = _readable(plain)
+            if share >= READABLE:
+                start = block.start() + m.start()
+                part = _plain_part(start, block.start() + m.end(), plain, np.arange(start, start + len(run)))
+                mostly.append(part)
+                if share == 1 and len(run) % 4 != 1:
+                    clear.append(part)
+        for at in range(4):
+            data = _base64_bytes(body[at:])
+            if at and not WORTH.search(data):
+                continue
+            plain = _as_text(data)
+            if at == 0 and _readable(plain) >= READABLE:
+                part = _plain_part(block.start(), block.end(), plain, places)
+                while mostly and mostly[-1][0] >= block.start():
+                    mostly.pop()
+                mostly.append(part)
+            elif WORTH.search(data):
+                rest.append(_plain_part(block.start(), block.end(), plain, places[at:]))
+    return clear, mostly, rest
 
 
-def _inner_layers(layer: Layer, refused: list[int]) -> Iterator[Layer]:
+def _characters(block: re.Match) -> tuple[str, np.ndarray, list[re.Match]]:
+    """The characters of a block without its line breaks, their places, and its unbroken runs."""
+    whole = block[0].rstrip("=")
+    parts = whole.split()
+    if len(parts) == 1:
+        places = np.arange(block.start(), block.start() + len(whole))
+    else:
+        places = block.start() + np.flatnonzero(np.frombuffer(whole.encode(), np.uint8) > 32)
+    return "".join(parts).translate(URL_SAFE), places, list(BASE64_RUN.finditer(block[0]))
+
+
+def from_compressed(text: str, refused: list[tuple[int, int]]) -> tuple[list, list]:
+    """Replacements by what compressed data in base64 unpacks to: one for each block, and the further ones."""
+    parts, rest = [], []
+    for block in BLOCK.finditer(text):
+        body, places, _ = _characters(block)
+        first = True
+        for grid in range(4):
+            data, done = _base64_bytes(body[grid:]), 0
+            while m := PACKED.search(data, done):
+                start = int(places[grid + m.start() * 8 // 6])
+                try:
+                    out, done, whole = _unpack(data, m.start())
+                except TooLarge:
+                    refused.append((start, block.end()))
+                    break
+                end = block.end() if not whole or done >= len(data) else int(places[grid + (done * 8 - 1) // 6]) + 1
+                if whole and out or WORTH.search(out):
+                    part = _whole(start, end, BAD_BYTE.sub("\ufffd", _as_text(out)))
+                    if first and whole:
+                        parts.append(part)
+                        first = False
+                    else:
+                        rest.append(part)
+    return parts, rest
+
+
+def _inner_layers(layer: Layer, refused: list[tuple[int, int]]) -> Iterator[Layer]:
     """What each decoder makes of a layer: runs replaced in place, runs that hardly read as layers of their own."""
-    runs = list(BASE64_RUN.finditer(layer.text))
-    clear, mostly, rest = from_base64(runs)
+    clear, mostly, rest = from_base64(layer.text)
+    packed, more = from_compressed(layer.text, refused)
     # A name that happens to decode stays a name in the layer of the clear runs.
-    in_place = [from_url(layer.text), from_escapes(layer.text), clear, from_compressed(runs, refused)]
-    if len(mostly) > len(clear):
+    in_place = [from_url(layer.text), from_escapes(layer.text), clear, packed]
+    if len(mostly) != len(clear) or any(a[:2] != b[:2] for a, b in zip(mostly, clear)):
         in_place.append(mostly)
     for parts in in_place:
         if parts:
             yield layer.replaced(parts)
-    for _, _, text, first, last in rest:
+    for _, _, text, first, last in rest + more:
         yield layer.alone(text, first, last)
 
 

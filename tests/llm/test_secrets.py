@@ -126,3 +126,37 @@ def test_positions_behind_bad_bytes():
     data = b"\xff\xc3" + "é".encode() + SECRET.encode()
     text = "".join(f"%{b:02x}" for b in data)
     assert (3 * 4, 0, 3 * (len(data) - 1)) in s.find_secrets(text)[1]
+
+
+PACKS = {"plain": bytes, "gzip": gzip.compress, "zlib": zlib.compress, "bzip2": bz2.compress, "xz": lzma.compress}
+NOISE = bytes(random.Random(9).randrange(256) for _ in range(300))
+
+
+@pytest.mark.parametrize("pack", PACKS)
+def test_base64_off_the_grid(pack):
+    inner = b64(PACKS[pack](f"some words {SECRET} and more".encode()))
+    for before in ("https://h.org/r/", "key-", "my_", "a", "ab", "abc", "abcd", "x/y-z_"):
+        text = f"see {before}{inner} now"
+        assert any(k == 0 and b > 4 + len(before) for _, k, b in s.find_secrets(text)[1]), before
+
+
+@pytest.mark.parametrize("pack", PACKS)
+@pytest.mark.parametrize("columns", [10, 64, 76])
+@pytest.mark.parametrize("new_line", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64(pack, columns, new_line):
+    # Noise keeps packed data longer than a line; the secret is cut by a break.
+    for shift in range(0, 60, 7):
+        inner = b64(PACKS[pack](NOISE.hex().encode()[:70 + shift].replace(b"f", b" ") + SECRET.encode()))
+        wrapped = new_line.join(inner[i:i + columns] for i in range(0, len(inner), columns))
+        text = f"-----BEGIN-----\n{wrapped}\n\nend"
+        found = s.find_secrets(text)[1]
+        assert any(k == 0 and s.redacted(text, [(a, k, b)]) != text for a, k, b in found)
+        if pack == "plain":
+            assert any(k == 0 and b - a > 4 * len(SECRET) // 3 - 6 for a, k, b in found)
+
+
+@pytest.mark.parametrize("pack", [p for p in PACKS if p not in ("plain", "zlib")])
+def test_all_members_are_unpacked(pack):
+    cut = SECRET.encode()
+    data = b"".join(map(PACKS[pack], (b"first words ", cut[:14], cut[14:])))
+    assert any(k == 0 for _, k, _ in s.find_secrets(f"x {b64(data)} y")[1])
