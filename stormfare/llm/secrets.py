@@ -11,7 +11,8 @@ refer to the original.
 
 The work is done document by document in the tasks; memory holds one text and
 its layers. A compressed run that unpacks to more than ``MAX_UNPACKED`` bytes
-is left packed and counted in ``n_refused``.
+is not looked into: :func:`scan` and :func:`secret_report` count it in
+``n_refused`` and :func:`redact` masks all of it.
 
 Defined results: null text counts as empty; spans found on several layers count
 once; equal rows give equal results; other columns are ignored by :func:`scan`
@@ -301,12 +302,13 @@ def _inner_layers(layer: Layer, refused: list[tuple[int, int]]) -> Iterator[Laye
         yield layer.alone(text, first, last)
 
 
-def find_secrets(text: str) -> tuple[list, list, int]:
-    """Base spans, all spans, both (start, kind, end) in order, and the runs left packed."""
+def examine(text: str) -> tuple[list, list, list[tuple[int, int]]]:
+    """Base spans, all spans, both (start, kind, end) in order, and the ranges (start, end) left packed."""
     base = sorted(scan_layer(text))
-    spans, seen, work, refused = set(base), {(text, (0, len(text)))}, [Layer(text)], []
+    spans, seen, work, refused = set(base), {(text, (0, len(text)))}, [Layer(text)], set()
     while work:
-        for inner in _inner_layers(work.pop(), refused):
+        layer, left = work.pop(), []
+        for inner in _inner_layers(layer, left):
             # One text may stand at several places, as a layer of its own at each.
             known = inner.text, inner.original(0, len(inner.text)) if inner.text else None
             if known in seen:
@@ -316,7 +318,14 @@ def find_secrets(text: str) -> tuple[list, list, int]:
             for start, kind, end in scan_layer(inner.text):
                 first, last = inner.original(start, end)
                 spans.add((first, kind, last))
-    return base, sorted(spans), len(set(refused))
+        refused.update(layer.original(*run) for run in left)
+    return base, sorted(spans), sorted(refused)
+
+
+def find_secrets(text: str) -> tuple[list, list, int]:
+    """Base spans, all spans, both (start, kind, end) in order, and the number of runs left packed."""
+    base, spans, refused = examine(text)
+    return base, spans, len(refused)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -363,7 +372,7 @@ def spans_text(name: str) -> Column:
 
 
 def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """The documents with all secrets masked; a column of that name gets the new length.
+    """The documents with all secrets and runs left packed masked; a column of that name gets the new length.
 
     Texts without secrets come back as they were, null ones included.
     """
@@ -375,7 +384,9 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
             known = batch.column(batch.schema.names.index(length)).to_pylist() if length in batch.schema.names else None
             for i, value in enumerate(batch.column(at)):
                 value = value.as_py()
-                spans = find_secrets(value)[1] if value else []
+                _, spans, refused = examine(value) if value else ([], [], [])
+                # What a run left packed holds is not known.
+                spans = sorted(spans + [(a, -1, b) for a, b in refused])
                 new = redacted(value, spans) if spans else value
                 texts.append(new)
                 if known is not None:
@@ -398,5 +409,5 @@ def secret_report(docs: DataFrame) -> DataFrame:
 
     return found.select(
         "doc_id", *map(count, KINDS),
-        F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"),
+        F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"), "n_refused",
     )

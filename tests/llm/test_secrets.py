@@ -160,3 +160,11 @@ def test_all_members_are_unpacked(pack):
     cut = SECRET.encode()
     data = b"".join(map(PACKS[pack], (b"first words ", cut[:14], cut[14:])))
     assert any(k == 0 for _, k, _ in s.find_secrets(f"x {b64(data)} y")[1])
+
+
+def test_runs_left_packed_are_counted_and_masked(spark):
+    bomb = b64(gzip.compress(SECRET.encode() + b" " * (s.MAX_UNPACKED + 1)))
+    docs = spark.createDataFrame([(1, f"see {bomb} end", 9), (2, "clean", 5)], "doc_id long, text string, n_chars long")
+    assert {r.doc_id: r.n_refused for r in s.secret_report(docs).collect()} == {1: 1, 2: 0}
+    texts = {r.doc_id: (r.text, r.n_chars) for r in s.redact(docs).collect()}
+    assert texts == {1: (f"see {s.MASK} end", 8 + len(s.MASK)), 2: ("clean", 5)}
