@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SETTINGS = Settings()
 # Order lines ship over these years.
 LINE_SETTINGS = settings_for_years(1995, range(1995, 2003))
+#: About as many observations go to one pretty file.
+PRETTY_ROWS = 10_000
 LINEAGE = ("ingested_at", "source_file")  # differ from run to run
 
 
@@ -169,14 +171,20 @@ def _weather_files(t: Tables, levels: int = 3) -> Settings:
 
 
 def _pretty_weather(t: Tables) -> Settings:
-    """January's weather as pretty files of a day each, with a broken file and one with a broken field."""
+    """January's weather as pretty files, as many to a day as its rows need, with a broken file and one with a broken field."""
     path = scratch_path(t.spark, "weather-pretty")
     dated = layout.with_partitions(t.raw_weather.withColumn("_ts", _observed_at()), "_ts").drop("_ts")
     fields = [F.col(f"`{c}`") for c in t.raw_weather.columns]
     text = F.to_json(F.struct(*fields), {"pretty": "true"})
     whole = F.concat(F.lit("[\n"), F.array_join(F.collect_list(text), ",\n"), F.lit("\n]"))
-    days = dated.groupBy("year", "month", "day").agg(whole.alias("value"))
-    days.repartition(*layout.PARTITIONS).write.partitionBy(*layout.PARTITIONS).text(path)
+    counts = dated.groupBy(*[F.col(c).alias(f"_{c}") for c in layout.PARTITIONS]).agg(
+        F.ceil(F.count(F.lit(1)) / PRETTY_ROWS).alias("_files"))
+    bucket = F.pmod(F.xxhash64("id"), F.col("_files"))
+    same_day = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in layout.PARTITIONS])
+    split = dated.join(counts, same_day).withColumn("_bucket", bucket)
+    files = split.groupBy(*layout.PARTITIONS, "_bucket").agg(whole.alias("value")).drop("_bucket")
+    # One row is one file.
+    files.write.option("maxRecordsPerFile", 1).partitionBy(*layout.PARTITIONS).text(path)
     first = t.raw_weather.orderBy("id").limit(1).select(text.alias("value"))
     broken = {
         "file": F.substring("value", 1, 40),
@@ -497,7 +505,7 @@ def _stream_hours(t: Tables, build: Callable[[DataFrame], DataFrame], mode: str)
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     for part in (early & ~late, ~early & ~late, late):
-        t.raw_weather.filter(part).coalesce(1).write.mode("append").json(folder)
+        t.raw_weather.filter(part).write.mode("append").json(folder)
         raw = weather_stream.read_weather_stream(t.spark, folder, LINES)
         query = (
             build(raw).writeStream.outputMode(mode)

@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from checks import compare
+from checks import compare, registry
 from checks.oracle import ORACLE
 from checks.registry import QUERIES, SETTINGS, Tables
 from stormfare.config import Settings
@@ -113,3 +113,11 @@ def test_whole_feed_is_validated_and_reloaded(spark):
     states = {r.state: r.folders for r in QUERIES["manifest_comparison_all"](spark, SMALL).collect()}
     assert sum(states.values()) == len(days) and set(states) == {"same", "changed", "new", "missing"}
     assert QUERIES["ingest_report_all"](spark, SMALL).first().rows == sum(days.values())
+
+
+def test_a_day_of_weather_is_many_files(spark, monkeypatch):
+    monkeypatch.setattr(registry, "PRETTY_ROWS", 2)
+    path = registry._pretty_weather(Tables(spark, SMALL)).weather_path
+    days = spark.read.option("recursiveFileLookup", "true").text(f"{path}/year=2024/month=1/day=2", wholetext=True)
+    assert days.count() > 1
+    assert compare.differences(spark, compare.database(SMALL), "weather_json_scan", SMALL) is None
