@@ -537,9 +537,9 @@ def line_hours(t: Tables) -> DataFrame:
 
 
 def line_trip_numbers(t: Tables) -> DataFrame:
-    """Trip numbers of the larger feed, as totals per day."""
+    """Trip numbers of the larger feed, as totals per day; only the columns that takes are numbered."""
     return (
-        staging.stage_trips(t.line_fact)
+        staging.stage_trips(t.line_fact.select("pickup_date", *staging.TRIP_ORDER))
         .groupBy("pickup_date")
         .agg(
             F.count(F.lit(1)).alias("trips"),
