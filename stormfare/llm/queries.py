@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import bpe, embeddings, mixing, ngram, oracle, quality, secrets, token_files, toxicity, urls, warc
+from stormfare.llm import bpe, embeddings, merge_rounds, mixing, ngram, oracle, quality, secrets, token_files, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,10 @@ def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(_given(spark, folder, "pages"), rules)
 
 
+def merge_round_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_rounds.round_trip(_given(spark, folder, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rules,
     "op2_systematic_mix": systematic_mix,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": secret_scan,
     "op9_embedding_duplicates": embedding_duplicates,
     "op10_url_rules": url_rules,
+    "op11_merge_rounds": merge_round_bpe,
 }
 
 ORACLE: dict[str, str] = {
