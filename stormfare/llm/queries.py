@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import bpe, embeddings, merge_rounds, mixing, ngram, oracle, quality, secrets, token_files, toxicity, urls, warc
+from stormfare.llm import bpe, embeddings, hard_negatives, merge_rounds, mixing, ngram, oracle, quality, secrets, token_files, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,11 @@ def merge_round_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return merge_rounds.round_trip(_given(spark, folder, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
 
 
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_given(spark, folder, "embeddings"), label=changed)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rules,
     "op2_systematic_mix": systematic_mix,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_duplicates": embedding_duplicates,
     "op10_url_rules": url_rules,
     "op11_merge_rounds": merge_round_bpe,
+    "op12_hard_negatives": mined_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -96,4 +102,5 @@ ORACLE: dict[str, str] = {
     "op6_ngram_groups": oracle.ngram_groups(),
     "op9_embedding_duplicates": oracle.embedding_duplicates(),
     "op10_url_rules": oracle.url_rules(URL_RULES),
+    "op12_hard_negatives": oracle.hard_negatives(),
 }
