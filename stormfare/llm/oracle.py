@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stormfare.llm import embeddings, hard_negatives as negatives, mixing, ngram, quality, warc
+from stormfare.llm import conversation_trie, embeddings, hard_negatives as negatives, mixing, ngram, quality, warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
@@ -243,3 +243,47 @@ WHERE NOT same AND {negatives.LOWEST_PERCENT} * positive_score <= 100 * s
   AND 100 * s <= {negatives.HIGHEST_PERCENT} * positive_score
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, id) <= {negatives.NEGATIVES}
 """
+
+
+def conversation_prefixes() -> str:
+    """Nodes as lists of all their turns; each node joined with all nodes above it."""
+    # Reflected CRC-32, eight shifts to a byte; 3988292384 is its polynomial.
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''),
+             lambda x: unicode(x)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295)"""
+    return f"""
+WITH given AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % {conversation_trie.BASE_EVERY} AS base, {crc} % {conversation_trie.HEAD_KINDS} AS h
+  FROM (SELECT DISTINCT c FROM given)
+), rebuilt AS (
+  SELECT k.c, 0 AS part, g.p, role, text FROM convs k JOIN given g ON g.c = k.base AND g.p <= k.h
+  UNION ALL
+  SELECT k.c, 1, g.p, role, text FROM convs k JOIN given g ON g.c = k.c AND g.p > k.h
+), placed AS (
+  SELECT c, row_number() OVER w AS d, list(struct_pack(role := role, text := text)) OVER w AS path, length(text) AS chars
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), paths AS (
+  SELECT c, d, path, chars FROM placed
+  UNION ALL SELECT c, 0, [], 0 FROM convs
+), lengths AS (SELECT c, max(d) AS n FROM paths GROUP BY c),
+nodes AS (
+  SELECT path, d, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved,
+         sha256(coalesce(string_agg(CASE WHEN d = n THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends
+  FROM paths JOIN lengths USING (c) GROUP BY path, d
+), member AS (SELECT p.c, p.d, n.c AS node FROM paths p JOIN nodes n ON n.path = p.path AND n.d = p.d),
+parents AS (
+  SELECT n.c, n.d, m.node AS parent FROM nodes n JOIN member m ON m.c = n.c AND m.d = n.d - 1
+), children AS (SELECT parent AS c, d - 1 AS d, count(*) AS n FROM parents GROUP BY ALL),
+measured AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.c = n.c AND k.d = n.d),
+sums AS (
+  SELECT m.node AS c, m.d, sum(saved)::BIGINT AS saved, sum((n_children = 0)::INT)::BIGINT AS leaves
+  FROM measured u JOIN member m ON m.c = u.c AND m.d <= u.d GROUP BY ALL
+)
+SELECT m.c AS conv_id, m.d::BIGINT AS depth, p.parent AS parent_conv_id, m.n_convs, m.n_children,
+       s.leaves AS n_leaves, s.saved AS saved_tokens, m.ends AS ends_sha256
+FROM measured m JOIN sums s ON s.c = m.c AND s.d = m.d LEFT JOIN parents p ON p.c = m.c AND p.d = m.d
+"""

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stormfare.llm import bpe, embeddings, hard_negatives, merge_rounds, mixing, ngram, oracle, quality, secrets, token_files, toxicity, urls, warc
+from stormfare.llm import (
+    bpe, conversation_trie, embeddings, hard_negatives, merge_rounds, mixing, ngram, oracle, quality, secrets,
+    token_files, toxicity, urls, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +83,10 @@ def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(_given(spark, folder, "embeddings"), label=changed)
 
 
+def conversation_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_given(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rules,
     "op2_systematic_mix": systematic_mix,
@@ -93,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op10_url_rules": url_rules,
     "op11_merge_rounds": merge_round_bpe,
     "op12_hard_negatives": mined_negatives,
+    "op13_conversation_trie": conversation_prefixes,
 }
 
 ORACLE: dict[str, str] = {
@@ -103,4 +111,5 @@ ORACLE: dict[str, str] = {
     "op9_embedding_duplicates": oracle.embedding_duplicates(),
     "op10_url_rules": oracle.url_rules(URL_RULES),
     "op12_hard_negatives": oracle.hard_negatives(),
+    "op13_conversation_trie": oracle.conversation_prefixes(),
 }
