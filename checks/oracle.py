@@ -292,23 +292,6 @@ def _top(rows: str, count: str, k: int, columns: str = "*") -> str:
     return f"SELECT {columns} FROM ({rows}) ORDER BY {count} DESC, pickup_hour LIMIT {k}"
 
 
-# Files of the first ten days as the validation query writes them.
-_CHECKED_FILES = """
-    SELECT '2024-01' AS month, 'all' AS folder, count(*) AS rows, NULL AS error
-    FROM raw_trips WHERE day(tpep_pickup_datetime) <= 10
-    UNION ALL SELECT '2024-02', 'a', count(*), 'missing columns: fare_amount'
-    FROM raw_trips WHERE day(tpep_pickup_datetime) <= 5
-    UNION ALL SELECT '2024-02', 'b', count(*), NULL
-    FROM raw_trips WHERE day(tpep_pickup_datetime) BETWEEN 6 AND 10
-    UNION ALL SELECT '2024-03', 'none', 0, 'empty'
-    UNION ALL SELECT '2024-04', NULL, 0, 'PATH_NOT_FOUND'"""
-
-_INGEST = f"""
-    SELECT count(*) AS months, count(*) FILTER (WHERE bad = 0) AS succeeded,
-           count(*) FILTER (WHERE bad > 0) AS failed,
-           CAST(sum(CASE WHEN bad = 0 THEN rows ELSE 0 END) AS BIGINT) AS rows
-    FROM (SELECT month, count(error) AS bad, sum(rows) AS rows FROM ({_CHECKED_FILES}) GROUP BY month)"""
-
 # Folders of all trips as the validation of the whole feed writes them.
 _WHOLE_FILES = """
     SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS month, 'day=' || day(tpep_pickup_datetime) AS folder,
@@ -319,13 +302,22 @@ _WHOLE_FILES = """
     UNION ALL SELECT '2024-03', 'none', 0, 'empty'
     UNION ALL SELECT '2024-04', NULL, 0, 'PATH_NOT_FOUND'"""
 
-_INGEST_ALL = f"""
+_INGEST = f"""
     SELECT count(*) AS months, count(*) FILTER (WHERE bad = 0) AS succeeded,
            count(*) FILTER (WHERE bad > 0) AS failed,
            CAST(sum(CASE WHEN bad = 0 THEN rows ELSE 0 END) AS BIGINT) AS rows
     FROM (SELECT month, count(error) AS bad, sum(rows) AS rows FROM ({_WHOLE_FILES}) GROUP BY month)"""
 
 
+_VALIDATION = f"""SELECT month, folder, rows, error,
+    CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM ({_WHOLE_FILES})"""
+
+_RELOADED = """SELECT state, count(*) AS folders FROM (
+    SELECT DISTINCT CAST(tpep_pickup_datetime AS DATE),
+      CASE day(tpep_pickup_datetime) WHEN 5 THEN 'changed' WHEN 7 THEN 'missing' WHEN 16 THEN 'new'
+           ELSE 'same' END AS state
+    FROM raw_trips) GROUP BY state"""
+
 # The hour that reaches the watermarked queries too late.
 _IN_TIME = "NOT (day(observation_hour) = 3 AND hour(observation_hour) = 5)"
 
@@ -479,27 +471,17 @@ _STEPS: dict[str, str] = {
         CAST(day(tpep_pickup_datetime) AS INTEGER) AS day, count(*) AS trips,
         {_total("fare_amount", 2)} AS fares FROM raw_trips GROUP BY ALL""",
     "trip_file_scan": "SELECT distance_bucket, count(*) AS trips FROM fact GROUP BY distance_bucket",
-    "schema_validation": f"""SELECT month, folder, rows, error,
-        CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM ({_CHECKED_FILES})""",
+    "schema_validation": _VALIDATION,
     "ingest_report": _INGEST,
     "ingest_sizes": f"SELECT *, TRUE AS has_size FROM ({_INGEST})",
-    "schema_validation_all": f"""SELECT month, folder, rows, error,
-        CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM ({_WHOLE_FILES})""",
-    "ingest_report_all": _INGEST_ALL,
-    "ingest_sizes_all": f"SELECT *, TRUE AS has_size FROM ({_INGEST_ALL})",
+    "schema_validation_all": _VALIDATION,
+    "ingest_report_all": _INGEST,
+    "ingest_sizes_all": f"SELECT *, TRUE AS has_size FROM ({_INGEST})",
     "file_manifest": """SELECT 'year=' || year(tpep_pickup_datetime) || '/month=' ||
           month(tpep_pickup_datetime) || '/day=' || day(tpep_pickup_datetime) AS file,
         count(*) AS rows, TRUE AS digested FROM raw_trips GROUP BY 1""",
-    "manifest_comparison": """SELECT state, count(*) AS folders FROM (
-        SELECT DISTINCT CAST(tpep_pickup_datetime AS DATE),
-          CASE day(tpep_pickup_datetime) WHEN 5 THEN 'changed' WHEN 7 THEN 'missing' WHEN 16 THEN 'new'
-               ELSE 'same' END AS state
-        FROM raw_trips WHERE day(tpep_pickup_datetime) <= 16) GROUP BY state""",
-    "manifest_comparison_all": """SELECT state, count(*) AS folders FROM (
-        SELECT DISTINCT CAST(tpep_pickup_datetime AS DATE),
-          CASE day(tpep_pickup_datetime) WHEN 5 THEN 'changed' WHEN 7 THEN 'missing' WHEN 16 THEN 'new'
-               ELSE 'same' END AS state
-        FROM raw_trips) GROUP BY state""",
+    "manifest_comparison": _RELOADED,
+    "manifest_comparison_all": _RELOADED,
     "feed_fingerprint": f"""SELECT count(*) AS rows, {_digest_half(1)} || '-' || {_digest_half(17)} AS digest
       FROM (SELECT md5({" || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
                                     for c in ("event_id", "event_type", "props", "ts", "user_id", "value"))}) AS d
@@ -514,6 +496,13 @@ _STEPS: dict[str, str] = {
     "stream_first_arrivals": f"SELECT observation_hour, 1::BIGINT AS times FROM dim WHERE {_IN_TIME}",
     "stream_hourly_state": f"""SELECT observation_hour, observation_ts, temp_celsius,
         weather_category FROM dim WHERE {_IN_TIME}""",
+    "stream_late_rows": f"""SELECT observation_hour, count(*) AS observations FROM flat
+        WHERE observation_ts IS NOT NULL AND temp_celsius IS NOT NULL AND NOT ({_IN_TIME}) GROUP BY observation_hour""",
+    "stream_late_report": f"""SELECT unnest(['kept', 'late', 'quarantined', 'dropped', 'hours']) AS what,
+        unnest([count(*) FILTER (WHERE ok AND {_IN_TIME}), count(*) FILTER (WHERE ok AND NOT ({_IN_TIME})), 0::BIGINT,
+          count(*) FILTER (WHERE NOT ok),
+          count(DISTINCT observation_hour) FILTER (WHERE ok AND {_IN_TIME})]) AS rows
+        FROM (SELECT *, observation_ts IS NOT NULL AND temp_celsius IS NOT NULL AS ok FROM flat)""",
     "line_hours": f"""SELECT *, pickup_hour IN (7, 8, 9, 17, 18, 19) AS is_peak
         FROM ({_hours_sql("line_fact")})""",
     "line_trip_numbers": f"""SELECT pickup_date, count(*) AS trips, min(trip_id) AS first_id,

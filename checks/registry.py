@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
+from datetime import timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -332,44 +333,6 @@ def trip_file_scan(t: Tables) -> DataFrame:
     return questions.bucket_counts(fact)
 
 
-def _checked_files(t: Tables) -> Settings:
-    """Months with good files, one file without fares, one empty file, and one month that is not there."""
-    path = scratch_path(t.spark, "trips-checked")
-    day = F.dayofmonth("tpep_pickup_datetime")
-    good = t.raw_trips.filter(day <= 10)
-
-    def put(rows: DataFrame, month: str, folder: str) -> None:
-        # A partitioned write leaves no empty file.
-        rows.withColumn("part", F.lit(folder)).write.mode("append").partitionBy("part").parquet(f"{path}/2024/{month}")
-
-    put(good, "01", "all")
-    put(good.filter(day <= 5).drop("fare_amount"), "02", "a")
-    put(good.filter(day > 5), "02", "b")
-    good.limit(0).write.parquet(f"{path}/2024/03/none")
-    return replace(SETTINGS, months=(1, 2, 3, 4), trip_path=path)
-
-
-def schema_validation(t: Tables) -> DataFrame:
-    """What is wrong with the files of each folder."""
-    folder = F.regexp_extract("file", "([^/=]+)/[^/]+$", 1).alias("folder")
-    checked = validate_files(t.spark, _checked_files(t), plain=True)
-    return checked.groupBy("month", folder, "error", "status").agg(F.sum("rows").alias("rows"))
-
-
-def ingest_report(t: Tables) -> DataFrame:
-    months = validate_months(t.spark, _checked_files(t), plain=True)
-    return manifest.ingest_summary(months.drop("files"))
-
-
-def ingest_sizes(t: Tables) -> DataFrame:
-    """The ingestion report with sizes per month from the file manifest."""
-    settings = _checked_files(t)
-    sizes = manifest.month_sizes(manifest.file_manifest(t.spark, settings.trip_path))
-    months = validate_months(t.spark, settings, plain=True).join(sizes, "month", "left")
-    summary = manifest.ingest_summary(months)
-    return summary.withColumn("size_mb", F.col("size_mb") >= 0).withColumnRenamed("size_mb", "has_size")
-
-
 def _whole_files(t: Tables) -> Settings:
     """All trips by day; beside them files without fares, a file of text, an empty file, and a month that is not there."""
     path = scratch_path(t.spark, "trips-whole")
@@ -381,19 +344,19 @@ def _whole_files(t: Tables) -> Settings:
     return replace(SETTINGS, months=(1, 2, 3, 4), trip_path=path)
 
 
-def schema_validation_all(t: Tables) -> DataFrame:
+def schema_validation(t: Tables) -> DataFrame:
     """What is wrong with the files of each folder, over all trips."""
     folder = F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("folder")
     checked = validate_files(t.spark, _whole_files(t))
     return checked.groupBy("month", folder, "error", "status").agg(F.sum("rows").alias("rows"))
 
 
-def ingest_report_all(t: Tables) -> DataFrame:
+def ingest_report(t: Tables) -> DataFrame:
     """The ingestion report over all trips."""
     return manifest.ingest_summary(validate_months(t.spark, _whole_files(t)).drop("files"))
 
 
-def ingest_sizes_all(t: Tables) -> DataFrame:
+def ingest_sizes(t: Tables) -> DataFrame:
     """The ingestion report with sizes per month, over all trips."""
     settings = _whole_files(t)
     sizes = manifest.month_sizes(manifest.file_manifest(t.spark, settings.trip_path))
@@ -407,8 +370,8 @@ def file_manifest(t: Tables) -> DataFrame:
     return folders.select("file", "rows", F.col("digest").isNotNull().alias("digested"))
 
 
-def _reloaded(t: Tables, loaded: Column) -> DataFrame:
-    """Folders by state after reloads of the loaded days: one as it was, one changed, one added, one taken away."""
+def manifest_comparison(t: Tables) -> DataFrame:
+    """Folders by state after reloads of a table of all days but one: one as it was, one changed, one added, one taken away."""
     path = scratch_path(t.spark, "trips-reloaded")
     day = F.dayofmonth("tpep_pickup_datetime")
 
@@ -417,7 +380,7 @@ def _reloaded(t: Tables, loaded: Column) -> DataFrame:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("year", "month", "day").parquet(path))
 
-    load(t.raw_trips.filter(loaded))
+    load(t.raw_trips.filter(day != 16))
     before = written(manifest.folder_manifest(manifest.file_manifest(t.spark, path)), "manifest-before")
     load(t.raw_trips.filter(day == 2))
     load(t.raw_trips.filter(day == 5).withColumn("fare_amount", F.col("fare_amount") + 1))
@@ -429,16 +392,6 @@ def _reloaded(t: Tables, loaded: Column) -> DataFrame:
     return states.groupBy("state").agg(F.count(F.lit(1)).alias("folders"))
 
 
-def manifest_comparison(t: Tables) -> DataFrame:
-    """Reloads of a table of the first half month."""
-    return _reloaded(t, F.dayofmonth("tpep_pickup_datetime") <= 15)
-
-
-def manifest_comparison_all(t: Tables) -> DataFrame:
-    """Reloads of a table of all days but the one that is added."""
-    return _reloaded(t, F.dayofmonth("tpep_pickup_datetime") != 16)
-
-
 def feed_fingerprint(t: Tables) -> DataFrame:
     """One digest of the whole feed; times and amounts as whole numbers, which every engine writes alike."""
     events = t.given("events")
@@ -493,19 +446,51 @@ def stream_weather_dedup(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop("observation_id", *LINEAGE)
 
 
-def _stream_hours(t: Tables, build: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
-    """Three triggers. The third brings an hour of the third day, long after the watermark passed it."""
-    folder, out = scratch_path(t.spark, "weather-late"), scratch_path(t.spark, "stream-hours")
-    state = scratch_path(t.spark, "stream-state")
+def _late_parts(t: Tables) -> Iterator[DataFrame]:
+    """What three triggers bring; the third an hour of the third day, long after hours were closed."""
     seen = _observed_at()
     late = (F.dayofmonth(seen) == 3) & (F.hour(seen) == 5)
     early = F.dayofmonth(seen) <= 10
+    for part in (early & ~late, ~early & ~late, late):
+        yield t.raw_weather.filter(part)
+
+
+def _closed_hours(t: Tables) -> str:
+    """An hourly table whose hours close two hours after their end, from the same three triggers."""
+    folder, path = scratch_path(t.spark, "weather-late"), scratch_path(t.spark, "stream-closed")
+    state = scratch_path(t.spark, "stream-state")
+    for part in _late_parts(t):
+        part.write.mode("append").json(folder)
+        raw = weather_stream.read_weather_stream(t.spark, folder, LINES)
+        weather_stream.run_available(raw, path, state, timedelta(hours=2))
+    return path
+
+
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Observations that came after their hour was closed."""
+    late = weather_stream.late_rows(t.spark, _closed_hours(t))
+    return late.groupBy("observation_hour").agg(F.count(F.lit(1)).alias("observations"))
+
+
+def stream_late_report(t: Tables) -> DataFrame:
+    """All rows of the feed by what became of them; hours of the table and those that only came late."""
+    path = _closed_hours(t)
+    hours = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("hours").alias("what"), "rows")
+    counts = weather_stream.stream_report(t.spark, path)
+    listed = F.explode(F.array(*(F.struct(F.lit(c).alias("what"), F.col(c).alias("rows")) for c in counts.columns)))
+    return counts.select(listed.alias("one")).select("one.*").unionByName(hours)
+
+
+def _stream_hours(t: Tables, build: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
+    """The updates of a stateful query over three triggers."""
+    folder, out = scratch_path(t.spark, "weather-late"), scratch_path(t.spark, "stream-hours")
+    state = scratch_path(t.spark, "stream-state")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    for part in (early & ~late, ~early & ~late, late):
-        t.raw_weather.filter(part).write.mode("append").json(folder)
+    for part in _late_parts(t):
+        part.write.mode("append").json(folder)
         raw = weather_stream.read_weather_stream(t.spark, folder, LINES)
         query = (
             build(raw).writeStream.outputMode(mode)
@@ -610,14 +595,14 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "trip_files_by_day": trip_files_by_day,
     "trip_file_scan": trip_file_scan,
     "schema_validation": schema_validation,
-    "schema_validation_all": schema_validation_all,
+    "schema_validation_all": schema_validation,
     "ingest_report": ingest_report,
-    "ingest_report_all": ingest_report_all,
+    "ingest_report_all": ingest_report,
     "ingest_sizes": ingest_sizes,
-    "ingest_sizes_all": ingest_sizes_all,
+    "ingest_sizes_all": ingest_sizes,
     "file_manifest": file_manifest,
     "manifest_comparison": manifest_comparison,
-    "manifest_comparison_all": manifest_comparison_all,
+    "manifest_comparison_all": manifest_comparison,
     "feed_fingerprint": feed_fingerprint,
     # sinks
     "write_report": write_report,
@@ -626,6 +611,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stream_weather_dedup": stream_weather_dedup,
     "stream_first_arrivals": stream_first_arrivals,
     "stream_hourly_state": stream_hourly_state,
+    "stream_late_rows": stream_late_rows,
+    "stream_late_report": stream_late_report,
     # order-line feed
     "line_hours": line_hours,
     "line_trip_numbers": line_trip_numbers,

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exact import half_up, mean, percent
 from ..functions.time import hour_start
@@ -13,8 +13,8 @@ from ..functions.weather import category, first_condition
 from ..schemas import DIM_WEATHER
 
 
-def flatten(raw: DataFrame) -> DataFrame:
-    """Nested observation to flat columns.
+def flatten(raw: DataFrame, *carried: str) -> DataFrame:
+    """Nested observation to flat columns, and the ``carried`` ones as they are.
 
     A timestamp that cannot be read becomes NULL; :func:`valid` drops its row.
     ``observation_id`` is kept to decide between observations of one moment.
@@ -44,12 +44,18 @@ def flatten(raw: DataFrame) -> DataFrame:
         F.current_timestamp().alias("ingested_at"),
         source.alias("source_file"),
         F.col("id").cast("long").alias("observation_id"),
+        *(F.col(c) for c in carried),
     )
 
 
+def usable() -> Column:
+    """Whether a flat observation has a moment and a temperature."""
+    return F.col("observation_ts").isNotNull() & F.col("temp_celsius").isNotNull()
+
+
 def valid(observations: DataFrame) -> DataFrame:
     """Observations with a moment and a temperature."""
-    return observations.dropna(subset=["observation_ts", "temp_celsius"])
+    return observations.filter(usable())
 
 
 def first_per_hour(observations: DataFrame) -> DataFrame:

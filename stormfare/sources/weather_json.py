@@ -6,10 +6,10 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..config import Settings
-from ..operators.weather import flatten, valid
+from ..operators.weather import flatten, usable
 from ..schemas import CORRUPT_COLUMN, RAW_WEATHER
 from .layout import month_folders
 
@@ -79,25 +79,34 @@ def read_weather(
     return WeatherInput(*split_corrupt(everything), failed)
 
 
-def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of which anything could be read, and all rows of which something could not."""
+def corrupt() -> Column:
+    """Whether something of a row could not be read."""
     # A field that no one needs is not parsed, and then not found broken: the test names them all.
     fields = F.hash(*(F.col(f"`{f.name}`") for f in RAW_WEATHER.fields))
-    corrupt = F.concat(F.col(CORRUPT_COLUMN), F.substring(fields.cast("string"), 1, 0)).isNotNull()
+    return F.concat(F.col(CORRUPT_COLUMN), F.substring(fields.cast("string"), 1, 0)).isNotNull()
+
+
+def readable() -> Column:
+    """Whether anything of a row could be read."""
+    return ~corrupt() | F.col("`_metadata`").isNotNull()
+
+
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of which anything could be read, and all rows of which something could not."""
     lineage = [c for c in ("source_file",) if c in rows.columns]
     return (
-        rows.filter(~corrupt | F.col("`_metadata`").isNotNull()).drop(CORRUPT_COLUMN),
-        rows.filter(corrupt).select(*lineage, CORRUPT_COLUMN),
+        rows.filter(readable()).drop(CORRUPT_COLUMN),
+        rows.filter(corrupt()).select(*lineage, CORRUPT_COLUMN),
     )
 
 
 def input_report(read: WeatherInput) -> DataFrame:
     """Rows kept, quarantined, and dropped because a needed field is missing."""
-    flat = flatten(read.observations)
-    seen = flat.agg(F.count(F.lit(1)).alias("_all"))
-    kept = valid(flat).agg(F.count(F.lit(1)).alias("kept"))
-    quarantined = read.quarantine.agg(F.count(F.lit(1)).alias("quarantined"))
-    # One row each.
-    one = [df.withColumn("_one", F.lit(1)) for df in (seen, kept, quarantined)]
-    joined = one[0].join(one[1], "_one").join(one[2], "_one")
-    return joined.select("kept", "quarantined", (F.col("_all") - F.col("kept")).alias("dropped"))
+    seen = F.count(F.lit(1))
+    kept = F.count_if(usable())
+    nothing = F.lit(0).cast("long")
+    parts = flatten(read.observations).agg(
+        kept.alias("kept"), nothing.alias("quarantined"), (seen - kept).alias("dropped"),
+    ).unionByName(read.quarantine.agg(
+        nothing.alias("kept"), seen.alias("quarantined"), nothing.alias("dropped")))
+    return parts.agg(*(F.sum(c).alias(c) for c in parts.columns))

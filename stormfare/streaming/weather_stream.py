@@ -3,18 +3,25 @@
 The batch stages run unchanged on each micro-batch. The table itself holds the
 state: an observation that arrives late, however late, is merged with the hour
 already stored, so stream and batch give the same table and no row is dropped
-for lateness.
+for lateness. Where a consumer wants hours to close, rows that come after that
+are set aside and counted instead.
+
+A micro-batch is parsed once: its rows are written flat, with what becomes of
+each, while the same pass counts them; all further steps read that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from datetime import datetime, timedelta
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.weather import first_per_hour, flatten, valid
+from ..operators.weather import first_per_hour, flatten, usable, valid
 from ..schemas import CORRUPT_COLUMN
 from ..session import delete, scratch_path
-from ..sources.weather_json import LINES, PRETTY, WITH_CORRUPT, split_corrupt
+from ..sources.weather_json import LINES, PRETTY, WITH_CORRUPT, corrupt, readable, split_corrupt
 
 PARTITION = "obs_date"
 
@@ -38,8 +45,8 @@ def read_weather_stream(
 
 def observations(raw: DataFrame) -> DataFrame:
     """Valid observations; what is broken is left to :func:`split_corrupt`."""
-    readable = split_corrupt(raw)[0] if CORRUPT_COLUMN in raw.columns else raw
-    return readable.transform(flatten).transform(valid)
+    rows = split_corrupt(raw)[0] if CORRUPT_COLUMN in raw.columns else raw
+    return rows.transform(flatten).transform(valid)
 
 
 def _stored(path: str, like: DataFrame) -> DataFrame:
@@ -97,35 +104,80 @@ def quarantine_path(path: str) -> str:
     return f"{path.rstrip('/')}_quarantine"
 
 
-def hourly_writer(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+COUNTS = ("kept", "quarantined", "dropped", "late")
+
+
+def hours_closed_before(spark: SparkSession, path: str, batch: int, lateness: timedelta) -> datetime | None:
+    """Hours that ended by then are closed for a batch: the latest moment of the batches before, less the lateness."""
+    try:
+        counts = spark.read.parquet(f"{quarantine_path(path)}/counts")
+    except AnalysisException:  # no batch so far
+        return None
+    latest = counts.filter(F.col("batch") < batch).agg(F.max("latest")).first()[0]
+    return None if latest is None else latest - lateness
+
+
+def _sorted_out(batch: DataFrame, closed: datetime | None) -> DataFrame:
+    """Flat rows of a batch with what becomes of each; one of which a field is broken is kept and quarantined."""
+    marked = batch.withColumns({"_broken": corrupt(), "_readable": readable()})
+    flat = flatten(marked, "_broken", "_readable", CORRUPT_COLUMN)
+    sound = F.col("_readable") & usable()
+    ended = F.col("observation_hour") + F.expr("INTERVAL 1 HOUR")
+    late = F.lit(False) if closed is None else sound & (ended <= F.lit(closed).cast("timestamp_ntz"))
+    return flat.withColumns({"_late": late, "_kept": sound & ~late, "_dropped": F.col("_readable") & ~sound})
+
+
+def hourly_writer(raw: DataFrame, path: str, checkpoint: str, lateness: timedelta | None = None) -> DataStreamWriter:
     """Writer that merges every micro-batch into the hourly table.
 
     Broken rows go to the quarantine beside it, and each batch leaves its counts
-    of rows kept, quarantined and dropped there too; a batch that runs again
-    replaces its own.
+    of rows kept, quarantined, dropped and late there too; a batch that runs
+    again replaces its own. With ``lateness`` an hour is closed once a batch
+    before had a moment so much later than its end: rows for it are left to
+    :func:`late_rows` and do not change the table.
     """
+    flags = ("_broken", "_readable", "_late", "_kept", "_dropped")
+
     def take(batch: DataFrame, number: int) -> None:
-        readable, broken = split_corrupt(batch)
-        merge_hours(observations(batch), path)
-        place = quarantine_path(path)
-        broken.write.mode("overwrite").parquet(f"{place}/rows/batch={number}")
-        kept = observations(batch).count()
-        counts = [(kept, broken.count(), readable.count() - kept)]
-        report = batch.sparkSession.createDataFrame(counts, "kept long, quarantined long, dropped long")
-        report.coalesce(1).write.mode("overwrite").parquet(f"{place}/counts/batch={number}")
+        spark, place = batch.sparkSession, quarantine_path(path)
+        closed = None if lateness is None else hours_closed_before(spark, path, number, lateness)
+        seen, aside = Observation(), scratch_path(spark, "weather-parsed")
+        sorted_out = _sorted_out(batch, closed)
+        counted = sorted_out.observe(
+            seen, F.count_if("_kept").alias("kept"), F.count_if("_broken").alias("quarantined"),
+            F.count_if("_dropped").alias("dropped"), F.count_if("_late").alias("late"),
+            F.max(F.when(F.col("_kept") | F.col("_late"), F.col("observation_ts"))).alias("latest"))
+        try:
+            parsed = _aside(counted, aside)
+            found = seen.get
+            merge_hours(parsed.filter("_kept").drop(*flags, CORRUPT_COLUMN), path)
+            parsed.filter("_broken").select(CORRUPT_COLUMN).write.mode("overwrite").parquet(f"{place}/rows/batch={number}")
+            parsed.filter("_late").drop(*flags, CORRUPT_COLUMN).write.mode("overwrite").parquet(
+                f"{place}/late/batch={number}")
+            report = spark.createDataFrame(
+                [tuple(found[c] for c in (*COUNTS, "latest"))],
+                ", ".join([*(f"{c} long" for c in COUNTS), "latest timestamp_ntz"]))
+            report.coalesce(1).write.mode("overwrite").parquet(f"{place}/counts/batch={number}")
+        finally:
+            delete(spark, aside)
 
     return raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
 
 
 def stream_report(spark: SparkSession, path: str) -> DataFrame:
-    """Rows kept, quarantined and dropped by all batches so far."""
+    """Rows kept, quarantined, dropped and late by all batches so far."""
     counts = spark.read.parquet(f"{quarantine_path(path)}/counts")
-    return counts.agg(*(F.sum(c).alias(c) for c in ("kept", "quarantined", "dropped")))
+    return counts.agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Observations of hours that were closed when they came, with the batch they came in."""
+    return spark.read.parquet(f"{quarantine_path(path)}/late")
 
 
-def run_available(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def run_available(raw: DataFrame, path: str, checkpoint: str, lateness: timedelta | None = None) -> StreamingQuery:
     """Process the files not seen before, then stop."""
-    query = hourly_writer(raw, path, checkpoint).trigger(availableNow=True).start()
+    query = hourly_writer(raw, path, checkpoint, lateness).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

@@ -1,6 +1,7 @@
 import json
 import os
 import random
+from datetime import timedelta
 
 import pytest
 
@@ -82,3 +83,41 @@ def test_watermarked_variants_see_every_hour(spark, folder, build, mode):
     assert {r[0] for r in out} == set(expected)
     if mode == "update":
         assert {r[0]: r[1] for r in out} == expected
+
+
+def test_a_micro_batch_is_parsed_once(spark, folder):
+    docs = documents()
+    for number, document in enumerate(docs):
+        drop_file(f"{folder}/in", number, document)
+    raw = ws.read_weather_stream(spark, f"{folder}/in", max_files=10)
+    query = ws.run_available(raw, f"{folder}/table", f"{folder}/state")
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(progress) > 1 and sum(p["numInputRows"] for p in progress) == len(docs)
+
+
+def test_rows_of_closed_hours_are_kept_aside_and_counted(spark, folder):
+    """Hours close two hours after their end; a batch that runs again gives the same."""
+    first = [observation(f"2024-01-30T{h:02d}:10:00", ident=h) for h in range(6)]
+    second = [observation("2024-01-30T02:05:00", ident=90), observation("2024-01-30T03:05:00", ident=91),
+              observation("2024-01-30T04:05:00", ident=92), observation("2024-01-30T09:00:00", ident=93)]
+    path, lateness = f"{folder}/table", timedelta(hours=2)
+    for number, document in enumerate(first):
+        drop_file(f"{folder}/in", number, document)
+    ws.run_available(ws.read_weather_stream(spark, f"{folder}/in"), path, f"{folder}/state", lateness)
+    for number, document in enumerate(second):
+        drop_file(f"{folder}/in", 100 + number, document)
+    ws.run_available(ws.read_weather_stream(spark, f"{folder}/in"), path, f"{folder}/state", lateness)
+
+    def state():
+        late = sorted(r.observation_id for r in ws.late_rows(spark, path).collect())
+        return late, tuple(ws.stream_report(spark, path).first()), table(spark, path)
+
+    late, counts, hours = state()
+    # The latest moment before was 05:10, so hours that ended by 03:10 were closed.
+    assert late == [90] and counts == (9, 0, 0, 1)
+    moments = [h[0].strftime("%H:%M") for h in hours]
+    assert moments == ["00:10", "01:10", "02:10", "03:05", "04:05", "05:10", "09:00"]
+    # All files again under a checkpoint that knows nothing: every row is there once more, the table is not touched.
+    ws.run_available(ws.read_weather_stream(spark, f"{folder}/in"), f"{folder}/again", f"{folder}/fresh", lateness)
+    assert tuple(ws.stream_report(spark, f"{folder}/again").first()) == (10, 0, 0, 0)
+    assert state() == (late, counts, hours)
