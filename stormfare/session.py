@@ -56,6 +56,26 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``, whose former content is removed last.
+
+    Two renames, which a file system does at once; an object store that copies
+    instead needs a catalog table whose location is changed.
+    """
+    new, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    there = files.exists(place)
+    if there and not files.rename(place, old):
+        raise OSError(f"{path} could not be set aside")
+    if not files.rename(new, place):
+        if there:
+            files.rename(old, place)
+        raise OSError(f"{fresh} could not be moved to {path}")
+    if there:
+        files.delete(old, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 

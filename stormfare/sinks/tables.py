@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..schemas import Contract
+from ..session import delete, swap
 
 
 @dataclass(frozen=True)
@@ -42,9 +44,10 @@ def write_table(
 
     With ``only_these_partitions`` the other partitions stay: the reload of a
     period. Rows breaking the contract are counted by the write and returned;
-    with ``strict`` the first one fails the write. A full overwrite empties the
-    table before it writes, so after a failure the run has to be repeated; a
-    reload of some partitions replaces them only once all rows are written.
+    with ``strict`` the first one fails the write. A full overwrite is written
+    beside the table and takes its place once all rows are there, a reload of
+    some partitions replaces them only then: a write that fails leaves the table
+    as it was, and readers see the old one until the new one is whole.
 
     ``derived`` columns, which the contract does not know, name folders.
     ``counted`` aggregates are reported with the broken promises where they are not 0.
@@ -70,14 +73,21 @@ def write_table(
         table = table.hint("rebalance", *partition_by)
     if sort_by:
         table = table.sortWithinPartitions(*partition_by, *sort_by)
-    mode = "dynamic" if only_these_partitions else "static"
     started = time.monotonic()
-    (
-        table.write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    if only_these_partitions:
+        (
+            table.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
+    else:
+        spark, beside = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+        try:
+            table.write.partitionBy(*partition_by).parquet(beside)
+            swap(spark, beside, path)
+        finally:
+            delete(spark, beside)
     seconds = time.monotonic() - started
     found = dict(metrics.get)
     rows, folders = found.pop("rows"), frozenset(found.pop("_folders", ()))

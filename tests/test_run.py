@@ -1,7 +1,7 @@
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from checks import compare, registry
 from checks.oracle import ORACLE
@@ -9,6 +9,8 @@ from checks.registry import QUERIES, SETTINGS, Tables
 from stormfare.config import Settings
 from stormfare.operators.quality import GateFailure
 from stormfare.plans import jobs
+from stormfare.schemas import Contract
+from stormfare.sinks.tables import write_table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -50,6 +52,24 @@ def test_a_changed_file_stops_the_marts(spark, folder):
         jobs.require_loads(spark, settings)
 
 
+def test_a_write_that_fails_leaves_the_table(spark, folder):
+    """The new table is whole before it takes the old one's place; nothing is left beside it."""
+    import os
+
+    contract = Contract("t", (("k", T.LongType()), ("v", T.StringType())), required=("v",))
+    path = f"{folder}/t"
+    good = spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    for rows in (good, good.filter("k < 900")):
+        write_table(rows, path, contract, partition_by=("v",), strict=True)
+        assert spark.read.parquet(path).count() == rows.count()
+    before = spark.read.parquet(path)
+    bad = good.repartition(8).withColumn("v", F.when(F.col("k") != 777, F.lit("b")))
+    with pytest.raises(Exception, match="v is null"):
+        write_table(bad, path, contract, partition_by=("v",), strict=True)
+    assert before.count() == spark.read.parquet(path).filter("v = 'a'").count() == 900
+    assert os.listdir(folder) == ["t"]
+
+
 def test_digits_that_totals_lose_are_counted(spark, folder):
     from rows import trips
 
