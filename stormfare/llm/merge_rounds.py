@@ -43,7 +43,7 @@ FRONT_ROWS = 16_384
 CHARS_PER_ROUND = 1_000_000
 BYTES_PER_MERGE = 1_000_000
 #: Chunks of a worker's generation; the one before is kept too, so frequent chunks are never forgotten.
-KNOWN = 250_000
+KNOWN = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -53,11 +53,35 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
 
 
-class MergeRounds:
-    """Encoder and decoder of one vocabulary file."""
+class TokenBytes:
+    """Decoder of one vocabulary file: the bytes of all tokens, one behind the other."""
 
     def __init__(self, content: bytes):
-        given = json.loads(content)
+        self._take(json.loads(content))
+
+    def _take(self, given: dict) -> None:
+        letters, ids = byte_letters(), given["model"]["vocab"]
+        self.special = {t["content"]: t["id"] for t in given.get("added_tokens") or []}
+        spelled = {i: bytes(letters[c] for c in token) for token, i in ids.items() if token not in self.special}
+        spelled.update((i, token.encode()) for token, i in self.special.items())
+        self.size = max(spelled) + 1
+        self.lengths = np.array([len(spelled.get(i, b"")) for i in range(self.size)], np.int64)
+        self.ends = np.cumsum(self.lengths)
+        self.bytes = np.frombuffer(b"".join(spelled.get(i, b"") for i in range(self.size)), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that ids stand for."""
+        ids = ids.astype(np.int64)
+        ids = ids[(ids >= 0) & (ids < self.size)]
+        lengths = self.lengths[ids]
+        return self.bytes[_spans(self.ends[ids] - lengths, lengths)].tobytes()
+
+
+class MergeRounds(TokenBytes):
+    """Encoder of one vocabulary file."""
+
+    def _take(self, given: dict) -> None:
+        super()._take(given)
         model, before = given["model"], given["pre_tokenizer"] or {}
         added = given.get("added_tokens") or []
         plain = (
@@ -86,19 +110,11 @@ class MergeRounds:
         self.ordered = len(first) == len(merges) and all(
             first.get(ids[part], -1) < rank for rank, m in enumerate(merges) for part in m)
 
-        self.special = {t["content"]: t["id"] for t in added}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut_special = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
         self.pattern = regex.compile(PATTERN)
-        spelled = {i: bytes(letters[c] for c in token) for token, i in ids.items() if token not in self.special}
-        spelled.update((i, token.encode()) for token, i in self.special.items())
-        self.size = max(spelled) + 1
-        lengths = np.array([len(spelled.get(i, b"")) for i in range(self.size)], np.int64)
-        self.token_ends = np.cumsum(lengths)
-        self.token_lengths = lengths
-        self.token_bytes = np.frombuffer(b"".join(spelled.get(i, b"") for i in range(self.size)), np.uint8)
-        self.known: dict[str, np.ndarray] = {}
-        self.older: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # ids as little-endian unsigned 32-bit integers
+        self.older: dict[str, bytes] = {}
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge ranks of pairs of symbols; a symbol of -1 has none."""
@@ -153,17 +169,20 @@ class MergeRounds:
                 front = _merged_places(front, touched)
                 front = front[rank[front] <= limit]
 
-    def pieces(self, pieces: list[str]) -> list[np.ndarray]:
+    def pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece."""
-        found: list[np.ndarray] = []
+        found: list[bytes] = []
         for part in _by_size([p.encode() for p in pieces], BYTES_PER_MERGE):
             lengths = np.fromiter(map(len, part), np.int64, len(part))
             symbols = self.byte_ids[np.frombuffer(b"".join(part), np.uint8)]
             ids, piece = self.merged(symbols, np.repeat(np.arange(len(part)), lengths))
-            found += np.split(ids.astype("<u4"), np.cumsum(np.bincount(piece, minlength=len(part)))[:-1])
+            flat, begin = ids.astype("<u4").tobytes(), 0
+            for end in (4 * np.cumsum(np.bincount(piece, minlength=len(part)))).tolist():
+                found.append(flat[begin:end])
+                begin = end
         return found
 
-    def _chunks(self, chunks: list[str]) -> list[np.ndarray]:
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk, which the pattern cuts by itself."""
         if len(self.known) > KNOWN:
             self.known, self.older = {}, self.known
@@ -180,10 +199,10 @@ class MergeRounds:
         distinct = list(dict.fromkeys(p for c in cut for p in c))
         ids = dict(zip(distinct, self.pieces(distinct)))
         for c, parts in zip(new, cut):
-            known[c] = ids[parts[0]] if len(parts) == 1 else np.concatenate([ids[p] for p in parts] or [_NO_IDS])
+            known[c] = b"".join(map(ids.__getitem__, parts))
         return [known[c] for c in chunks]
 
-    def _whole(self, text: str) -> np.ndarray:
+    def _whole(self, text: str) -> bytes:
         """Ids of a text with special tokens or long white space."""
         found, at = [], 0
         places = self.cut_special.finditer(text) if self.cut_special else ()
@@ -193,18 +212,18 @@ class MergeRounds:
             ids = dict(zip(distinct, self._chunks(distinct)))
             found += map(ids.__getitem__, cut)
             if match:
-                found.append(np.array([self.special[match.group()]], "<u4"))
+                found.append(self.special[match.group()].to_bytes(4, "little"))
                 at = match.end()
-        return np.concatenate(found) if found else _NO_IDS
+        return b"".join(found)
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, nulls as empty."""
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         odd = pc.match_substring_regex(texts, UNSAFE)
         for token in self.special:
             odd = pc.or_(odd, pc.match_substring(texts, token))
         odd = odd.to_numpy(zero_copy_only=False)
-        found: list[np.ndarray] = [_NO_IDS] * len(texts)
+        found = [b""] * len(texts)
         for i in np.flatnonzero(odd).tolist():
             found[i] = self._whole(texts[i].as_py())
         usual = np.flatnonzero(~odd)
@@ -223,24 +242,14 @@ class MergeRounds:
             place[later_codes] = np.arange(len(later_codes))
             place[len(words) + first_codes] = len(later_codes) + np.arange(len(first_codes))
             taken = place[codes + np.where(first, len(words), 0)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             starts = np.cumsum(lengths) - lengths
-            flat = np.concatenate(ids)[_spans(starts[taken], lengths[taken])]
-            sizes = np.concatenate([[0], np.cumsum(lengths[taken])])[ends - ends[0]]
-            for i, part in zip(usual.tolist(), np.split(flat, sizes[1:-1])):
-                found[i] = part
+            flat = np.frombuffer(b"".join(ids), "<u4")[_spans(starts[taken], lengths[taken])].tobytes()
+            sizes = 4 * np.concatenate([[0], np.cumsum(lengths[taken])])[ends - ends[0]]
+            for i, begin, end in zip(usual.tolist(), sizes[:-1].tolist(), sizes[1:].tolist()):
+                found[i] = flat[begin:end]
         return found
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes that ids stand for."""
-        ids = ids.astype(np.int64)
-        ids = ids[(ids >= 0) & (ids < self.size)]
-        lengths = self.token_lengths[ids]
-        return self.token_bytes[_spans(self.token_ends[ids] - lengths, lengths)].tobytes()
-
-
-_NO_IDS = np.zeros(0, "<u4")
-
 
 def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places from each start on, one span after the other."""
@@ -287,7 +296,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
         for batch in batches:
             at = 0
             for texts in _rounds(batch.column(1)):
-                ids = pa.array([i.tobytes() for i in machine.encode(texts)], pa.binary())
+                ids = pa.array(machine.encode(texts), pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], names=["key", "ids"])
                 at += len(texts)
 
@@ -301,7 +310,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: st
     content = sent(encoded.sparkSession, vocabulary)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = built(MergeRounds, content.value)
+        machine = built(TokenBytes, content.value)
         for batch in batches:
             texts = (machine.decode(np.frombuffer(v.as_py() or b"", "<u4")) for v in batch.column(1))
             out = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
