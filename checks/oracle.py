@@ -390,6 +390,12 @@ _STEPS: dict[str, str] = {
         UNION ALL SELECT 'high_value_customers', count(*) FROM zones""",
     "sql_over_views": """SELECT weather_category, count(*) AS hours FROM stg_weather
         WHERE obs_date IN (SELECT pickup_date FROM fact) GROUP BY weather_category""",
+    "catalog_views": "SELECT * FROM stg_weather",
+    "bucketed_enriched": "SELECT * EXCLUDE (trip_id) FROM enriched",
+    "sketch_distinct": """SELECT pickup_hour, count(*) AS rows, count(DISTINCT total_amount) AS exact, TRUE AS within_error
+        FROM fact GROUP BY pickup_hour""",
+    "sketch_median": """SELECT pickup_location_id, count(*) AS rows, TRUE AS within_error
+        FROM fact GROUP BY pickup_location_id""",
     "q1_stats": f"""SELECT {_median("trip_duration_minutes", 1)} AS median_min,
         {_avg("trip_duration_minutes", 1)} AS mean_min,
         {_median("trip_duration_minutes", 1, "0.75")} AS p75_min
@@ -404,6 +410,10 @@ _STEPS: dict[str, str] = {
         WHERE trip_duration_minutes BETWEEN 1 AND 60 AND ('0x' || substr(md5(concat_ws('|',
           strftime(pickup_datetime, '%Y%m%d%H%M%S'), strftime(dropoff_datetime, '%Y%m%d%H%M%S'),
           pickup_location_id, dropoff_location_id)), 1, 8))::BIGINT % 4 = 0""",
+    "q1_sample_rows": """SELECT trip_duration_minutes FROM fact
+        WHERE trip_duration_minutes BETWEEN 1 AND 60 ORDER BY md5(concat_ws('|',
+          strftime(pickup_datetime, '%Y%m%d%H%M%S'), strftime(dropoff_datetime, '%Y%m%d%H%M%S'),
+          pickup_location_id, dropoff_location_id)), trip_duration_minutes LIMIT 500""",
     "q2_tips_by_bucket": f"""SELECT distance_bucket, {_avg("tip_percentage", 2)} AS avg_tip_pct,
         {_median("tip_percentage", 2)} AS median_tip_pct, count(*) AS trips
         FROM fact WHERE payment_type = 1 GROUP BY distance_bucket""",

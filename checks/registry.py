@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 from datetime import timedelta
@@ -14,7 +15,7 @@ from stormfare.config import Settings, settings_for_years
 from stormfare.functions.exact import total
 from stormfare.functions.time import iso_weekday
 from stormfare.functions.trip import payment_label
-from stormfare.operators import quality, trips as trip_ops, weather as weather_ops
+from stormfare.operators import quality, sketches, trips as trip_ops, weather as weather_ops
 from stormfare.operators.joins import from_zones, join_hourly
 from stormfare.plans import jobs, marts, questions, staging
 from stormfare.schemas import FACT_TRIPS
@@ -32,6 +33,9 @@ SETTINGS = Settings()
 LINE_SETTINGS = settings_for_years(1995, range(1995, 2003))
 #: About as many observations go to one pretty file.
 PRETTY_ROWS = 10_000
+BUCKETS = 16
+#: Durations of the fixed-size sample: fewer than the trips of any folder but the smallest.
+PLOT_ROWS = 500
 LINEAGE = ("ingested_at", "source_file")  # differ from run to run
 
 
@@ -254,6 +258,49 @@ def sql_over_views(t: Tables) -> DataFrame:
     )
 
 
+def catalog_views(t: Tables) -> DataFrame:
+    """The staged weather through a view of the catalog, from a session that knows no frame of this one."""
+    settings = replace(SETTINGS, warehouse=scratch_path(t.spark, "warehouse"))
+    jobs.load_weather(t.raw_weather, settings)
+    database = f"weather_{uuid.uuid4().hex}"
+    jobs.declare(t.spark, settings, database, ("dim_weather",))
+    return t.spark.newSession().table(f"{database}.stg_weather").drop("ingested_at")
+
+
+def bucketed_enriched(t: Tables) -> DataFrame:
+    """Enriched trips from tables dealt into equal buckets of date and hour: the trips are not shuffled."""
+    database, path = f"buckets_{uuid.uuid4().hex}", scratch_path(t.spark, "buckets")
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    catalog.write_bucketed(t.fact, f"{database}.fact_trips", f"{path}/trips", ["pickup_date", "pickup_hour"], BUCKETS)
+    catalog.write_bucketed(t.weather, f"{database}.dim_weather", f"{path}/weather", ["obs_date", "obs_hour"], BUCKETS)
+    weather = staging.stage_weather(t.spark.table(f"{database}.dim_weather"))
+    return marts.enrich_trips(t.spark.table(f"{database}.fact_trips"), weather, SETTINGS)
+
+
+def sketch_distinct(t: Tables) -> DataFrame:
+    """Distinct totals per hour of the day from summaries per hour and zone, held against the exact number."""
+    summaries = sketches.summarize(t.fact, "total_amount", "trip_duration_minutes")
+    stored = written(summaries, "summaries")
+    exact = t.fact.groupBy("pickup_hour").agg(F.count_distinct("total_amount").alias("exact"))
+    both = sketches.merged(stored, ["pickup_hour"]).join(exact, "pickup_hour")
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(
+        F.col("exact") * sketches.DISTINCT_ERROR, F.lit(1.0))
+    return both.select("pickup_hour", "rows", "exact", near.alias("within_error"))
+
+
+def sketch_median(t: Tables) -> DataFrame:
+    """Median durations per zone from summaries per hour and zone: whether the ranks are within the stated error."""
+    stored = written(sketches.summarize(t.fact, "total_amount", "trip_duration_minutes"), "summaries")
+    medians = sketches.merged(stored, ["pickup_location_id"]).select(
+        "pickup_location_id", "rows", F.col("quantile").alias("median"))
+    below = F.count_if(F.col("trip_duration_minutes") < F.col("median")) / F.count(F.lit(1))
+    up_to = F.count_if(F.col("trip_duration_minutes") <= F.col("median")) / F.count(F.lit(1))
+    ranked = t.fact.select("pickup_location_id", "trip_duration_minutes").join(medians, "pickup_location_id")
+    # A sketch of few values gives the middle one itself.
+    within = (below <= 0.5 + sketches.RANK_ERROR) & (up_to >= 0.5 - sketches.RANK_ERROR)
+    return ranked.groupBy("pickup_location_id", "rows").agg(within.alias("within_error"))
+
+
 def placed(df: DataFrame) -> DataFrame:
     """The place of each row as the result's own order gives it; few rows."""
     return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
@@ -566,11 +613,16 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "high_value_zones": lambda t: placed(t.zones),
     "table_counts": lambda t: marts.table_counts(t.curated),
     "sql_over_views": sql_over_views,
+    "catalog_views": catalog_views,
+    "bucketed_enriched": bucketed_enriched,
+    "sketch_distinct": sketch_distinct,
+    "sketch_median": sketch_median,
     # questions
     "q1_stats": lambda t: questions.duration_stats(t.fact),
     "q1_histogram": lambda t: questions.duration_histogram(t.fact),
     "q1_buckets": lambda t: questions.bucket_counts(t.fact),
     "q1_sample": lambda t: questions.duration_sample(t.fact),
+    "q1_sample_rows": lambda t: questions.duration_sample_of(t.fact, PLOT_ROWS),
     "q2_tips_by_bucket": lambda t: questions.tips_by_bucket(t.fact),
     "q2_tip_by_mile": lambda t: questions.tip_by_mile(t.fact),
     "q2_corr": lambda t: questions.tip_correlation(t.fact),

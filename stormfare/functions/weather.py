@@ -21,5 +21,9 @@ def category(given: Column, condition: Column) -> Column:
     return F.coalesce(given, derived)
 
 
+#: :func:`kmh` of ``wind_speed_ms`` as SQL text, for views.
+KMH_SQL = f"round(CAST(rint(wind_speed_ms * {fv.KMH_PER_MS}D * 1e6D) AS BIGINT), -5) / 1e6D"
+
+
 def kmh(metres_per_second: str) -> Column:
     return half_up(F.col(metres_per_second) * fv.KMH_PER_MS, 1)

@@ -13,7 +13,7 @@ from ..operators import quality, trips as trip_ops, weather as weather_ops
 from ..schemas import DIM_WEATHER, FACT_TRIPS, HIGH_VALUE_ZONES, TRIP_ENRICHED, TRIP_SUMMARY
 from ..session import delete
 from ..sinks.tables import WriteReport, write_table
-from ..sources import manifest
+from ..sources import catalog, manifest
 from ..sources.files import listing
 from . import marts, staging
 
@@ -134,6 +134,24 @@ def build_marts(spark: SparkSession, settings: Settings) -> dict[str, WriteRepor
     return reports
 
 
+#: Columns that name a table's folders; those a contract lacks come with their type.
+FOLDERS = {
+    "fact_trips": {"pickup_year": "int", "pickup_month": "int"},
+    "dim_weather": {"obs_year": "int", "obs_month": "int"},
+    "trip_enriched": {"pickup_date": "date"},
+}
+
+
+def declare(spark: SparkSession, settings: Settings, database: str, names: tuple[str, ...] = TABLES) -> None:
+    """Declare stored tables in a database of the catalog, and the staged weather as a view over it."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{settings.warehouse.rstrip('/')}/{database}'")
+    for name in names:
+        catalog.create_table(
+            spark, f"{database}.{name}", CONTRACTS[name], table_path(settings, name), FOLDERS.get(name))
+    if "dim_weather" in names:
+        catalog.create_view(spark, f"{database}.stg_weather", staging.stg_weather_sql(f"{database}.dim_weather"))
+
+
 def floors_gate(spark: SparkSession, settings: Settings) -> DataFrame:
     floors = {"fact_trips": settings.min_fact_rows, "dim_weather": settings.min_weather_rows}
     return quality.row_count_gate({name: stored(spark, settings, name) for name in floors}, floors)

@@ -97,6 +97,18 @@ def duration_sample(fact: DataFrame, one_in: int = fv.SAMPLE_ONE_IN) -> DataFram
     return _short(fact).filter(digest % one_in == 0).select("trip_duration_minutes")
 
 
+def duration_sample_of(fact: DataFrame, rows: int = fv.SAMPLE_ROWS) -> DataFrame:
+    """Just so many durations for a plot, or all if there are fewer: those of the lowest hash, the same in every run.
+
+    Each task keeps its lowest rows; no more than these reach the last one.
+    """
+    written = [F.date_format(c, "yyyyMMddHHmmss") for c in ("pickup_datetime", "dropoff_datetime")]
+    zones = [F.col(c).cast("string") for c in ("pickup_location_id", "dropoff_location_id")]
+    lot = F.md5(F.concat_ws("|", *written, *zones))
+    short = _short(fact).select("trip_duration_minutes", lot.alias("_lot"))
+    return short.orderBy("_lot", "trip_duration_minutes").limit(rows).select("trip_duration_minutes")
+
+
 # --- Question 2: do longer trips tip more? -------------------------------------
 
 

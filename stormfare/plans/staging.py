@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.weather import kmh
+from ..functions.weather import KMH_SQL, kmh
 from ..operators.numbering import with_row_number
+from ..schemas import DIM_WEATHER
 
 # Pickup time and zone order the trips; the rest only separates equal pairs.
 TRIP_ORDER = [
@@ -52,6 +53,12 @@ def stage_trips(fact: DataFrame) -> DataFrame:
     return numbered.select(*(c for c in STAGED_TRIP_COLUMNS if c in numbered.columns))
 
 
+def stg_weather_sql(table: str) -> str:
+    """:func:`stage_weather` as the text of a view over a catalog table."""
+    columns = ", ".join(c for c in DIM_WEATHER.names if c != "source_file")
+    return f"SELECT {columns}, {KMH_SQL} AS wind_speed_kmh FROM {table} WHERE temp_celsius IS NOT NULL"
+
+
 def stage_weather(weather: DataFrame) -> DataFrame:
     """The weather dimension with wind in km/h, without its source file."""
     known = weather.filter(F.col("temp_celsius").isNotNull())

@@ -89,6 +89,24 @@ def test_row_number_cuts_up_hot_cells(spark, monkeypatch, limit):
     assert order.groupBy("k").agg((F.min("n") == F.min("r")).alias("ok")).filter("NOT ok").count() == 0
 
 
+def test_a_hot_minute_fills_many_ranges(spark, monkeypatch):
+    """A minute, and one second of it, hold a third of the rows; some times are missing."""
+    monkeypatch.setattr(numbering, "SAMPLE_ROWS", 2_000)
+    hot = F.col("id") % 3 == 0
+    second = F.when(hot, F.when(F.col("id") % 2 == 0, 30).otherwise(F.col("id") % 60)).otherwise(F.col("id") * 7)
+    rows = spark.range(60_000, numPartitions=5).select(
+        F.when(F.col("id") % 101 != 0, F.timestamp_seconds(second).cast("timestamp_ntz")).alias("ts"),
+        F.when(F.col("id") % 97 != 0, F.col("id") % 263).alias("zone"), "id")
+    order = ["ts", "zone", "id"]
+    bounds = numbering._sampled_bounds(rows.select(*order))
+    placed = rows.select(numbering._range_of([F.col(c) for c in order], bounds).alias("r"))
+    sizes = [r["count"] for r in placed.groupBy("r").count().collect()]
+    assert len(sizes) == len(bounds) + 1 and max(sizes) < 60_000 / 10
+    numbered = with_row_number(rows, order, "n")
+    expected = numbered.withColumn("m", F.row_number().over(Window.orderBy(*(F.asc_nulls_last(c) for c in order))))
+    assert expected.filter("n <> m").count() == 0
+
+
 def test_numbering_writes_nothing(spark, tables, tmp_path, monkeypatch):
     before = set(os.listdir(shared_dir(spark)))
     assert staging.stage_trips(tables.fact).count() == tables.fact.count()
