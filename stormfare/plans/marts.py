@@ -18,6 +18,7 @@ from ..functions.exact import (
 )
 from ..operators.joins import join_hourly
 from ..schemas import HIGH_VALUE_ZONES, TRIP_ENRICHED, TRIP_SUMMARY
+from ..session import written
 
 
 def enrich_trips(trips: DataFrame, weather: DataFrame, settings: Settings) -> DataFrame:
@@ -76,11 +77,10 @@ def high_value_zones(enriched: DataFrame) -> DataFrame:
     """
     zone = "pickup_location_id"
     carried = ["total_amount", "fare_amount", "tip_percentage", "trip_distance", "trip_duration_minutes"]
-    # Trips are summed per zone, date and category: dates and categories are counted on that.
-    by_day = (
+    # Trips are read once and summed per zone, date and category: dates and categories are counted on that.
+    by_day = written(
         enriched.filter(F.col("payment_type") == fv.CARD_PAYMENT)
-        .groupBy(zone, "pickup_date", "weather_category").agg(weight(), *partial(*carried))
-    )
+        .groupBy(zone, "pickup_date", "weather_category").agg(weight(), *partial(*carried)), "zone-days")
     by_category = by_day.filter(F.col("weather_category").isNotNull()).groupBy(zone, "weather_category").agg(
         merged_count().alias("_seen"))
     dominant = by_category.groupBy(zone).agg(

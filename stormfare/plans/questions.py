@@ -22,6 +22,7 @@ from ..functions.exact import (
 from ..functions.trip import is_peak_hour
 from ..operators.joins import from_zones, join_hourly
 from ..operators.quantiles import group_quantile
+from ..session import written
 from .marts import known_weather
 
 
@@ -113,8 +114,9 @@ def duration_sample_of(fact: DataFrame, rows: int = fv.SAMPLE_ROWS) -> DataFrame
 
 
 def tips_by_bucket(fact: DataFrame) -> DataFrame:
+    """Mean and median card tip per distance bucket; the trips are read once, for the counts of equal tips."""
     tip = "tip_percentage"
-    by_value = _card(fact).groupBy("distance_bucket", tip).agg(weight())
+    by_value = written(_card(fact).groupBy("distance_bucket", tip).agg(weight()), "tips-by-bucket")
     figures = by_value.groupBy("distance_bucket").agg(
         weighted_mean(tip, 2).alias("avg_tip_pct"), merged_count().alias("trips"))
     medians = group_quantile(by_value, ["distance_bucket"], tip, 0.5, 2, "median_tip_pct")
@@ -277,8 +279,10 @@ def premium_top_hours(enriched: DataFrame, zones: DataFrame, k: int = 5) -> Data
 
 
 def tips_by_weather(enriched: DataFrame) -> DataFrame:
+    """Card tips per weather category; trips are read and joined once, for the counts of equal tips."""
     tip = "tip_percentage"
-    by_value = known_weather(_card(enriched)).groupBy("weather_category", tip).agg(weight())
+    by_value = written(
+        known_weather(_card(enriched)).groupBy("weather_category", tip).agg(weight()), "tips-by-weather")
     untipped = F.sum(F.when(F.col(tip) == 0, F.col("_rows")).otherwise(0))
     figures = by_value.groupBy("weather_category").agg(
         weighted_mean(tip, 2).alias("avg_tip"),
