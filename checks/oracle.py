@@ -318,6 +318,9 @@ _RELOADED = """SELECT state, count(*) AS folders FROM (
            ELSE 'same' END AS state
     FROM raw_trips) GROUP BY state"""
 
+_DAY_FOLDER = """'year=' || year(tpep_pickup_datetime) || '/month=' ||
+    month(tpep_pickup_datetime) || '/day=' || day(tpep_pickup_datetime)"""
+
 # The hour that reaches the watermarked queries too late.
 _IN_TIME = "NOT (day(observation_hour) = 3 AND hour(observation_hour) = 5)"
 
@@ -396,6 +399,11 @@ _STEPS: dict[str, str] = {
         FROM fact GROUP BY pickup_hour""",
     "sketch_median": """SELECT pickup_location_id, count(*) AS rows, TRUE AS within_error
         FROM fact GROUP BY pickup_location_id""",
+    "fine_totals": f"""SELECT event_type, total, average, total AS merged_total, average AS merged_average
+        FROM (SELECT event_type, CAST(sum(fine) AS DOUBLE) AS total,
+                     {_round("CAST(sum(fine) AS DOUBLE) / count(fine)", 6)} AS average
+              FROM (SELECT event_type, CAST(round_even(value * 1e8 / 7, 0) / 1e8 AS DECIMAL(18,8)) AS fine FROM events)
+              GROUP BY event_type)""",
     "q1_stats": f"""SELECT {_median("trip_duration_minutes", 1)} AS median_min,
         {_avg("trip_duration_minutes", 1)} AS mean_min,
         {_median("trip_duration_minutes", 1, "0.75")} AS p75_min
@@ -492,6 +500,11 @@ _STEPS: dict[str, str] = {
         count(*) AS rows, TRUE AS digested FROM raw_trips GROUP BY 1""",
     "manifest_comparison": _RELOADED,
     "manifest_comparison_all": _RELOADED,
+    "manifest_refresh": f"""SELECT {_DAY_FOLDER} AS folder, count(*) AS rows
+        FROM raw_trips WHERE day(tpep_pickup_datetime) IN (2, 5, 16) GROUP BY 1""",
+    "manifest_tree": f"""SELECT DISTINCT unnest([0, 1, 2, 3]) AS level, unnest(['', split_part(f, '/', 1),
+          split_part(f, '/', 1) || '/' || split_part(f, '/', 2), f]) AS folder
+        FROM (SELECT {_DAY_FOLDER} AS f FROM raw_trips WHERE day(tpep_pickup_datetime) IN (5, 7, 16))""",
     "feed_fingerprint": f"""SELECT count(*) AS rows, {_digest_half(1)} || '-' || {_digest_half(17)} AS digest
       FROM (SELECT md5({" || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
                                     for c in ("event_id", "event_type", "props", "ts", "user_id", "value"))}) AS d

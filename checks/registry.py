@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stormfare.bindings import event_trips, event_weather, order_line_trips
 from stormfare.config import Settings, settings_for_years
-from stormfare.functions.exact import total
+from stormfare.functions.exact import mean, merged_mean, merged_total, partial, total
 from stormfare.functions.time import iso_weekday
 from stormfare.functions.trip import payment_label
 from stormfare.operators import quality, sketches, trips as trip_ops, weather as weather_ops
@@ -301,6 +301,15 @@ def sketch_median(t: Tables) -> DataFrame:
     return ranked.groupBy("pickup_location_id", "rows").agg(within.alias("within_error"))
 
 
+def fine_totals(t: Tables) -> DataFrame:
+    """Totals and averages of a column with eight decimals, in one step and in two."""
+    events = t.given("events").select("event_type", "user_id", (F.rint(F.col("value") * 1e8 / 7) / 1e8).alias("fine"))
+    whole = events.groupBy("event_type").agg(total("fine", 8, 8).alias("total"), mean("fine", 6, 8).alias("average"))
+    users = events.groupBy("event_type", "user_id").agg(*partial("fine", decimals=8)).groupBy("event_type").agg(
+        merged_total("fine", 8, 8).alias("merged_total"), merged_mean("fine", 6, 8).alias("merged_average"))
+    return whole.join(users, "event_type")
+
+
 def placed(df: DataFrame) -> DataFrame:
     """The place of each row as the result's own order gives it; few rows."""
     return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
@@ -417,8 +426,8 @@ def file_manifest(t: Tables) -> DataFrame:
     return folders.select("file", "rows", F.col("digest").isNotNull().alias("digested"))
 
 
-def manifest_comparison(t: Tables) -> DataFrame:
-    """Folders by state after reloads of a table of all days but one: one as it was, one changed, one added, one taken away."""
+def _reloaded(t: Tables) -> tuple[str, DataFrame]:
+    """A table of all days but one after reloads, and its manifest before: a day as it was, one changed, one added, one taken away."""
     path = scratch_path(t.spark, "trips-reloaded")
     day = F.dayofmonth("tpep_pickup_datetime")
 
@@ -428,17 +437,37 @@ def manifest_comparison(t: Tables) -> DataFrame:
          .partitionBy("year", "month", "day").parquet(path))
 
     load(t.raw_trips.filter(day != 16))
-    before = written(manifest.folder_manifest(manifest.file_manifest(t.spark, path)), "manifest-before")
+    before = written(manifest.update_manifest(t.spark, path).drop("fresh"), "manifest-before")
     load(t.raw_trips.filter(day == 2))
     load(t.raw_trips.filter(day == 5).withColumn("fare_amount", F.col("fare_amount") + 1))
     load(t.raw_trips.filter(day == 16))
     for month in SETTINGS.months:
         delete(t.spark, f"{path}/year={SETTINGS.year}/month={month}/day=7")
-    after = manifest.folder_manifest(manifest.file_manifest(t.spark, path))
-    states = manifest.compare_manifests(before, after)
+    return path, before
+
+
+def manifest_comparison(t: Tables) -> DataFrame:
+    """Folders by state after the reloads."""
+    path, before = _reloaded(t)
+    after = manifest.folder_manifest(manifest.update_manifest(t.spark, path, before))
+    states = manifest.compare_manifests(manifest.folder_manifest(before), after)
     return states.groupBy("state").agg(F.count(F.lit(1)).alias("folders"))
 
 
+def manifest_refresh(t: Tables) -> DataFrame:
+    """Folders whose files the new manifest had to open, with their rows."""
+    path, before = _reloaded(t)
+    fresh = manifest.update_manifest(t.spark, path, before).filter("fresh")
+    return manifest.folder_manifest(fresh).select(F.col("file").alias("folder"), "rows")
+
+
+def manifest_tree(t: Tables) -> DataFrame:
+    """Folders of the differing branches, from the whole table down to days."""
+    path, before = _reloaded(t)
+    after = manifest.update_manifest(t.spark, path, before)
+    return manifest.differing_folders(manifest.digest_tree(before), manifest.digest_tree(after), 3)
+
+
 def feed_fingerprint(t: Tables) -> DataFrame:
     """One digest of the whole feed; times and amounts as whole numbers, which every engine writes alike."""
     events = t.given("events")
@@ -618,6 +647,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sketch_distinct": sketch_distinct,
     "sketch_median": sketch_median,
     # questions
+    "fine_totals": fine_totals,
     "q1_stats": lambda t: questions.duration_stats(t.fact),
     "q1_histogram": lambda t: questions.duration_histogram(t.fact),
     "q1_buckets": lambda t: questions.bucket_counts(t.fact),
@@ -655,6 +685,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "file_manifest": file_manifest,
     "manifest_comparison": manifest_comparison,
     "manifest_comparison_all": manifest_comparison,
+    "manifest_refresh": manifest_refresh,
+    "manifest_tree": manifest_tree,
     "feed_fingerprint": feed_fingerprint,
     # sinks
     "write_report": write_report,

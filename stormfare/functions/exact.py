@@ -4,7 +4,8 @@ Adding doubles gives slightly different totals for every partitioning, so a
 retried task could change a published figure. Values are therefore added as
 whole numbers of ten-thousandths. Stored amounts have at most four decimals, so
 nothing is lost; the load counts the rows for which that is not so (``finer``).
-A 64-bit total holds 9e14 before it fails with an error.
+A column with finer values is added with as many ``decimals`` as it has. A 64-bit
+total holds 9e14 at four decimals, 9e10 at eight, before it fails with an error.
 Decimals would do the same about ten times slower.
 
 Rounding is half-up, as a warehouse's ``numeric`` rounds: first to millionths,
@@ -24,14 +25,14 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def units(value: Column | str) -> Column:
-    """The value as a whole number of ten-thousandths."""
-    return F.rint(_col(value) * float(UNIT)).cast("long")
+def units(value: Column | str, decimals: int = UNIT_DECIMALS) -> Column:
+    """The value as a whole number of its last decimal's unit, ten-thousandths if nothing else is said."""
+    return F.rint(_col(value) * float(10**decimals)).cast("long")
 
 
-def finer(value: Column | str) -> Column:
+def finer(value: Column | str, decimals: int = UNIT_DECIMALS) -> Column:
     """Whether a value has digits past the last that totals keep."""
-    scaled = _col(value) * float(UNIT)
+    scaled = _col(value) * float(10**decimals)
     # A double that stands for four decimals is off by some billionths at most.
     return F.abs(scaled - F.rint(scaled)) > F.lit(1e-6) * F.greatest(F.abs(scaled) * 1e-6, F.lit(1.0))
 
@@ -42,26 +43,26 @@ def half_up(value: Column | str, places: int) -> Column:
     return F.round(millionths, places - _FINEST) / float(10**_FINEST)
 
 
-def unit_sum(value: Column | str) -> Column:
-    """Exact total in ten-thousandths, for comparisons with thresholds."""
-    return F.sum(units(value))
+def unit_sum(value: Column | str, decimals: int = UNIT_DECIMALS) -> Column:
+    """Exact total in units of the last decimal, for comparisons with thresholds."""
+    return F.sum(units(value, decimals))
 
 
-def _total(unit_total: Column, places: int) -> Column:
-    return F.round(unit_total, places - UNIT_DECIMALS) / float(UNIT)
+def _total(unit_total: Column, places: int, decimals: int = UNIT_DECIMALS) -> Column:
+    return F.round(unit_total, min(places - decimals, 0)) / float(10**decimals)
 
 
-def _mean(unit_total: Column, count: Column, places: int) -> Column:
-    return half_up(F.try_divide(unit_total.cast("double"), count * float(UNIT)), places)
+def _mean(unit_total: Column, count: Column, places: int, decimals: int = UNIT_DECIMALS) -> Column:
+    return half_up(F.try_divide(unit_total.cast("double"), count * float(10**decimals)), places)
 
 
-def total(value: Column | str, places: int) -> Column:
-    return _total(unit_sum(value), places)
+def total(value: Column | str, places: int, decimals: int = UNIT_DECIMALS) -> Column:
+    return _total(unit_sum(value, decimals), places, decimals)
 
 
-def mean(value: Column | str, places: int) -> Column:
+def mean(value: Column | str, places: int, decimals: int = UNIT_DECIMALS) -> Column:
     """Average of the non-null values, rounded half-up."""
-    return _mean(unit_sum(value), F.count(_col(value)), places)
+    return _mean(unit_sum(value, decimals), F.count(_col(value)), places, decimals)
 
 
 def percent(part: Column, whole: Column, places: int) -> Column:
@@ -83,12 +84,12 @@ def weight() -> Column:
     return F.count(F.lit(1)).alias(WEIGHT)
 
 
-def partial(*names: str) -> list[Column]:
+def partial(*names: str, decimals: int = UNIT_DECIMALS) -> list[Column]:
     """First step: exact total and non-null count of each column."""
     return [
         agg
         for name in names
-        for agg in (unit_sum(name).alias(f"_sum_{name}"), F.count(name).alias(f"_n_{name}"))
+        for agg in (unit_sum(name, decimals).alias(f"_sum_{name}"), F.count(name).alias(f"_n_{name}"))
     ]
 
 
@@ -96,13 +97,13 @@ def merged_count() -> Column:
     return F.sum(WEIGHT)
 
 
-def merged_mean(name: str, places: int) -> Column:
-    """Second step: average of a column carried by :func:`partial`."""
-    return _mean(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}"), places)
+def merged_mean(name: str, places: int, decimals: int = UNIT_DECIMALS) -> Column:
+    """Second step: average of a column carried by :func:`partial` with as many decimals."""
+    return _mean(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}"), places, decimals)
 
 
-def merged_total(name: str, places: int) -> Column:
-    return _total(F.sum(f"_sum_{name}"), places)
+def merged_total(name: str, places: int, decimals: int = UNIT_DECIMALS) -> Column:
+    return _total(F.sum(f"_sum_{name}"), places, decimals)
 
 
 def _weighted_count(name: str) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Footers read at a time. Each is a small task of its own.
 FOOTERS_AT_ONCE = 16
@@ -39,7 +39,7 @@ def _schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def listing(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """Path and length of every file; no file is opened."""
+    """Path, length and time of the last change of every file; no file is opened."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -47,12 +47,17 @@ def listing(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFr
         .load(folder)
     )
     path = files.metadataColumn("_metadata").getField("file_path")
-    return files.select(path.alias("path"), "length")
+    return files.select(path.alias("path"), "length", F.col("modificationTime").alias("modified"))
 
 
 def list_parquet(spark: SparkSession, folder: str) -> list[ParquetFile]:
     """Every file with its own schema; an absent folder is an ``AnalysisException``."""
-    rows = listing(spark, folder).collect()  # one row per file, as any reader's driver holds
+    return with_schemas(spark, listing(spark, folder))
+
+
+def with_schemas(spark: SparkSession, files: DataFrame) -> list[ParquetFile]:
+    """Listed files with their own schemas."""
+    rows = files.select("path", "length").collect()  # one row per file, as any reader's driver holds
     with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
         schemas = list(pool.map(lambda r: _schema(spark, r.path), rows))
     return [ParquetFile(r.path, r.length, s) for r, s in zip(rows, schemas)]

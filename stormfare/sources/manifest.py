@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .files import by_schema, list_parquet, parquet_reader
+from .files import by_schema, listing, parquet_reader, with_schemas
 
 
 def row_fingerprint(*columns: str) -> list[Column]:
@@ -27,16 +27,34 @@ def row_fingerprint(*columns: str) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.concat_ws("-", *added).alias("digest")]
 
 
+STAMP = ["file", "length", "modified"]
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Name below ``path``, size, rows and digest of all columns of every file, whatever its size.
 
     A file that cannot be read has no digest.
     """
+    return update_manifest(spark, path).drop("modified", "fresh")
+
+
+def update_manifest(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
+    """The manifest with the time each file was changed, from ``known`` where a file is as it was.
+
+    Only files that the former manifest lacks, or has with another size or time,
+    are opened; these are ``fresh``. Data files are written once under a name of
+    their own, so a reload is seen; a file overwritten in place within the same
+    millisecond to the same size is not.
+    """
     root = path.rstrip("/")
-    files = list_parquet(spark, root)
     name = F.substring_index("path", root.split(":")[-1].lstrip("/") + "/", -1)
-    listed = spark.createDataFrame(
-        [(f.path, f.length, f.schema is not None) for f in files], "path string, length long, readable boolean")
+    now = listing(spark, root).select(name.alias("file"), "path", "length", "modified")
+    kept = None
+    if known is not None:
+        kept = known.select(*STAMP, "rows", "digest").join(now.select(*STAMP), STAMP, "left_semi")
+        now = now.join(known.select(*STAMP), STAMP, "left_anti")
+    files = with_schemas(spark, now)
+    readable = spark.createDataFrame([(f.path, f.schema is not None) for f in files], "path string, readable boolean")
     digests = [spark.createDataFrame([], "path string, rows long, digest string")]
     for paths in by_schema(files).values():
         read = parquet_reader(spark).parquet(*paths)
@@ -44,23 +62,48 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
         # Columns in order of name: the order within a file does not matter.
         digests.append(read.withColumn("_path", at).groupBy(F.col("_path").alias("path")).agg(
             *row_fingerprint(*sorted(read.columns))))
-    found = listed.join(reduce(DataFrame.unionByName, digests), "path", "left")
-    return found.select(
-        name.alias("file"), "length",
-        F.when(F.col("readable"), F.coalesce("rows", F.lit(0))).alias("rows"),
-        F.when(F.col("readable"), F.coalesce("digest", F.lit("0-0"))).alias("digest"),
-    )
+    found = now.join(readable, "path").join(reduce(DataFrame.unionByName, digests), "path", "left")
+    fresh = found.select(
+        *STAMP, F.when(F.col("readable"), F.coalesce("rows", F.lit(0))).alias("rows"),
+        F.when(F.col("readable"), F.coalesce("digest", F.lit("0-0"))).alias("digest"), F.lit(True).alias("fresh"))
+    return fresh if kept is None else fresh.unionByName(kept.withColumn("fresh", F.lit(False)))
+
+
+def _added_digests() -> Column:
+    half = [F.sum(F.split_part("digest", F.lit("-"), F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
+    return F.when(F.count_if(F.col("digest").isNull()) == 0, F.concat_ws("-", *[h.cast("string") for h in half]))
+
+
+def digest_tree(manifest: DataFrame) -> DataFrame:
+    """Size, rows and digest of every folder at every level, the whole table (an empty name, level 0) included."""
+    parts = F.split("file", "/")
+    levels = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.struct(
+        n.alias("level"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("folder")))
+    return manifest.select("length", "rows", "digest", F.explode(levels).alias("at")).groupBy(
+        "at.level", "at.folder").agg(
+        F.sum("length").alias("length"), F.sum("rows").alias("rows"), _added_digests().alias("digest"))
+
+
+def differing_folders(before: DataFrame, after: DataFrame, levels: int) -> DataFrame:
+    """Folders of two trees whose contents differ, level by level below folders that differ; equal ones are not entered."""
+    tree = before.select("level", "folder", F.struct("rows", "digest").alias("old")).join(
+        after.select("level", "folder", F.struct("rows", "digest").alias("new")), ["level", "folder"], "full_outer")
+    unlike = tree.filter(~F.col("old").eqNullSafe(F.col("new")) | F.col("old.digest").isNull())
+    found = unlike.filter("level = 0")
+    open_ = found
+    for level in range(1, levels + 1):
+        below = unlike.filter(F.col("level") == level).withColumn(
+            "_in", F.regexp_replace("folder", "/?[^/]*$", ""))
+        open_ = below.join(open_.select(F.col("folder").alias("_in")), "_in", "left_semi").drop("_in")
+        found = found.unionByName(open_)
+    return found.select("level", "folder")
 
 
 def folder_manifest(manifest: DataFrame) -> DataFrame:
     """The manifest by folder: digests add up, so a reload into other files compares as equal."""
     folder = F.regexp_replace("file", "/?[^/]*$", "")
-    half = [F.sum(F.split_part("digest", F.lit("-"), F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
-    unread = F.count_if(F.col("digest").isNull())
     return manifest.groupBy(folder.alias("file")).agg(
-        F.sum("length").alias("length"), F.sum("rows").alias("rows"),
-        F.when(unread == 0, F.concat_ws("-", *[h.cast("string") for h in half])).alias("digest"),
-    )
+        F.sum("length").alias("length"), F.sum("rows").alias("rows"), _added_digests().alias("digest"))
 
 
 def compare_manifests(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import shutil
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -11,6 +12,7 @@ from stormfare.operators import trips as trip_ops
 from stormfare.schemas import FACT_TRIPS, Contract
 from stormfare.sinks.jdbc import JdbcTarget, write_jdbc
 from stormfare.sinks.tables import write_table
+from stormfare.session import written
 from stormfare.sources import catalog, layout, manifest
 from stormfare.sources.files import listing
 from stormfare.sources.trips import file_row_counts, missing_columns, read_trips, validate_months
@@ -259,3 +261,42 @@ def test_views_and_sql(spark):
     assert catalog.query(spark, "SELECT sum(id) AS s FROM numbers").first().s == 10
     other = spark.range(3)
     assert catalog.query(spark, "SELECT count(*) AS n FROM {other}", other=other).first().n == 3
+
+
+def test_a_new_manifest_opens_only_files_that_changed(spark, folder, monkeypatch):
+    """Folders by day in two months; a day is reloaded, one changed, one added, one taken away."""
+    looked_at, plain = [], manifest.with_schemas
+
+    def opened_files(spark, files):
+        found = plain(spark, files)
+        looked_at.append([f.path for f in found])
+        return found
+
+    monkeypatch.setattr(manifest, "with_schemas", opened_files)
+    rows = spark.range(600).select(
+        "id", (F.col("id") % 2 + 1).alias("month"), (F.col("id") % 6 + 1).alias("day"), F.lit("é").alias("text"))
+
+    def load(df):
+        (df.repartition("month", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("month", "day").parquet(folder + "/t"))
+
+    load(rows)
+    before = written(manifest.update_manifest(spark, folder + "/t").drop("fresh"), "before")
+    again = manifest.update_manifest(spark, folder + "/t", before)
+    assert again.filter("fresh").count() == 0 and looked_at[-1] == []
+    load(rows.filter("day = 1"))
+    load(rows.filter("day = 2").withColumn("id", F.col("id") + 1))
+    load(rows.filter("day = 3").withColumn("day", F.lit(9)))
+    shutil.rmtree(folder + "/t/month=2/day=4")
+    after = written(manifest.update_manifest(spark, folder + "/t", before), "after")
+    opened = {r.file.rsplit("/", 1)[0] for r in after.filter("fresh").collect()}
+    assert opened == {"month=1/day=1", "month=2/day=2", "month=1/day=9"} and len(looked_at[-1]) == 3
+    whole = manifest.file_manifest(spark, folder + "/t")
+    assert sorted(map(tuple, whole.collect())) == sorted(
+        map(tuple, after.select("file", "length", "rows", "digest").collect()))
+    trees = [manifest.digest_tree(m) for m in (before, after)]
+    changed = {(r.level, r.folder) for r in manifest.differing_folders(*trees, 2).collect()}
+    assert changed == {(0, ""), (1, "month=1"), (1, "month=2"), (2, "month=1/day=9"), (2, "month=2/day=2"), (2, "month=2/day=4")}
+    root = trees[0].filter("level = 0").first()
+    assert root.rows == 600 and root.digest is not None
+    assert manifest.differing_folders(trees[0], trees[0], 2).count() == 0
