@@ -461,6 +461,7 @@ _STEPS: dict[str, str] = {
         FROM enriched WHERE weather_category <> 'Inconnu' AND payment_type = 1
         GROUP BY weather_category""",
     "quality_suite": _suite(),
+    "quality_of_writes": _suite(),
     "relationship_check": """SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status
         FROM (SELECT 'fact_trips' AS table_name, 'pickup_date' AS column_name,
                      'relationships' AS test, count(*) AS failures FROM fact

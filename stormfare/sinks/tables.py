@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -20,6 +21,8 @@ class WriteReport:
     rows: int
     seconds: float
     broken: dict[str, int]
+    #: Failures of the single-row data tests that the write carried, zeros included.
+    tested: dict[str, int] = field(default_factory=dict)
     #: Folders that got rows, where the write replaces only these.
     partitions: frozenset[str] = field(default=frozenset())
 
@@ -39,6 +42,7 @@ def write_table(
     strict: bool = False,
     derived: dict[str, Column] | None = None,
     counted: tuple[Column, ...] = (),
+    tested: Mapping[str, Column] | None = None,
 ) -> WriteReport:
     """Overwrite a table, so that running again gives the same table.
 
@@ -51,6 +55,8 @@ def write_table(
 
     ``derived`` columns, which the contract does not know, name folders.
     ``counted`` aggregates are reported with the broken promises where they are not 0.
+    ``tested`` conditions of failing rows are counted by the write as well, so that
+    data tests need not read the table again.
 
     ``gather`` shuffles the rows of each partition folder together, which is
     needed when every task has rows of many folders and would leave a small file
@@ -64,6 +70,8 @@ def write_table(
     if derived:
         table = table.withColumns(derived)
     checks = [*(contract.violations() if contract else []), *counted]
+    tests = {f"_test_{i}": name for i, name in enumerate(tested or {})}
+    checks += [F.count_if(tested[name]).alias(alias) for alias, name in tests.items()]
     if only_these_partitions:
         folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by))
         checks.append(F.collect_set(folder).alias("_folders"))  # as many as the write has folders
@@ -91,4 +99,5 @@ def write_table(
     seconds = time.monotonic() - started
     found = dict(metrics.get)
     rows, folders = found.pop("rows"), frozenset(found.pop("_folders", ()))
-    return WriteReport(path, rows, seconds, {k: v for k, v in found.items() if v}, folders)
+    failures = {name: found.pop(alias) for alias, name in tests.items()}
+    return WriteReport(path, rows, seconds, {k: v for k, v in found.items() if v}, failures, folders)

@@ -127,6 +127,18 @@ def test_suite_reads_each_table_once(spark, capsys):
     assert plan(QUERIES["quality_suite"](spark, SMALL), capsys).count("FileScan") == 5
 
 
+def test_tests_carried_by_the_writes_leave_three_scans(spark, capsys):
+    assert plan(QUERIES["quality_of_writes"](spark, SMALL), capsys).count("FileScan") == 3
+
+
+@pytest.mark.parametrize("name", ["high_value_zones", "q2_tips_by_bucket", "q9_weather_tips"])
+def test_trips_are_read_once_for_counts_that_all_figures_share(spark, capsys, name):
+    """What is planned reads the written counts; the events were read to write them."""
+    text = plan(QUERIES[name](spark, SMALL), capsys)
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert scans and all("event_type" not in line for line in scans)
+
+
 def test_premium_trips_are_summed_before_the_join(spark, capsys):
     t = Tables(spark, SMALL)
     text = plan(questions.premium_by_hour(t.enriched, marts.high_value_zones(t.enriched)), capsys)

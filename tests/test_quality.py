@@ -59,3 +59,21 @@ def test_weather_gate(spark):
     assert q.weather_gate(weather.limit(0)).first().status == "FAIL"
     assert q.weather_gate(weather.filter("weather_category <> 'Orageux'"), 10).first().status == "FAIL"
     assert SETTINGS.min_weather_rows == 100
+
+
+def test_tests_counted_by_a_write_equal_those_of_the_table(spark, folder):
+    from stormfare.sinks.tables import write_table
+
+    rows = [(1, "a"), (1, "b"), (2, None), (None, "z"), (None, "a")]
+    checks = [
+        q.Check("t", "id", q.UNIQUE), q.Check("t", "id", q.NOT_NULL),
+        q.Check("t", "label", q.NOT_NULL), q.Check("t", "label", q.ACCEPTED, ("a", "b")),
+    ]
+    table = spark.createDataFrame(rows, "id int, label string")
+    report = write_table(table, f"{folder}/t", tested=q.row_tests("t", checks))
+    stored = {"t": spark.read.parquet(f"{folder}/t")}
+    assert report.tested == {"id not_null": 2, "label not_null": 1, "label accepted_values": 1}
+    found = q.suite_of_writes(spark, stored, checks, {"t": report.tested})
+    assert sorted(found.collect()) == sorted(q.run_suite(stored, checks).collect())
+    assert sorted(q.suite_of_writes(spark, stored, checks, {}).collect()) == sorted(found.collect())
+    assert q.suite_of_writes(spark, stored, checks[1:], {"t": report.tested}).count() == 3
