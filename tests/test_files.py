@@ -300,3 +300,35 @@ def test_a_new_manifest_opens_only_files_that_changed(spark, folder, monkeypatch
     root = trees[0].filter("level = 0").first()
     assert root.rows == 600 and root.digest is not None
     assert manifest.differing_folders(trees[0], trees[0], 2).count() == 0
+
+
+def test_footers_of_small_files_tell_the_schemas_that_the_reader_finds(spark, folder, monkeypatch):
+    """Spark's files and others, many columns and kinds, an unreadable one: no job for each, the same schemas."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from stormfare.sources import files
+
+    made = spark.range(40).select(
+        "id", F.col("id").cast("int").alias("i"), F.col("id").cast("smallint").alias("s"), F.lit("a").alias("t"),
+        F.lit(1.5).alias("d"), F.lit(1.5).cast("float").alias("f"), F.lit(True).alias("b"),
+        F.current_date().alias("day"), F.current_timestamp().alias("ts"),
+        F.current_timestamp().cast("timestamp_ntz").alias("ntz"), F.array(F.lit(1)).alias("many"),
+        F.lit(1).cast("decimal(9,2)").alias("dec"))
+    made.repartition(20).write.parquet(f"{folder}/own")
+    moment = datetime(2024, 1, 7, 14)
+    plain = {"a": [1, 2], "x": ["u", None], "d": [1.5, 2.0], "flag": [True, None], "day": [moment.date()] * 2}
+    pq.write_table(pa.table({**plain, "ts": pa.array([moment] * 2, pa.timestamp("us")),
+                             "utc": pa.array([moment] * 2, pa.timestamp("ms", "UTC"))}), f"{folder}/foreign.parquet")
+    pq.write_table(pa.table({"nested": [{"k": 1}], "n": pa.array([1], pa.uint16())}), f"{folder}/nested.parquet")
+    with open(f"{folder}/broken.parquet", "wb") as file:
+        file.write(b"PAR1 no footer")
+    asked, plainly = [], files._schema
+    monkeypatch.setattr(files, "_schema", lambda spark, path: asked.append(path) or plainly(spark, path))
+    found = {f.path: f.schema for f in files.list_parquet(spark, folder)}
+    assert sorted(p.rsplit("/", 1)[1] for p in asked) == ["broken.parquet", "nested.parquet"]
+    assert len(found) > 12
+    for path, schema in found.items():
+        assert schema == plainly(spark, path)
+    monkeypatch.setattr(files, "SMALL_BYTES", -1)
+    assert {f.path: f.schema for f in files.list_parquet(spark, folder)} == found
