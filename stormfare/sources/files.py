@@ -122,7 +122,7 @@ def _told_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructTy
 
 def _as_read(schema: T.StructType) -> T.StructType:
     """Columns without the notes and duties of the table they were written from."""
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.toNullable().fields])
 
 
 def with_schemas(spark: SparkSession, files: DataFrame) -> list[ParquetFile]:
