@@ -247,11 +247,11 @@ def premium_by_hour(enriched: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips, tip and amount per hour of day, from high-value zones.
 
     Trips are summed per zone and hour before zones are selected, so the join
-    sees a few rows per zone and no zone can be too large for it.
+    sees a few rows per zone and no zone can be too large for it. The sums are
+    written: else the selection of few zones would be moved below them, to every trip.
     """
-    per_zone = enriched.groupBy("pickup_location_id", "pickup_hour").agg(
-        weight(), *partial("tip_percentage", "total_amount")
-    )
+    per_zone = written(enriched.groupBy("pickup_location_id", "pickup_hour").agg(
+        weight(), *partial("tip_percentage", "total_amount")), "zone-hours")
     return (
         from_zones(per_zone, zones)
         .groupBy("pickup_hour")
