@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from stormfare.llm import mixing, ngram, quality, secrets
 from test_ngram import brute as groups_of
-from test_quality import prose
+from test_quality_rules import prose
 
 tiktoken = pytest.importorskip("tiktoken")
 VOCABULARY = pytest.importorskip("public_tokenizers")
