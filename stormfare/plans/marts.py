@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import fixed_values as fv
 from ..config import Settings
 from ..functions.exact import (
     UNIT,
+    WEIGHT,
     merged_count,
     merged_mean,
     merged_total,
@@ -18,7 +19,6 @@ from ..functions.exact import (
 )
 from ..operators.joins import join_hourly
 from ..schemas import HIGH_VALUE_ZONES, TRIP_ENRICHED, TRIP_SUMMARY
-from ..session import written
 
 
 def enrich_trips(trips: DataFrame, weather: DataFrame, settings: Settings) -> DataFrame:
@@ -77,32 +77,36 @@ def high_value_zones(enriched: DataFrame) -> DataFrame:
     """
     zone = "pickup_location_id"
     carried = ["total_amount", "fare_amount", "tip_percentage", "trip_distance", "trip_duration_minutes"]
-    # Trips are read once and summed per zone, date and category: dates and categories are counted on that.
-    by_day = written(
+    # Trips are read once and summed per zone, date and category, then per zone and category, then per zone.
+    by_day = (
         enriched.filter(F.col("payment_type") == fv.CARD_PAYMENT)
-        .groupBy(zone, "pickup_date", "weather_category").agg(weight(), *partial(*carried)), "zone-days")
-    by_category = by_day.filter(F.col("weather_category").isNotNull()).groupBy(zone, "weather_category").agg(
-        merged_count().alias("_seen"))
-    dominant = by_category.groupBy(zone).agg(
-        # Of equally frequent categories the first by name.
-        F.min(F.struct(-F.col("_seen"), F.col("weather_category").alias("label"))).alias("_most"))
-    figures = by_day.groupBy(zone).agg(
+        .groupBy(zone, "pickup_date", "weather_category").agg(weight(), *partial(*carried))
+    )
+    # A date counts with the first of its categories.
+    place = F.row_number().over(Window.partitionBy(zone, "pickup_date").orderBy("weather_category"))
+    dated = by_day.withColumn("_days", ((place == 1) & F.col("pickup_date").isNotNull()).cast("long"))
+    sums = [c for c in dated.columns if c.startswith("_")]
+    by_category = dated.groupBy(zone, "weather_category").agg(*(F.sum(c).alias(c) for c in sums))
+    seen = F.when(F.col("weather_category").isNotNull(), F.struct(
+        -F.col(WEIGHT), F.col("weather_category").alias("label")))
+    figures = by_category.groupBy(zone).agg(
         merged_count().alias("trip_count"),
-        F.count_distinct("pickup_date").alias("active_days"),
+        F.sum("_days").alias("active_days"),
         merged_total("total_amount", 2).alias("total_spent"),
         merged_mean("fare_amount", 2).alias("avg_fare"),
         merged_mean("tip_percentage", 2).alias("avg_tip_pct"),
         merged_mean("total_amount", 2).alias("avg_total_per_trip"),
         merged_mean("trip_distance", 2).alias("avg_distance_miles"),
         merged_mean("trip_duration_minutes", 1).alias("avg_duration_min"),
+        # Of equally frequent categories the first by name.
+        F.min(seen).alias("_most"),
         F.sum("_sum_total_amount").alias("_spent"),
         # The average as sum > limit * count: no division, so no rounding.
         F.sum("_sum_tip_percentage").alias("_tips"),
         (F.sum("_n_tip_percentage") * (fv.ZONE_MIN_TIP_PCT * UNIT)).alias("_tips_floor"),
     )
     zones = (
-        figures.join(dominant, figures[zone].eqNullSafe(dominant[zone]), "left").drop(dominant[zone])
-        .withColumn("dominant_weather", F.col("_most.label"))
+        figures.withColumn("dominant_weather", F.col("_most.label"))
         .filter(
             (F.col("trip_count") >= fv.ZONE_MIN_TRIPS)
             & (F.col("_spent") > fv.ZONE_MIN_SPENT * UNIT)

@@ -131,7 +131,12 @@ def test_tests_carried_by_the_writes_leave_three_scans(spark, capsys):
     assert plan(QUERIES["quality_of_writes"](spark, SMALL), capsys).count("FileScan") == 3
 
 
-@pytest.mark.parametrize("name", ["high_value_zones", "q2_tips_by_bucket", "q9_weather_tips"])
+def test_zones_read_the_trips_once(spark, capsys):
+    text = plan(marts.high_value_zones(Tables(spark, SMALL).enriched), capsys)
+    assert text.count("FileScan") == 2  # the trips and the weather
+
+
+@pytest.mark.parametrize("name", ["q2_tips_by_bucket", "q9_weather_tips"])
 def test_trips_are_read_once_for_counts_that_all_figures_share(spark, capsys, name):
     """What is planned reads the written counts; the events were read to write them."""
     text = plan(QUERIES[name](spark, SMALL), capsys)
