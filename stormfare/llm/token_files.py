@@ -7,7 +7,8 @@ writes, in the folder given,
   where the vocabulary allows, else 32;
 * ``offsets-NNNNN.bin``: unsigned 64-bit, where each document starts within the
   part, and the part's length as the last one;
-* ``keys-NNNNN.bin``: the documents' keys as signed 64-bit integers.
+* ``keys-NNNNN.bin``: the documents' keys as signed 64-bit integers. Documents
+  without a key come last, so those beyond the end of this file have none.
 
 ``parts.json`` lists the parts with their number of documents and the number of
 ids before them, the prefix sum of the parts' lengths: one row per part reaches
@@ -16,8 +17,9 @@ runs twice leaves one whole file. Readers map the files into memory.
 
 The folder must be on a file system that all machines mount, as memory mapping
 asks for. Defined results: null text has the end id alone; documents without a
-key are not stored, for the files have no place for a null; equal keys keep the
-order of their texts; an empty table writes no parts.
+key are stored after all others and read back with a null key; equal keys, and
+null ones, are ordered by the first ``PREFIX`` characters of their texts, then by
+a hash of these, and may fill several parts; an empty table writes no parts.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ CHARS_PER_ROUND = 4_000_000
 CHUNKS_PER_CALL = 2_000
 #: Chunks of a worker's generation; the one before is kept too, so frequent chunks are never forgotten.
 KNOWN = 600_000
+#: Characters by which documents of one key are ordered, and dealt to parts.
+PREFIX = 16
 
 
 def local_folder(path: str) -> str:
@@ -118,7 +122,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, key: str =
 
         def tokens() -> Iterator[bytes]:
             for batch in batches:
-                keys.append(batch.column(0).to_numpy())
+                keys.append(batch.column(0).drop_null().to_numpy())
                 round_, size = [], 0
                 for value in batch.column(1):
                     round_.append(value.as_py())
@@ -141,15 +145,18 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, key: str =
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<u8")
         _put(target, f"offsets-{part:05d}.bin", iter([offsets.tobytes()]))
         _put(target, f"keys-{part:05d}.bin", (k.astype("<i8").tobytes() for k in keys))
+        keyed = sum(map(len, keys))
         yield pa.RecordBatch.from_pydict({
-            "part": pa.array([part], pa.int32()), "docs": pa.array([len(lengths)], pa.int64()),
+            "part": pa.array([part], pa.int32()), "docs": pa.array([keyed], pa.int64()),
+            "unkeyed": pa.array([len(lengths) - keyed], pa.int64()),
             "tokens": pa.array([int(offsets[-1])], pa.int64()),
             "width": pa.array([len(end)], pa.int32()),
         })
 
     ready = docs.select(F.col(f"`{key}`").cast("long").alias("key"), whole_text(text).alias("text"))
-    sorted_ = ready.filter("key IS NOT NULL").repartitionByRange("key").sortWithinPartitions("key", "text")
-    parts = sorted_.mapInArrow(write_part, "part int, docs long, tokens long, width int").collect()
+    order = F.asc_nulls_last("key"), F.substring("text", 1, PREFIX), F.xxhash64("text")
+    sorted_ = ready.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = sorted_.mapInArrow(write_part, "part int, docs long, unkeyed long, tokens long, width int").collect()
     before, listed = 0, []
     for row in sorted(parts):
         listed.append({**row.asDict(), "start": before})
@@ -170,15 +177,18 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 def mapped(name: str, kind: str) -> np.ndarray:
-                    return np.memmap(os.path.join(target, f"{name}-{row['part']:05d}.bin"), kind, "r")
+                    path = os.path.join(target, f"{name}-{row['part']:05d}.bin")
+                    # An empty file cannot be mapped: the keys of a part whose documents have none.
+                    return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
 
                 ids, offsets, keys = mapped("tokens", f"<u{row['width']}"), mapped("offsets", "<u8"), mapped("keys", "<i8")
                 ends = offsets.astype(np.int64)
-                for i in range(0, len(keys), 10_000):
+                for i in range(0, len(ends) - 1, 10_000):
                     own = ends[i:i + 10_001]
+                    known = pa.array(np.asarray(keys[i:i + 10_000]), pa.int64())
                     sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(own[:-1], own[1:])]
                     yield pa.RecordBatch.from_pydict({
-                        "key": pa.array(np.asarray(keys[i:i + 10_000])),
+                        "key": pa.concat_arrays([known, pa.nulls(len(sums) - len(known), pa.int64())]),
                         "start": pa.array(own[:-1] + row["start"]),
                         "n_tokens": pa.array(np.diff(own)),
                         "ids_crc32": pa.array(sums, pa.int64()),

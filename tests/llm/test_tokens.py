@@ -101,3 +101,17 @@ def test_no_documents_repeated_ones_and_remote_folders(spark, tmp_path):
     assert token_files.token_file_report(docs.limit(0), WORDS).count() == 0
     with pytest.raises(ValueError, match="mounted"):
         token_files.local_folder("s3://bucket/x")
+
+
+def test_documents_without_a_key_come_last(spark, tmp_path):
+    rows = [(None, f"lost {i % 7}") for i in range(60)] + [(i // 2, f"word {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"key": F.lit("mine"), "part": F.lit(1)})
+    folder = str(tmp_path / "files")
+    parts = token_files.write_token_files(docs.repartition(4), folder, WORDS)
+    assert (sum(p["docs"] for p in parts), sum(p["unkeyed"] for p in parts)) == (40, 60)
+    found = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.key for r in found] == [i // 2 for i in range(40)] + [None] * 60
+    ends = np.cumsum([r.n_tokens for r in found])
+    assert [r.start for r in found] == [0, *ends[:-1]]
+    token_files.write_token_files(docs.filter("doc_id IS NULL"), folder, WORDS)
+    assert [r.key for r in token_files.read_token_files(spark, folder).collect()] == [None] * 60
