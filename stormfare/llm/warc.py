@@ -229,11 +229,17 @@ def _spanning_digests(spark: SparkSession, path: str, found: DataFrame, records:
         .select("file", F.col("start").alias("owner"), "header_bytes", "content_bytes"), "warc-spans")
     if spans.isEmpty():
         return records.select("file", "start", F.lit(None).cast("string").alias("span_digest")).limit(0)
-    order = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    marked = found.select("file", "start").join(
+    files = spans.select("file").distinct()
+    marked = found.select("file", "block", "start").join(files, "file", "left_semi").join(
         records.select("file", "start", F.col("start").alias("_own")), ["file", "start"], "left")
-    owners = marked.withColumn("owner", F.last("_own", ignorenulls=True).over(order)).drop("_own")
-    again = _pieces(spark, path).join(spans.select("file").distinct(), "file", "left_semi")
+    # A piece belongs to the last record up to it in its block, else to the last one of the blocks before.
+    inside = Window.partitionBy("file", "block").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marked.groupBy("file", "block").agg(F.max("_own").alias("_last")).select(
+        "file", "block", F.max("_last").over(earlier).alias("_carried"))
+    owners = marked.withColumn("_last", F.max("_own").over(inside)).join(carried, ["file", "block"]).select(
+        "file", "start", F.coalesce("_last", "_carried").alias("owner"))
+    again = _pieces(spark, path).join(files, "file", "left_semi")
     texts = _with_starts(again, _block_sizes(again)).select("file", "start", "value")
     parts = texts.join(owners, ["file", "start"]).join(spans, ["file", "owner"])
     whole = parts.groupBy("file", "owner", "header_bytes", "content_bytes").agg(

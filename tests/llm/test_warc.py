@@ -81,3 +81,14 @@ def test_null_keys_repeated_rows_and_no_rows(spark):
     rows = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.round_trip(df).collect())
     assert rows == [(0, "revisit", 3), (3, "response", None), (3, "response", None), (5, "revisit", 3)]
     assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_payloads_that_reach_over_many_blocks(spark, small_blocks, tmp_path):
+    """A record whose pieces fill blocks without a record of their own, and records that follow it."""
+    body = ("word " * 30 + FAKE) * 150
+    rows = [(1, "u", "short"), (2, "u", body), (3, "u", "z" * 150), (4, "u", body + "tail"), (5, "u", "end")]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"))
+    found = {r.page_id: r for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+    assert {i: tuple(r)[3:7] for i, r in found.items()} == expected(rows)
+    assert all(r.intact for r in found.values())
