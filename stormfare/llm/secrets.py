@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from stormfare.llm.text import only
 
@@ -372,16 +373,17 @@ def spans_text(name: str) -> Column:
 
 
 def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """The documents with all secrets and runs left packed masked; a column of that name gets the new length.
+    """The documents with all secrets and runs left packed masked; an integer column of that name gets the new length.
 
-    Texts without secrets come back as they were, null ones included.
+    A column of that name and another type stays as it is. Texts without secrets come back as they were, null ones included.
     """
     at = docs.columns.index(text)
+    counted = length in docs.columns and isinstance(docs.schema[length].dataType, IntegralType)
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lengths = [], []
-            known = batch.column(batch.schema.names.index(length)).to_pylist() if length in batch.schema.names else None
+            known = batch.column(batch.schema.names.index(length)).to_pylist() if counted else None
             for i, value in enumerate(batch.column(at)):
                 value = value.as_py()
                 _, spans, refused = examine(value) if value else ([], [], [])

@@ -168,3 +168,9 @@ def test_runs_left_packed_are_counted_and_masked(spark):
     assert {r.doc_id: r.n_refused for r in s.secret_report(docs).collect()} == {1: 1, 2: 0}
     texts = {r.doc_id: (r.text, r.n_chars) for r in s.redact(docs).collect()}
     assert texts == {1: (f"see {s.MASK} end", 8 + len(s.MASK)), 2: ("clean", 5)}
+
+
+def test_a_length_column_of_another_type_stays(spark):
+    docs = spark.createDataFrame([(1, f"x {SECRET} y", "many"), (2, "clean", None)], "doc_id long, text string, n_chars string")
+    assert {r.doc_id: (r.text, r.n_chars) for r in s.redact(docs).collect()} == {
+        1: (f'x {s.MASK}" y', "many"), 2: ("clean", None)}
