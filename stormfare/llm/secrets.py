@@ -10,9 +10,11 @@ code point, the code points of the original text it stems from, so spans always
 refer to the original.
 
 The work is done document by document in the tasks; memory holds one text and
-its layers. A compressed run that unpacks to more than ``MAX_UNPACKED`` bytes
-is not looked into: :func:`scan` and :func:`secret_report` count it in
-``n_refused`` and :func:`redact` masks all of it.
+its layers. Of compressed runs a layer holds at most ``MAX_UNPACKED`` unpacked
+bytes. What unpacks to more is read as a stream (:class:`Streams`) of any length:
+secrets in it are reported as spans of the whole run. :func:`scan` and
+:func:`secret_report` count such runs in ``n_refused``, :func:`redact` masks all
+of them.
 
 Defined results: null text counts as empty; spans found on several layers count
 once; equal rows give equal results; other columns are ignored by :func:`scan`
@@ -23,6 +25,8 @@ from __future__ import annotations
 
 import base64
 import bz2
+import codecs
+import hashlib
 import lzma
 import re
 import zlib
@@ -56,7 +60,14 @@ URL_SAFE = str.maketrans("-_", "+/")
 #: First bytes of gzip, zlib, bzip2 and xz data.
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
 CHUNK = 64 << 10
-MAX_UNPACKED = 64 << 20
+MAX_UNPACKED = 1 << 20
+#: Characters of a window of a stream, of those read again where it cannot be cut, and of the text around a run.
+WINDOW, OVERLAP, EDGE = 1 << 20, 32 << 10, 4 << 10
+#: Unpacked bytes that show packed data to be such.
+MIN_OPEN = 64
+SPACES = re.compile(" {3,}")
+#: Where no pattern goes on: behind characters of no pattern, in blank lines, between short plain words.
+SAFE = re.compile(r"""[^A-Za-z0-9+/_.=:\x20"'%\\\t\r\n-]|\n\n|(?<=[A-Za-z]\x20)[A-Za-z]{1,10}(?=\x20[A-Za-z]{1,10}\x20[A-Za-z])""")
 MASK = "[secret]"
 #: Control characters other than white space, and bytes that are not UTF-8.
 UNREADABLE = re.compile("[\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f\udc80-\udcff]")
@@ -134,34 +145,53 @@ def _readable(text: str) -> float:
 
 
 class TooLarge(Exception):
-    """A compressed run unpacks to more than the limit."""
+    """Compressed runs unpack to more than a layer may hold."""
 
 
-def _unpack(data: bytes, at: int) -> tuple[bytes, int, bool]:
-    """What the gzip, zlib, bzip2 and xz members from a place on unpack to, where to go on, whether none is cut off."""
-    out, total = [], 0
+def _unpacked(data: bytes, at: int) -> Iterator[bytes]:
+    """What the gzip, zlib, bzip2 and xz members from a place on unpack to, in chunks; where to go on, whether none is cut off."""
     while m := PACKED.match(data, at):
-        machine = (zlib.decompressobj(47) if m[0][:1] in b"\x1f\x78"
+        is_zlib = m[0][:1] in b"\x1f\x78"
+        machine = (zlib.decompressobj(47) if is_zlib
                    else bz2.BZ2Decompressor() if m[0][:1] == b"B" else lzma.LZMADecompressor())
-        place = at
+        place, left = at, b""
         try:
-            while place < len(data) and not machine.eof:
-                out.append(machine.decompress(data[place:place + CHUNK], MAX_UNPACKED + 1 - total))
-                place = min(place + CHUNK, len(data)) - len(machine.unused_data)
-                total += len(out[-1])
-                if total > MAX_UNPACKED:
-                    raise TooLarge
+            while not machine.eof:
+                given, left = left, b""
+                if not given and (is_zlib or machine.needs_input):
+                    given = data[place:place + CHUNK]
+                    place += len(given)
+                out = machine.decompress(given, CHUNK)
+                if is_zlib:
+                    left = machine.unconsumed_tail
+                if out:
+                    yield out
+                elif not given and not left:
+                    break
         except (zlib.error, OSError, lzma.LZMAError, EOFError):
             pass
         if not machine.eof:
-            return b"".join(out), m.end(), False
+            return m.end(), False
         # Members may be padded with zeros.
-        at = place
+        at = place = place - len(machine.unused_data)
         while data[place:place + 1] == b"\0":
             place += 1
         if PACKED.match(data, place):
             at = place
-    return b"".join(out), at, True
+    return at, True
+
+
+def _unpack(data: bytes, at: int, most: int) -> tuple[bytes, int, bool]:
+    """The members from a place on, in one piece."""
+    out, total, chunks = [], 0, _unpacked(data, at)
+    while True:
+        try:
+            out.append(next(chunks))
+        except StopIteration as end:
+            return b"".join(out), *end.value
+        total += len(out[-1])
+        if total > most:
+            raise TooLarge
 
 
 def _whole(a: int, b: int, text: str) -> tuple:
@@ -262,9 +292,12 @@ def _characters(block: re.Match) -> tuple[str, np.ndarray, list[re.Match]]:
     return "".join(parts).translate(URL_SAFE), places, list(BASE64_RUN.finditer(block[0]))
 
 
-def from_compressed(text: str, refused: list[tuple[int, int]]) -> tuple[list, list]:
-    """Replacements by what compressed data in base64 unpacks to: one for each block, and the further ones."""
-    parts, rest = [], []
+def from_compressed(text: str, refused: list[tuple[int, int, bytes]]) -> tuple[list, list]:
+    """Replacements by what compressed data in base64 unpacks to: one for each block, and the further ones.
+
+    Together they hold at most ``MAX_UNPACKED`` bytes; runs beyond are ``refused``: start, end, packed bytes.
+    """
+    parts, rest, room = [], [], MAX_UNPACKED
     for block in BLOCK.finditer(text):
         body, places, _ = _characters(block)
         first = True
@@ -273,12 +306,13 @@ def from_compressed(text: str, refused: list[tuple[int, int]]) -> tuple[list, li
             while m := PACKED.search(data, done):
                 start = int(places[grid + m.start() * 8 // 6])
                 try:
-                    out, done, whole = _unpack(data, m.start())
+                    out, done, whole = _unpack(data, m.start(), room)
                 except TooLarge:
-                    refused.append((start, block.end()))
+                    refused.append((start, block.end(), data[m.start():]))
                     break
                 end = block.end() if not whole or done >= len(data) else int(places[grid + (done * 8 - 1) // 6]) + 1
                 if whole and out or WORTH.search(out):
+                    room -= len(out)
                     part = _whole(start, end, BAD_BYTE.sub("\ufffd", _as_text(out)))
                     if first and whole:
                         parts.append(part)
@@ -288,7 +322,86 @@ def from_compressed(text: str, refused: list[tuple[int, int]]) -> tuple[list, li
     return parts, rest
 
 
-def _inner_layers(layer: Layer, refused: list[tuple[int, int]]) -> Iterator[Layer]:
+class Streams:
+    """Kinds of secrets in runs too large to be held, each run read once, window by window.
+
+    All that a run unpacks to stands for the whole run, so only the kinds matter,
+    not the places. Windows end where no pattern and no encoded run can go on;
+    where there is no such place the next window begins with the last ``OVERLAP``
+    characters again, in which what makes a secret fits unless it is encoded over
+    and over, or is packed: a packed run within the run is held until it ends.
+    """
+
+    def __init__(self):
+        self.known: dict[bytes, tuple[set[int], str, str]] = {}
+
+    def read(self, data: bytes) -> tuple[set[int], str, str]:
+        """Kinds found, and the first and last characters, which may belong to a secret of the text around."""
+        name = hashlib.sha256(data).digest()
+        if name not in self.known:
+            self.known[name] = set(), "", ""  # a run that holds itself ends here
+            self.known[name] = self._read(data)
+        return self.known[name]
+
+    def _read(self, data: bytes) -> tuple[set[int], str, str]:
+        decoder = codecs.getincrementaldecoder("utf-8")("surrogateescape")
+        kinds, seen, head, buffer, enough = set(), set(), None, "", WINDOW
+
+        def look(part: str) -> None:
+            if part not in seen and len(kinds) < len(KINDS):
+                if len(seen) < 4:  # windows that repeat, as in a run of one character
+                    seen.add(part)
+                kinds.update(kind for _, kind, _ in examine(part, self)[1])
+
+        for chunk in _unpacked(data, 0):
+            # No pattern tells two spaces from more.
+            buffer += SPACES.sub("  ", BAD_BYTE.sub("\ufffd", decoder.decode(chunk)))
+            if len(buffer) >= enough:
+                head = buffer[:EDGE] if head is None else head
+                end, keep = _cut(buffer)
+                look(buffer[:end])
+                buffer = buffer[keep:]
+                enough = max(WINDOW, 2 * len(buffer))
+        look(buffer)
+        return kinds, buffer[:EDGE] if head is None else head, buffer[-EDGE:]
+
+
+def _cut(buffer: str) -> tuple[int, int]:
+    """Where a window ends, and from where on the next one begins."""
+    for tail in (EDGE, len(buffer)):
+        begin, last = max(0, len(buffer) - tail), None
+        for last in SAFE.finditer(buffer, begin):
+            pass
+        if last:
+            return last.end(), last.end()
+    open_run = None
+    for open_run in BLOCK.finditer(buffer):
+        pass
+    if open_run and open_run.end() == len(buffer):
+        body, _, _ = _characters(open_run)
+        if any(_goes_on(_base64_bytes(body[grid:])) for grid in range(4)):
+            begin = open_run.start()
+            return begin, max(0, begin - OVERLAP)
+    return len(buffer), max(0, len(buffer) - OVERLAP)
+
+
+def _goes_on(data: bytes) -> bool:
+    """Whether packed data begins here that the end of the bytes cuts off."""
+    at = 0
+    while m := PACKED.search(data, at):
+        size, chunks = 0, _unpacked(data, m.start())
+        try:
+            while True:
+                size += len(next(chunks))
+        except StopIteration as end:
+            at, whole = end.value
+        if size >= MIN_OPEN and not whole:
+            return True
+        at = max(at, m.end())
+    return False
+
+
+def _inner_layers(layer: Layer, refused: list[tuple[int, int, bytes]]) -> Iterator[Layer]:
     """What each decoder makes of a layer: runs replaced in place, runs that hardly read as layers of their own."""
     clear, mostly, rest = from_base64(layer.text)
     packed, more = from_compressed(layer.text, refused)
@@ -303,8 +416,11 @@ def _inner_layers(layer: Layer, refused: list[tuple[int, int]]) -> Iterator[Laye
         yield layer.alone(text, first, last)
 
 
-def examine(text: str) -> tuple[list, list, list[tuple[int, int]]]:
-    """Base spans, all spans, both (start, kind, end) in order, and the ranges (start, end) left packed."""
+def examine(text: str, streams: Streams | None = None) -> tuple[list, list, list[tuple[int, int]]]:
+    """Base spans, all spans, both (start, kind, end) in order, and the ranges (start, end) too large to be held.
+
+    With ``streams`` such ranges are read through, and the spans hold what they hide.
+    """
     base = sorted(scan_layer(text))
     spans, seen, work, refused = set(base), {(text, (0, len(text)))}, [Layer(text)], set()
     while work:
@@ -319,12 +435,32 @@ def examine(text: str) -> tuple[list, list, list[tuple[int, int]]]:
             for start, kind, end in scan_layer(inner.text):
                 first, last = inner.original(start, end)
                 spans.add((first, kind, last))
-        refused.update(layer.original(*run) for run in left)
+        for a, b, data in left:
+            refused.add(layer.original(a, b))
+            if streams is not None:
+                spans.update(_streamed(layer, a, b, streams.read(data)))
     return base, sorted(spans), sorted(refused)
 
 
+def _streamed(layer: Layer, a: int, b: int, found: tuple[set[int], str, str]) -> Iterator[tuple[int, int, int]]:
+    """Spans of a run that was read as a stream, and those it has together with the text around."""
+    kinds, head, tail = found
+    first, last = layer.original(a, b)
+    yield from ((first, kind, last) for kind in kinds)
+    before, after = layer.text[max(0, a - EDGE):a], layer.text[b:b + EDGE]
+    for start, kind, end in scan_layer(before + head):
+        if start < len(before) < end:
+            yield layer.original(a - len(before) + start, b)[0], kind, last
+    for start, kind, end in scan_layer(tail + after):
+        if start < len(tail) < end:
+            yield first, kind, layer.original(a, b + end - len(tail))[1]
+
+
 def find_secrets(text: str) -> tuple[list, list, int]:
-    """Base spans, all spans, both (start, kind, end) in order, and the number of runs left packed."""
+    """Base spans, all spans, both (start, kind, end) in order, and the number of runs too large to be held.
+
+    These runs are not looked into here; :func:`scan` reads them as streams.
+    """
     base, spans, refused = examine(text)
     return base, spans, len(refused)
 
@@ -347,10 +483,10 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         base_column, all_column, refused_column = [], [], []
         for value in batch.column(1):
-            base, spans, refused = find_secrets(value.as_py() or "")
+            base, spans, refused = examine(value.as_py() or "", Streams())
             base_column.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in base])
             all_column.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans])
-            refused_column.append(refused)
+            refused_column.append(len(refused))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(base_column, kind), pa.array(all_column, kind),
              pa.array(refused_column, pa.int64())],
@@ -386,8 +522,8 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
             known = batch.column(batch.schema.names.index(length)).to_pylist() if counted else None
             for i, value in enumerate(batch.column(at)):
                 value = value.as_py()
-                _, spans, refused = examine(value) if value else ([], [], [])
-                # What a run left packed holds is not known.
+                _, spans, refused = examine(value, Streams()) if value else ([], [], [])
+                # Runs too large to be held are masked whole.
                 spans = sorted(spans + [(a, -1, b) for a, b in refused])
                 new = redacted(value, spans) if spans else value
                 texts.append(new)
