@@ -16,6 +16,9 @@ A recursive step costs at least one pass over the piece, so a piece of n bytes
 takes up to n passes. Pieces of more than ``LONG_PIECE`` bytes, which prose does
 not have, are merged with a heap instead; the result is the same.
 
+Between tasks a worker keeps the vocabulary alone, not the pieces it has seen nor
+the database: idle workers share an executor's memory with the stages that follow.
+
 Defined results: null text counts as empty and has no ids; equal rows give equal
 results; other columns are ignored.
 """
@@ -84,7 +87,6 @@ class ByteBpe:
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.pattern = regex.compile(PATTERN)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pairs, ids = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -95,14 +97,34 @@ class ByteBpe:
         given = pa.table({"pair": pa.array(pairs, pa.int64()), "id": pa.array(ids, pa.int64())})
         words = pa.table({"id": pa.array(self.ranks.values(), pa.int64()),
                           "bytes": [t.decode("latin-1") for t in self.ranks]})
-        for name, table in (("merges", given), ("vocabulary", words)):
-            self.db.register("given", table)
-            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self.db.unregister("given")
+        self.tables = {"merges": given, "vocabulary": words}
+        self._db: duckdb.DuckDBPyConnection | None = None
         self.pieces: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}  # chunks at the start of a text
         self.later: dict[str, bytes] = {}  # chunks after a space, without it
 
+    @property
+    def db(self) -> duckdb.DuckDBPyConnection:
+        """The connection with both tables, opened when it is first needed."""
+        if self._db is None:
+            self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+            for name, table in self.tables.items():
+                self._db.register("given", table)
+                self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+                self._db.unregister("given")
+        return self._db
+
+    def rest(self) -> None:
+        """Gives back what a task has learned and opened; the next one starts anew.
+
+        A worker stays after its task, and all that it holds then lacks the stages that follow.
+        """
+        self.pieces, self.first, self.later = {}, {}, {}
+        if self._db is not None:
+            self._db.close()
+            self._db = None
+        pa.default_memory_pool().release_unused()
+
     def _merge(self, pieces: list[str]) -> None:
         """Ids of pieces, by the recursive query."""
         data = [p.encode() for p in pieces]
@@ -217,8 +239,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     taken = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     content = sent(docs.sparkSession, vocabulary)
 
-    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = built(ByteBpe, content.value)
+    def rows(machine: ByteBpe, given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
             at = 0
             texts = ((v.as_py() or "") for v in batch.column(1))
@@ -238,6 +259,13 @@ def encode_texts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 at += len(part)
 
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = built(ByteBpe, content.value)
+        try:
+            yield from rows(machine, given)
+        finally:
+            machine.rest()
+
     kind = taken.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return taken.mapInArrow(batches, schema + (", ids binary" if keep_ids else "")).withColumnRenamed("key", key)

@@ -49,6 +49,29 @@ def test_byte_bpe_equals_the_library(spark, library):
     assert bpe.encode_texts(docs.limit(0), RANKS).count() == 0
 
 
+def test_workers_hold_the_vocabulary_alone_between_tasks(spark, library):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string").repartition(8)
+
+    def held(batches):
+        import pyarrow as pa
+
+        from stormfare.llm import vocabulary
+
+        list(batches)
+        machines = [m for m in vocabulary._built.values() if isinstance(m, bpe.ByteBpe)]
+        known = sum(len(m.pieces) + len(m.first) + len(m.later) for m in machines)
+        opened = sum(vars(m).get("_db", vars(m).get("db")) is not None for m in machines)
+        yield pa.RecordBatch.from_pydict({"machines": [len(machines)], "known": [known], "opened": [opened]})
+
+    for _ in range(2):  # a worker that has rested goes on
+        rows = bpe.encode_texts(docs, RANKS).collect()
+        assert {r.doc_id: r.n_tokens for r in rows} == {
+            i: len(library.encode_ordinary(t or "")) for i, t in enumerate(TEXTS)}
+        state = spark.range(0, 64, 1, 64).mapInArrow(held, "machines long, known long, opened long").collect()
+        assert any(r.machines for r in state)
+        assert all((r.known, r.opened) == (0, 0) for r in state)
+
+
 def test_forgetting_what_is_known_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN_PIECES", 5)
     monkeypatch.setattr(bpe, "KNOWN_CHUNKS", 5)
