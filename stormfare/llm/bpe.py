@@ -1,16 +1,18 @@
 """Byte-level BPE in DuckDB, partition by partition.
 
 A text is cut into the pieces of the vocabulary's pattern. Distinct pieces not
-yet known to the worker become rows (piece, position, token), first one token
-per byte. A recursive query joins neighbouring tokens with the merge table and
-contracts every piece's leftmost pair of minimum rank, until no piece has a pair
-left. Decoding joins the ids of a batch with the vocabulary and concatenates
-their bytes in order.
+yet known to the worker become rows (piece, position, token with its successor),
+first one token per byte. A recursive query joins these pairs with the merge
+table and contracts every piece's leftmost pair of minimum rank, until no piece
+has a pair left. A row holds its whole pair: contracting one changes the two
+rows beside it and drops its own, so no step has to look for neighbours. Decoding
+joins the ids of a batch with the vocabulary and concatenates their bytes in order.
 
 Cutting whole texts by the pattern costs more than merging, so texts are first
-split at spaces; the pattern runs on distinct chunks only. That gives the same
+split at spaces; only distinct chunks are cut, and the pattern runs on those that
+are not letters throughout, which are one piece each. That gives the same
 pieces unless white space comes in runs of three, or of two at the end; such
-texts are cut whole.
+texts are cut whole. Chunks, pieces and ids stay in flat arrays.
 
 A recursive step costs at least one pass over the piece, so a piece of n bytes
 takes up to n passes. Pieces of more than ``LONG_PIECE`` bytes, which prose does
@@ -28,12 +30,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -41,36 +44,39 @@ from stormfare.llm.vocabulary import built, sent
 
 #: The pattern that goes with the vocabulary; fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-UNSAFE = re.compile(r"\s\s(?:\s|\Z)")
+#: A run of white space that splitting at spaces would cut otherwise, for Arrow's expressions.
+UNSAFE = r"[\t-\r\x1c-\x1f\x{85}\pZ]{2}(?:[\t-\r\x1c-\x1f\x{85}\pZ]|\z)"
+#: White space at an end, or nothing at all.
+ENDS = r"\A(?:\z|[\t-\r\x1c-\x1f\x{85}\pZ])|[\t-\r\x1c-\x1f\x{85}\pZ]\z"
 LONG_PIECE = 512
 PIECES_PER_QUERY = 15_000
 TOKENS_PER_QUERY = 500_000
 CHARS_PER_ROUND = 2_000_000
-#: Known pieces, and known chunks; a worker that has more forgets them all and goes on.
+#: Known pieces, and known chunks; a worker that has more forgets those not in its present texts and goes on.
 KNOWN_PIECES, KNOWN_CHUNKS = 250_000, 100_000
 
 _BITS = 20  # of a row key, for the position within a piece
 _MASK = (1 << _BITS) - 1
+_END = 0xFFFFFFFF  # in place of the successor of a piece's last token; no merge has it
 
+# A pair is token << 32 | successor. Rows of pieces that have no merge left come out once more, as done.
 ENCODE = f"""
-WITH RECURSIVE step(round, k, t) AS (
-  SELECT 0, k, t FROM start
+WITH RECURSIVE step(w, place, pair, done) AS (
+  SELECT w, place, pair, FALSE FROM start
   UNION ALL
-  (WITH pairs AS (
-     SELECT k, t, lead(k) OVER (ORDER BY k) AS next_k, lead(t) OVER (ORDER BY k) AS next_t FROM step
-   ), best AS (
-     SELECT p.k >> {_BITS} AS w, min((m.id << {_BITS}) | (p.k & {_MASK})) AS b
-     FROM pairs p JOIN merges m ON m.pair = (p.t << 32) | p.next_t
-     WHERE p.next_k = p.k + 1 GROUP BY 1
+  (WITH best AS (
+     SELECT w, min((id << {_BITS}) | place) AS b FROM step JOIN merges USING (pair) WHERE NOT done GROUP BY w
+   ), found AS (
+     SELECT w, b >> {_BITS} AS id, (b & {_MASK})::INT AS spot FROM best
    )
-   SELECT round + 1, s.k - ((s.k & {_MASK}) > (b & {_MASK}))::BIGINT,
-          CASE WHEN (s.k & {_MASK}) = (b & {_MASK}) THEN b >> {_BITS} ELSE t END
-   FROM step s JOIN best ON best.w = s.k >> {_BITS}
-   WHERE (s.k & {_MASK}) <> (b & {_MASK}) + 1)
-), done AS (
-  SELECT k >> {_BITS} AS w, max(round) AS round FROM step GROUP BY 1
+   SELECT s.w, CASE WHEN place > spot THEN place - 1 ELSE place END,
+          CASE place - spot WHEN 1 THEN (id << 32) | (pair & {_END})
+                            WHEN -1 THEN ((pair >> 32) << 32) | id ELSE pair END,
+          spot IS NULL
+   FROM step s LEFT JOIN found ON found.w = s.w
+   WHERE NOT done AND place IS DISTINCT FROM spot)
 )
-SELECT s.k, s.t FROM step s JOIN done d ON d.w = s.k >> {_BITS} AND d.round = s.round ORDER BY s.k
+SELECT w, pair >> 32 AS t FROM step WHERE done ORDER BY w, place
 """
 
 # The rows reach the aggregate in the order of ``place``: the connection has one thread.
@@ -80,6 +86,38 @@ FROM (SELECT doc, place, bytes FROM tokens JOIN vocabulary USING (id) ORDER BY p
 """
 
 
+class Known:
+    """Strings with their ids in flat arrays, looked up many at a time."""
+
+    def __init__(self, keys: pa.Array | None = None, sizes: np.ndarray | None = None, ids: np.ndarray | None = None):
+        self.keys = pa.array([], pa.large_string()) if keys is None else keys
+        self.sizes = np.empty(0, np.int64) if sizes is None else sizes
+        self.ids = np.empty(0, "<u4") if ids is None else ids
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __getitem__(self, key: str) -> bytes:
+        place = self.places(pa.array([key], pa.large_string()))
+        if place[0] < 0:
+            raise KeyError(key)
+        return _taken(self.sizes, self.ids, place)[1].tobytes()
+
+    def places(self, keys: pa.Array) -> np.ndarray:
+        """Where each key stands, -1 for those that are not known."""
+        return pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy().astype(np.int64)
+
+    def add(self, keys: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.keys = pa.concat_arrays([self.keys, keys])
+        self.sizes, self.ids = np.append(self.sizes, sizes), np.append(self.ids, ids)
+
+    def only(self, keys: pa.Array) -> Known:
+        """What is known of these keys."""
+        places = self.places(keys)
+        places = np.unique(places[places >= 0])
+        return Known(self.keys.take(pa.array(places)), *_taken(self.sizes, self.ids, places))
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary: lines of base64 token and rank."""
 
@@ -99,9 +137,15 @@ class ByteBpe:
                           "bytes": [t.decode("latin-1") for t in self.ranks]})
         self.tables = {"merges": given, "vocabulary": words}
         self._db: duckdb.DuckDBPyConnection | None = None
-        self.pieces: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}  # chunks at the start of a text
-        self.later: dict[str, bytes] = {}  # chunks after a space, without it
+        by_text = {t.decode(): rank for t, rank in self.ranks.items() if _is_text(t)}
+        self.tokens = Known(pa.array(by_text, pa.large_string()), np.ones(len(by_text), np.int64),
+                            np.array(list(by_text.values()), "<u4"))
+        self._know_nothing()
+
+    def _know_nothing(self) -> None:
+        self.pieces = Known()
+        self.first = Known()  # chunks at the start of a text
+        self.later = Known()  # chunks after a space, without it, that are not letters throughout
 
     @property
     def db(self) -> duckdb.DuckDBPyConnection:
@@ -119,29 +163,28 @@ class ByteBpe:
 
         A worker stays after its task, and all that it holds then lacks the stages that follow.
         """
-        self.pieces, self.first, self.later = {}, {}, {}
+        self._know_nothing()
         if self._db is not None:
             self._db.close()
             self._db = None
         pa.default_memory_pool().release_unused()
 
-    def _merge(self, pieces: list[str]) -> None:
+    def _merge(self, pieces: list[str] | pa.Array) -> None:
         """Ids of pieces, by the recursive query."""
-        data = [p.encode() for p in pieces]
-        lengths = np.fromiter(map(len, data), np.int64, len(data))
-        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        keys = (np.repeat(np.arange(len(data)), lengths) << _BITS) | place
-        start = pa.table({"k": keys, "t": self.byte_ids[np.frombuffer(b"".join(data), np.uint8)]})
+        pieces = pa.array(pieces, pa.large_string())
+        lengths = pc.binary_length(pieces).to_numpy()
+        which = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
+        ends = np.cumsum(lengths)
+        place = np.arange(len(which)) - np.repeat(ends - lengths, lengths)
+        tokens = self.byte_ids[_bytes_of(pieces)]
+        after = np.append(tokens[1:], _END)
+        after[ends - 1] = _END
+        start = pa.table({"w": which, "place": place.astype(np.int32), "pair": (tokens << 32) | after})
         self.db.register("start", start)
         found = self.db.sql(ENCODE).to_arrow_table()
         self.db.unregister("start")
-        which = found["k"].to_numpy() >> _BITS
-        ids = found["t"].to_numpy().astype("<u4").tobytes()
-        ends = np.cumsum(np.bincount(which, minlength=len(pieces))) * 4
-        begin = 0
-        for piece, end in zip(pieces, ends.tolist()):
-            self.pieces[piece] = ids[begin:end]
-            begin = end
+        sizes = np.bincount(found["w"].to_numpy(), minlength=len(pieces))
+        self.pieces.add(pieces, sizes, found["t"].to_numpy().astype("<u4"))
 
     def _merge_long(self, piece: str) -> bytes:
         """The same for one long piece: a heap of (rank, position) over linked tokens."""
@@ -169,41 +212,87 @@ class ByteBpe:
                     heapq.heappush(heap, p)
         return np.array([self.ranks[t] for t in token if t], "<u4").tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = pieces - self.pieces.keys()
-        for p in new:  # a piece that is a token stands for itself
-            rank = self.ranks.get(p.encode())
-            if rank is not None:
-                self.pieces[p] = rank.to_bytes(4, "little")
-        new -= self.pieces.keys()
-        short = [p for p in new if len(p.encode()) <= LONG_PIECE]
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Makes distinct pieces known, and tells where they stand."""
+        if len(self.pieces) > KNOWN_PIECES:
+            self.pieces = self.pieces.only(pieces)
+        places = self.pieces.places(pieces)
+        missing = np.flatnonzero(places < 0)
+        new = pieces.take(pa.array(missing))
+        token, lengths = self.tokens.places(new), pc.binary_length(new).to_numpy()
+        whole = np.flatnonzero(token >= 0)  # a piece that is a token stands for itself
+        short = np.flatnonzero((token < 0) & (lengths <= LONG_PIECE))
+        long = np.flatnonzero((token < 0) & (lengths > LONG_PIECE))
+        places[missing[np.concatenate([whole, short, long])]] = len(self.pieces) + np.arange(len(missing))
+        self.pieces.add(new.take(pa.array(whole)), *_taken(self.tokens.sizes, self.tokens.ids, token[whole]))
         for i in range(0, len(short), PIECES_PER_QUERY):
-            self._merge(short[i:i + PIECES_PER_QUERY])
-        for p in new:
-            if p not in self.pieces:
-                self.pieces[p] = self._merge_long(p)
+            self._merge(new.take(pa.array(short[i:i + PIECES_PER_QUERY])))
+        merged = [self._merge_long(new[i].as_py()) for i in long.tolist()]
+        self.pieces.add(new.take(pa.array(long)), np.array([len(m) // 4 for m in merged], np.int64),
+                        np.frombuffer(b"".join(merged), "<u4"))
+        return places
+
+    def _cut(self, chunks: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The number of pieces of each chunk, a space before it, and all pieces in order.
+
+        At a space between two other characters a piece begins, and none goes on behind it. So chunks that have no
+        white space at either end are cut in one string.
+        """
+        alone = pc.match_substring_regex(chunks, ENDS).to_numpy(zero_copy_only=False)
+        cut = self.pattern.findall("".join(f" {c}" for c in chunks.filter(pa.array(~alone)).to_pylist()))
+        joint = pa.array(cut, pa.large_string())
+        nth = np.cumsum(pc.starts_with(joint, " ").to_numpy(zero_copy_only=False)) - 1
+        single = [self.pattern.findall(" " + c) for c in chunks.filter(pa.array(alone)).to_pylist()]
+        owner = np.concatenate([np.flatnonzero(~alone)[nth], np.repeat(np.flatnonzero(alone), list(map(len, single)))])
+        pieces = pa.concat_arrays([joint, _flat(single)])
+        return np.bincount(owner, minlength=len(chunks)), pieces.take(pa.array(np.argsort(owner, kind="stable")))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > KNOWN_PIECES:
-            self.pieces = {}
+        given = pa.array(texts, pa.large_string())
+        unsafe = pc.match_substring_regex(given, UNSAFE)
+        split = pc.split_pattern(given.filter(pc.invert(unsafe)), " ")
+        starts = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        codes[starts[:-1]] += len(coded.dictionary)  # at the start of a text, without a space before
+        used = np.zeros(2 * len(coded.dictionary), bool)
+        used[codes] = True
+        codes = (np.cumsum(used) - 1)[codes]
+        later, first = (coded.dictionary.filter(pa.array(u)) for u in np.split(used, 2))
+        letters = pc.utf8_is_alpha(later).to_numpy(zero_copy_only=False)
+        words, other = later.filter(pa.array(letters)), later.filter(pa.array(~letters))
         if len(self.first) + len(self.later) > KNOWN_CHUNKS:
-            self.first, self.later = {}, {}
-        whole = [UNSAFE.search(t) is not None for t in texts]
-        split = [self.pattern.findall(t) if w else t.split(" ") for t, w in zip(texts, whole)]
-        first = {s[0] for s, w in zip(split, whole) if not w} - self.first.keys()
-        later = set().union(*(s[1:] for s, w in zip(split, whole) if not w)) - self.later.keys()
-        cut_first = {c: self.pattern.findall(c) for c in first}
-        cut_later = {c: self.pattern.findall(" " + c) for c in later}
-        self._learn(set().union(*cut_first.values(), *cut_later.values(),
-                                *(s for s, w in zip(split, whole) if w)))
-        of = self.pieces.__getitem__
-        self.first.update((c, b"".join(map(of, p))) for c, p in cut_first.items())
-        self.later.update((c, b"".join(map(of, p))) for c, p in cut_later.items())
-        return [
-            b"".join(map(of, s)) if w else self.first[s[0]] + b"".join(map(self.later.__getitem__, s[1:]))
-            for s, w in zip(split, whole)
-        ]
+            self.first, self.later = self.first.only(first), self.later.only(other)
+
+        # The ids of words, of chunks not yet known, and of texts that are cut whole.
+        later_place, first_place = self.later.places(other), self.first.places(first)
+        new_later, new_first = other.filter(pa.array(later_place < 0)), first.filter(pa.array(first_place < 0))
+        counts, pieces = self._cut(new_later)
+        single = list(map(self.pattern.findall, [*new_first.to_pylist(), *given.filter(unsafe).to_pylist()]))
+        counts = np.concatenate([np.ones(len(words), np.int64), counts, np.array(list(map(len, single)), np.int64)])
+        pieces = pa.concat_arrays([_behind_space(words), pieces, _flat(single)]).dictionary_encode()
+        places = self._learn(pieces.dictionary)[pieces.indices.to_numpy()]
+        sizes, ids = _taken(self.pieces.sizes, self.pieces.ids, places)
+        sizes = _run_sums(sizes, counts)
+        ends = np.append(0, np.cumsum(sizes))
+
+        # Chunks are looked up in one row of tables: the ids just found, chunks known after a space, those of starts.
+        tables = [Known(None, sizes, ids), self.later, self.first]
+        before = np.cumsum([0, len(sizes), len(self.later)])
+        first_new = len(words) + len(new_later)
+        found = np.empty(len(later) + len(first), np.int64)
+        found[np.flatnonzero(letters)] = np.arange(len(words))
+        found[np.flatnonzero(~letters)] = _placed(later_place, before[1], len(words))
+        found[len(later):] = _placed(first_place, before[2], first_new)
+        safe_sizes, safe_ids = _taken(
+            np.concatenate([t.sizes for t in tables]), np.concatenate([t.ids for t in tables]), found[codes])
+        for known, keys, at in ((self.later, new_later, len(words)), (self.first, new_first, first_new)):
+            known.add(keys, sizes[at:at + len(keys)], ids[ends[at]:ends[at + len(keys)]])
+
+        whole = _bytes_between(ids, ends[first_new + len(new_first):])
+        safe = _bytes_between(safe_ids, np.append(0, np.cumsum(safe_sizes))[starts])
+        return [next(whole if is_unsafe else safe) for is_unsafe in unsafe.to_pylist()]
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """The bytes that the ids of each text stand for."""
@@ -220,6 +309,54 @@ class ByteBpe:
         return out
 
 
+def _taken(sizes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ids at these places, one after the other, and their sizes."""
+    begins, taken = (np.cumsum(sizes) - sizes)[places], sizes[places]
+    ends = np.cumsum(taken)
+    total = int(ends[-1]) if len(ends) else 0
+    return taken, ids[np.arange(total) + np.repeat(begins - (ends - taken), taken)]
+
+
+def _run_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of so many values, 0 for empty runs."""
+    sums = np.append(0, np.cumsum(values))
+    ends = np.cumsum(counts)
+    return sums[ends] - sums[ends - counts]
+
+
+def _placed(places: np.ndarray, before: int, new: int) -> np.ndarray:
+    """Places behind so many others; those that are not known stand in order from ``new`` on."""
+    unknown = places < 0
+    return np.where(unknown, new + np.cumsum(unknown) - 1, before + places)
+
+
+def _bytes_between(ids: np.ndarray, bounds: np.ndarray) -> Iterator[bytes]:
+    return (ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+
+
+def _flat(lists: list[list[str]]) -> pa.Array:
+    return pa.array(list(chain.from_iterable(lists)), pa.large_string())
+
+
+def _behind_space(strings: pa.Array) -> pa.Array:
+    empty, space = (pa.scalar(c, pa.large_string()) for c in ("", " "))
+    return pc.binary_join_element_wise(space, strings, empty)
+
+
+def _bytes_of(strings: pa.Array) -> np.ndarray:
+    """All bytes of an array of large strings without nulls, in order."""
+    _, offsets, data = strings.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[strings.offset:strings.offset + len(strings) + 1]
+    return np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]
+
+
+def _is_text(token: bytes) -> bool:
+    try:
+        return bool(token.decode())
+    except UnicodeDecodeError:
+        return False
+
+
 def _by_size(values: list, most: int) -> Iterator[list]:
     """Consecutive values of together at most so many characters or bytes, one at least."""
     part, size = [], 0

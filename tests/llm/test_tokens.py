@@ -86,6 +86,52 @@ def test_forgetting_what_is_known_changes_nothing(library, monkeypatch):
         assert machine.decode(encoded) == [t.encode() for t in part]
 
 
+def test_words_are_not_cut_and_pieces_of_present_texts_stay_known(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 5)
+    monkeypatch.setattr(bpe, "KNOWN_CHUNKS", 5)
+    with open(RANKS, "rb") as file:
+        machine = bpe.ByteBpe(file.read())
+    text = "Thstinnt ndhalyti élleçque 漢字字漢 hawhthnd. x11y22 =!=!= oneation-ther\nerthed\n lyo'lll \x1cqq eroring"
+    pattern, merge, cut, merged = machine.pattern, machine._merge, [], []
+
+    class Counting:
+        def findall(self, given):
+            cut.extend(given.split(" "))
+            return pattern.findall(given)
+
+    machine.pattern = Counting()
+    monkeypatch.setattr(machine, "_merge", lambda pieces: (merged.extend(pieces), merge(pieces)))
+    for n in range(2):
+        assert np.frombuffer(machine.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
+        assert (n == 0) == any(cut) == any(merged)
+        assert not {"ndhalyti", "élleçque", "漢字字漢", "eroring"} & set(cut)
+        cut.clear()
+        merged.clear()
+
+
+def test_chunks_beside_white_space_are_cut_as_in_the_text(library):
+    white = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    odd = ["é", "1", "'s", "'", "x'll,", "ª²", "\u0301", "\u200b", "\U0001F600", "\U00020000", "\U0001E900"]
+    texts = [a + w + b for w in white for a in odd for b in odd]
+    texts += [f"{w}{a} {a}{w} {w}{w}{a} {a}" for w in white for a in odd]
+    with open(RANKS, "rb") as file:
+        machine = bpe.ByteBpe(file.read())
+    for given in (texts, [" ".join(texts[i::7]) for i in range(7)], texts[:50]):
+        encoded = machine.encode(given)
+        assert [np.frombuffer(e, "<u4").tolist() for e in encoded] == [library.encode_ordinary(t) for t in given]
+        assert machine.decode(encoded) == [t.encode() for t in given]
+
+
+def test_letters_throughout_are_one_piece(library):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import regex
+
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    letters = [c for c, is_letter in zip(every, pc.utf8_is_alpha(pa.array(every)).to_pylist()) if is_letter]
+    assert all(map(regex.compile(r"\p{L}").match, letters)) and len(letters) > 100_000
+
+
 def test_long_pieces_agree_with_the_query(monkeypatch):
     with open(RANKS, "rb") as file:
         machine = bpe.ByteBpe(file.read())
